@@ -157,12 +157,14 @@ def x14(t):
 
 @query(
     "x15_round",
-    "SELECT market_data_id, ROUND(close_price, 1) AS price_1, ROUND(debt, 3) AS ratio_3 FROM (SELECT *, open_price / 500 AS debt FROM market_data)",
+    """SELECT account_id, CAST(ROUND(balance, 1) AS DOUBLE) AS balance_1, CAST(ROUND(balance, 0) AS DOUBLE) AS balance_0
+       FROM accounts""",
 )
 def x15(t):
-    m = curated.market_parsed(t.market_data())
-    return m.select(
-        "market_data_id", F.round("close_price", 1).alias("price_1"), F.round(F.col("open_price") / 500, 3).alias("ratio_3")
+    return t.accounts().select(
+        "account_id",
+        F.round("balance", 1).cast("double").alias("balance_1"),
+        F.round("balance", 0).cast("double").alias("balance_0"),
     )
 
 
@@ -258,7 +260,7 @@ def x23(t):
     """SELECT event_id, k, CASE WHEN event_id % 3 = 0 THEN NULL ELSE k END AS tolerant FROM ev""",
 )
 def x24(t):
-    broken = F.when(F.col("event_id") % 3 == 0, F.concat("props", F.lit("}{"))).otherwise(F.col("props"))
+    broken = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
     return t.raw("events").select(
         "event_id",
         json_get(F.parse_json("props"), "$.k", "int").alias("k"),
@@ -319,7 +321,8 @@ def x27(t):
 )
 def x28(t):
     e = t.raw("embeddings")
-    probe = e.where(F.col("vec_id") == 0).select("embedding").scalar()
+    # The query vector is one row, handed over as a literal.
+    probe = F.lit([float(x) for x in e.where(F.col("vec_id") == 0).select("embedding").first()[0]])
     return e.select("vec_id", F.round(vectors.cosine(F.col("embedding"), probe), 6).alias("similarity"))
 
 
@@ -359,12 +362,12 @@ def x34(t):
 
 @query(
     "f01_anomaly_function",
-    """SELECT event_id, CASE WHEN value IS NULL THEN 0.0 ELSE LEAST(ROUND(ABS((value - 50.0::DOUBLE) / 40.0::DOUBLE) * 25, 2), 100.0) END AS score
+    """SELECT event_id, CASE WHEN value IS NULL THEN 0.0 ELSE LEAST(ROUND(ABS((value - 50.0::DOUBLE) / 37.0::DOUBLE) * 25, 2), 100.0) END AS score
        FROM events""",
 )
 def f01(t):
     return t.raw("events").select(
-        "event_id", scoring.anomaly_score("value", F.lit(50.0), F.lit(40.0)).alias("score")
+        "event_id", scoring.anomaly_score("value", F.lit(50.0), F.lit(37.0)).alias("score")
     )
 
 

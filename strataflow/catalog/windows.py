@@ -18,7 +18,10 @@ from . import build
 from .registry import query
 
 TIE_SQL = ", ".join(TXN_TIE)
-DAY_BLOCK = F.unix_date(F.to_date("txn_date"))
+
+
+def _day_block():
+    return F.unix_date(F.to_date("txn_date"))
 
 
 def _txn_order():
@@ -60,7 +63,7 @@ def w03(t):
     kind, amount = F.col("txn_type"), F.col("amount")
     signed = F.when(kind.isin("CREDIT", "TRANSFER"), amount).when(kind == "DEBIT", -amount).otherwise(0)
     r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), DAY_BLOCK, {"running_balance": signed}
+        t.plain_transactions(), ["account_id"], _txn_order(), _day_block(), {"running_balance": signed}
     )
     return build.doubles(r, "amount", "running_balance").select(
         "account_id", "txn_id", "part_id", "supplier_id", "line_number", "amount", "running_balance"
@@ -123,7 +126,7 @@ def w06(t):
 )
 def w07(t):
     r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), DAY_BLOCK, sequence="txn_sequence"
+        t.plain_transactions(), ["account_id"], _txn_order(), _day_block(), sequence="txn_sequence"
     )
     return r.select("account_id", "txn_id", "part_id", "supplier_id", "line_number", "txn_sequence")
 
