@@ -1,0 +1,215 @@
+"""Dashboard and exploration data sets (D) and the summary reports B19 and B25."""
+
+from pyspark.sql import functions as F
+
+from ..functions.compat import dbl_avg, json_get
+from ..operators import reshape
+from ..operators.quantiles import group_percentiles
+from ..plans import curated, dashboards
+from . import build
+from .aggregates import COUNTS_SQL, ROLLUP_SQL, base_tables, ticket_funnel
+from .registry import query
+
+
+@query(
+    "d01_kpi_row",
+    """SELECT (SELECT CAST(SUM(total_volume) AS DOUBLE) FROM daily) AS total_volume,
+              (SELECT CAST(SUM(total_transactions) AS BIGINT) FROM daily) AS transactions,
+              (SELECT COUNT(*) FROM profile) AS customers, (SELECT CAST(SUM(total_balance) AS DOUBLE) FROM profile) AS assets""",
+)
+def d01(t):
+    return dashboards.kpi_row(build.daily(t), build.profile(t))
+
+
+@query(
+    "d02_daily_series",
+    """SELECT strftime(metric_date, '%Y-%m-%d') AS metric_date, CAST(total_volume AS DOUBLE) AS total_volume, flagged_rate
+       FROM daily""",
+)
+def d02(t):
+    d = build.doubles(build.daily(t).select("metric_date", "total_volume", "flagged_rate"), "total_volume")
+    return build.days(d, "metric_date").orderBy("metric_date")
+
+
+@query("d03_tier_distribution", "SELECT risk_tier, COUNT(*) AS n FROM risk_board GROUP BY risk_tier")
+def d03(t):
+    return reshape.value_counts(build.risk_board(t), "risk_tier")
+
+
+@query(
+    "d03_score_balance_points",
+    """SELECT customer_id, latest_risk_score, CAST(total_balance AS DOUBLE) AS total_balance, risk_tier FROM risk_board""",
+)
+def d03b(t):
+    return build.doubles(build.risk_board(t), "total_balance").select(
+        "customer_id", "latest_risk_score", "total_balance", "risk_tier"
+    )
+
+
+@query(
+    "d04_churn_overview",
+    """SELECT is_churned, COUNT(*) AS customers, ROUND(AVG(total_balance), 4) AS avg_balance,
+              ROUND(AVG(total_transactions), 6) AS avg_transactions, ROUND(AVG(days_since_last_txn), 6) AS avg_idle_days
+       FROM churn GROUP BY is_churned""",
+)
+def d04(t):
+    return dashboards.churn_overview(build.churn(t))
+
+
+@query(
+    "d04_top_customers",
+    """SELECT customer_id, customer_name, CAST(total_balance AS DOUBLE) AS total_balance FROM profile
+       ORDER BY total_balance DESC, customer_id LIMIT 20""",
+)
+def d04b(t):
+    return build.doubles(dashboards.top_customers(build.profile(t)), "total_balance").select(
+        "customer_id", "customer_name", "total_balance"
+    )
+
+
+@query("d04_top_countries", "SELECT country, COUNT(*) AS customers FROM customers GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+def d04c(t):
+    return dashboards.top_countries(t.customers())
+
+
+@query(
+    "d05_channel_totals",
+    """SELECT channel, CAST(SUM(transaction_count) AS BIGINT) AS transactions, CAST(SUM(total_volume) AS DOUBLE) AS volume,
+              CAST(SUM(flagged_count) AS BIGINT) AS flagged FROM channel_daily GROUP BY channel""",
+)
+def d05(t):
+    return dashboards.channel_totals(build.channel_daily(t))
+
+
+@query("d06_base_row_counts", COUNTS_SQL)
+def d06(t):
+    return reshape.labelled_counts(base_tables(t))
+
+
+@query(
+    "d07_customers_by_country",
+    """SELECT country, COUNT(*) AS customers, CAST(SUM(annual_income) AS DOUBLE) / COUNT(*) AS avg_income,
+              CAST(SUM(credit_score) AS DOUBLE) / COUNT(*) AS avg_credit FROM customers GROUP BY country""",
+)
+def d07(t):
+    return dashboards.customers_by_country(t.customers())
+
+
+GROUPED_SQL = """SELECT {keys}, COUNT(*) AS txn_count, CAST(SUM(amount) AS DOUBLE) AS total_volume,
+       CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS avg_amount FROM transactions GROUP BY {keys}"""
+
+
+@query("d08_volume_by_category", GROUPED_SQL.format(keys="category"))
+def d08(t):
+    return dashboards.grouped_volume(t.categorised_transactions(), "category")
+
+
+@query("d08_volume_by_channel", GROUPED_SQL.format(keys="channel"))
+def d08b(t):
+    return dashboards.grouped_volume(t.plain_transactions(), "channel")
+
+
+@query(
+    "d09_risk_by_credit_history",
+    """SELECT credit_history, COUNT(*) AS n, CAST(SUM(risk_score) AS DOUBLE) / COUNT(*) AS avg_score FROM risk_assessments
+       GROUP BY credit_history""",
+)
+def d09(t):
+    doc = F.parse_json("risk_data_raw")
+    r = t.risk_assessments().select(
+        json_get(doc, "$.credit_history", "string").alias("credit_history"),
+        json_get(doc, "$.risk_score", "int").alias("risk_score"),
+    )
+    return r.groupBy("credit_history").agg(F.count("*").alias("n"), dbl_avg("risk_score").alias("avg_score"))
+
+
+@query(
+    "d09_market_parsed",
+    "SELECT market_data_id, ticker, open_price, high_price, low_price, close_price, volume, rsi FROM market_data",
+)
+def d09b(t):
+    return curated.market_parsed(t.market_data()).select(
+        "market_data_id", "ticker", "open_price", "high_price", "low_price", "close_price", "volume", "rsi"
+    )
+
+
+@query("d10_ticket_funnel", ROLLUP_SQL)
+def d10(t):
+    return ticket_funnel(t)
+
+
+@query(
+    "d11_percentiles_by_category",
+    """SELECT category, COUNT(*) AS txn_count, CAST(SUM(amount) AS DOUBLE) / COUNT(*) AS avg_amount,
+              ROUND(MEDIAN(CAST(amount AS DOUBLE)), 4) AS median_amount,
+              ROUND(QUANTILE_CONT(CAST(amount AS DOUBLE), 0.25), 4) AS p25,
+              ROUND(QUANTILE_CONT(CAST(amount AS DOUBLE), 0.75), 4) AS p75,
+              ROUND(QUANTILE_CONT(CAST(amount AS DOUBLE), 0.95), 4) AS p95, CAST(MAX(amount) AS DOUBLE) AS max_amount
+       FROM transactions GROUP BY category""",
+)
+def d11(t):
+    x = t.categorised_transactions()
+    base = x.groupBy("category").agg(
+        F.count("*").alias("txn_count"), dbl_avg("amount").alias("avg_amount"),
+        F.max("amount").cast("double").alias("max_amount"),
+    )
+    names = {"median_amount": 0.5, "p25": 0.25, "p75": 0.75, "p95": 0.95}
+    return base.join(group_percentiles(x, ["category"], "amount", names), "category").withColumns(
+        {n: F.round(n, 4) for n in names}
+    )
+
+
+@query(
+    "d12_spot_check",
+    """SELECT account_id, txn_id, part_id, supplier_id, CAST(amount AS DOUBLE) AS amount FROM transactions WHERE is_flagged
+       ORDER BY amount DESC, account_id, txn_id, part_id, supplier_id LIMIT 10""",
+)
+def d12(t):
+    keys = ("account_id", "txn_id", "part_id", "supplier_id")
+    x = t.plain_transactions().where("is_flagged").orderBy(F.desc("amount"), *keys).limit(10)
+    return x.select(*keys, F.col("amount").cast("double").alias("amount"))
+
+
+@query(
+    "d13_table_listing",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}"
+        for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+    ),
+)
+def d13(t):
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+    return reshape.labelled_counts({n: t.raw(n) for n in names})
+
+
+@query("d14_volume_category_channel", GROUPED_SQL.format(keys="category, channel"))
+def d14(t):
+    return dashboards.grouped_volume(t.categorised_transactions(), "category", "channel").orderBy(
+        F.desc("total_volume")
+    )
+
+
+@query(
+    "d15_overall_join_totals",
+    """SELECT COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS total, CAST(SUM(amount) AS DOUBLE) / COUNT(*) AS mean FROM enriched""",
+)
+def d15(t):
+    return build.plain_enriched(t).agg(
+        F.count("*").alias("n"), F.sum("amount").cast("double").alias("total"), dbl_avg("amount").alias("mean")
+    )
+
+
+@query(
+    "b19_layer_summary",
+    COUNTS_SQL
+    + """ UNION ALL SELECT 'enriched', COUNT(*) FROM enriched UNION ALL SELECT 'daily', COUNT(*) FROM daily
+       UNION ALL SELECT 'risk_board', COUNT(*) FROM risk_board UNION ALL SELECT 'missing_table', -1""",
+)
+def b19(t):
+    from ..operators.quality import layer_summary
+
+    tables = base_tables(t)
+    tables["enriched"] = build.plain_enriched(t)
+    tables["daily"] = build.daily(t)
+    tables["risk_board"] = build.risk_board(t)
+    return layer_summary(t.spark, {**tables, "missing_table": None})
