@@ -1,0 +1,358 @@
+"""Change capture, streaming and refresh (K)."""
+
+from pyspark.sql import functions as F
+
+from ..operators.changes import apply_changes, snapshot_diff
+from ..plans import consumption, curated
+from ..plans.refresh import APPEND, TOUCHED, Graph, run_report
+from ..sources import sinks
+from ..streaming import windows as sw
+from ..streaming.alerts import flagged_alerts, ticket_escalations
+from ..streaming.chain import run_chain
+from ..streaming.ingest import consume, parquet_stream
+from . import build
+from .registry import query
+from .scratch import scratch
+
+
+def drops(t, df, root, column, parts=2):
+    """Write a table as successive file drops and yield after each."""
+    for i in range(parts):
+        df.where(F.pmod(F.col(column), F.lit(parts)) == i).write.parquet(f"{root}/in/drop={i}")
+        yield i
+
+
+@query("k01_append_stream", "SELECT event_id, user_id, event_id % 2 AS _batch_id FROM events")
+def k01(t):
+    root = scratch(t.spark, "k01")
+    e = t.raw("events").select("event_id", "user_id")
+    for _ in drops(t, e, root, "event_id"):
+        consume(parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp")
+    out = sinks.read_batches(t.spark, f"{root}/out")
+    return out.select("event_id", "user_id", F.col("_batch_id").cast("long").alias("_batch_id"))
+
+
+def _ticket_snapshots(t):
+    """Two states of the tickets: some gone, some changed, some new."""
+    x = t.tickets().select("ticket_id", "priority", "resolution_status")
+    i = F.col("ticket_id")
+    old = x.where(i % 10 != 3)
+    new = x.where(i % 10 != 7).withColumn(
+        "resolution_status", F.when(i % 5 == 1, "REOPENED").otherwise(F.col("resolution_status"))
+    )
+    return old, new
+
+
+DIFF_SQL = """SELECT ticket_id, priority, resolution_status, 'DELETE' AS _action, ticket_id % 10 <> 7 AS _is_update FROM tickets
+       WHERE ticket_id % 10 = 7 OR ticket_id % 5 = 1
+       UNION ALL SELECT ticket_id, priority, CASE WHEN ticket_id % 5 = 1 THEN 'REOPENED' ELSE resolution_status END, 'INSERT',
+              ticket_id % 10 <> 3 FROM tickets WHERE ticket_id % 10 = 3 OR ticket_id % 5 = 1"""
+
+
+@query("k02_snapshot_diff", DIFF_SQL)
+def k02(t):
+    return snapshot_diff(*_ticket_snapshots(t), ["ticket_id"])
+
+
+@query(
+    "k02_apply_changes",
+    """SELECT ticket_id, priority, CASE WHEN ticket_id % 5 = 1 THEN 'REOPENED' ELSE resolution_status END AS resolution_status
+       FROM tickets WHERE ticket_id % 10 <> 7""",
+)
+def k02b(t):
+    old, new = _ticket_snapshots(t)
+    return apply_changes(old, snapshot_diff(old, new, ["ticket_id"]), ["ticket_id"])
+
+
+@query("k03_consume_once", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
+def k03(t):
+    root = scratch(t.spark, "k03")
+    e = t.raw("events").select("event_id", "event_type", "value")
+    for _ in drops(t, e, root, "event_id", 3):
+        for _ in range(2):  # a second run finds nothing new
+            consume(
+                parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp",
+                lambda b: b.where(F.col("event_type") == "purchase"),
+            )
+    return sinks.read_batches(t.spark, f"{root}/out").select("event_id", "value")
+
+
+@query(
+    "k04_has_new_data",
+    """SELECT 1 AS run, TRUE AS had_data, COUNT(*) AS rows_in FROM events WHERE event_id % 2 = 0
+       UNION ALL SELECT 2, FALSE, 0 UNION ALL SELECT 3, TRUE, COUNT(*) FROM events WHERE event_id % 2 = 1""",
+)
+def k04(t):
+    root = scratch(t.spark, "k04")
+    e = t.raw("events").select("event_id", "user_id")
+    results = []
+
+    def run():
+        r = consume(parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp")
+        results.append((len(results) + 1, r.had_data, r.rows_in))
+
+    for i in drops(t, e, root, "event_id"):
+        run()
+        if i == 0:
+            run()
+    return t.spark.createDataFrame(results, "run int, had_data boolean, rows_in bigint")
+
+
+@query(
+    "k05_net_change",
+    """SELECT user_id, event_id, event_type FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC,
+       event_id DESC) = 1""",
+)
+def k05(t):
+    e = t.raw("events").select("user_id", "event_id", "event_type", "ts")
+    return sinks.latest_per_key(e, ["user_id"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
+
+
+def _graph(t, root):
+    g = Graph(t.spark, root)
+    g.base("transactions", f"{root}/base/transactions")
+    g.base("accounts", f"{root}/base/accounts")
+    g.base("customers", f"{root}/base/customers")
+    sinks.write_batch(t.accounts(), f"{root}/base/accounts", 0)
+    sinks.write_batch(t.customers(), f"{root}/base/customers", 0)
+
+    def enrich(x, a, c):
+        return curated.transaction_enriched(x, a.drop("_batch_id"), c.drop("_batch_id"))
+
+    g.node("enriched", ["transactions", "accounts", "customers"], enrich, APPEND)
+    # Months, not days, are the unit of recomputation: one file per month instead of one per day.
+    g.node(
+        "daily",
+        ["enriched"],
+        lambda e: consumption.daily_financial_metrics(e).withColumn("metric_month", F.date_format("metric_date", "yyyy-MM")),
+        TOUCHED,
+        "metric_month",
+        lambda e: e.withColumn("metric_month", F.date_format("txn_date", "yyyy-MM")),
+    )
+    g.node("monthly", ["daily"], consumption.monthly_revenue)
+    return g
+
+
+MONTHLY_SQL = """SELECT strftime(revenue_month, '%Y-%m-%d') AS revenue_month, monthly_transactions, monthly_active_customers,
+       CAST(monthly_volume AS DOUBLE) AS monthly_volume, monthly_flags, trading_days FROM monthly"""
+
+
+def _monthly(df):
+    return build.days(build.doubles(df, "monthly_volume"), "revenue_month").select(
+        "revenue_month", "monthly_transactions", "monthly_active_customers", "monthly_volume", "monthly_flags", "trading_days"
+    )
+
+
+@query("k06_dependency_graph", MONTHLY_SQL)
+def k06(t):
+    root = scratch(t.spark, "k06")
+    g = _graph(t, root)
+    sinks.write_batch(t.plain_transactions(), f"{root}/base/transactions", 0)
+    g.refresh("monthly")
+    return _monthly(g.read("monthly"))
+
+
+@query(
+    "k07_skip_unchanged",
+    """SELECT 1 AS run, 'daily' AS node, 'SUCCEEDED' AS state, COUNT(DISTINCT CAST(txn_date AS DATE)) AS days FROM transactions
+       UNION ALL SELECT 1, 'enriched', 'SUCCEEDED', COUNT(DISTINCT CAST(txn_date AS DATE)) FROM transactions
+       UNION ALL SELECT 2, 'daily', 'SKIPPED', COUNT(DISTINCT CAST(txn_date AS DATE)) FROM transactions
+       UNION ALL SELECT 2, 'enriched', 'SKIPPED', COUNT(DISTINCT CAST(txn_date AS DATE)) FROM transactions""",
+)
+def k07(t):
+    root = scratch(t.spark, "k07")
+    g = _graph(t, root)
+    sinks.write_batch(t.plain_transactions(), f"{root}/base/transactions", 0)
+    rows = [(run, node, state) for run in (1, 2) for node, state in g.refresh("daily")]
+    days = g.read("daily").agg(F.count("*").alias("days")).withColumn("_one", F.lit(1))
+    log = t.spark.createDataFrame(rows, "run int, node string, state string").withColumn("_one", F.lit(1))
+    return log.join(days, "_one").drop("_one")
+
+
+@query("k08_incremental_equals_full", MONTHLY_SQL)
+def k08(t):
+    root = scratch(t.spark, "k08")
+    g = _graph(t, root)
+    x = t.plain_transactions()
+    late = F.col("txn_date") >= F.lit("2001-01-01").cast("timestamp_ntz")
+    for batch, part in enumerate((~late, late & (F.col("line_number") > 3), late & (F.col("line_number") <= 3))):
+        sinks.write_batch(x.where(part), f"{root}/base/transactions", batch)
+        g.refresh("monthly")
+    return _monthly(g.read("monthly"))
+
+
+@query(
+    "k09_flagged_alerts",
+    """SELECT account_id, txn_id, part_id, supplier_id, CAST(amount AS DOUBLE) AS amount,
+              CASE WHEN amount > 5000 THEN 'HIGH_VALUE_FLAGGED' WHEN merchant_name ILIKE '%offshore%' THEN 'SUSPICIOUS_MERCHANT'
+                   ELSE 'FLAGGED_TRANSACTION' END AS alert_reason FROM transactions WHERE is_flagged""",
+)
+def k09(t):
+    root = scratch(t.spark, "k09")
+    x = t.transactions().select(
+        "account_id", "txn_id", "part_id", "supplier_id", "amount", "merchant_name", "is_flagged", "line_number"
+    )
+    for _ in drops(t, x, root, "line_number"):
+        consume(parquet_stream(t.spark, f"{root}/in", x.schema), f"{root}/alerts", f"{root}/cp", flagged_alerts)
+    a = sinks.read_batches(t.spark, f"{root}/alerts")
+    return build.doubles(a, "amount").select("account_id", "txn_id", "part_id", "supplier_id", "amount", "alert_reason")
+
+
+@query(
+    "k10_ticket_escalations",
+    f"""SELECT ticket_id, priority, resolution_status, priority || '_PRIORITY' AS escalation_reason FROM ({DIFF_SQL})
+        WHERE _action = 'INSERT' AND priority IN ('HIGH', 'CRITICAL')""",
+)
+def k10(t):
+    changes = snapshot_diff(*_ticket_snapshots(t), ["ticket_id"])
+    return ticket_escalations(changes, ("HIGH", "CRITICAL")).select(
+        "ticket_id", "priority", "resolution_status", "escalation_reason"
+    )
+
+
+@query(
+    "k11_stream_velocity",
+    """SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount
+       FROM (SELECT user_id, value, time_bucket(INTERVAL 15 MINUTE, ts) - i * INTERVAL 15 MINUTE AS w
+             FROM events CROSS JOIN range(4) r(i)) GROUP BY user_id, w""",
+)
+def k11(t):
+    root = scratch(t.spark, "k11")
+    e = t.raw("events").select("event_id", "ts", "user_id", F.col("value").cast("decimal(18,2)").alias("amount"))
+    e.write.parquet(f"{root}/in/drop=0")
+    w = sw.windowed(
+        parquet_stream(t.spark, f"{root}/in", e.schema), "ts", "1 hour", "15 minutes", ["user_id"],
+        [F.count("*").alias("n"), F.sum("amount").alias("amount")],
+    )
+    sw.run_updates(w, f"{root}/out", f"{root}/cp")
+    out = sw.current_windows(t.spark, f"{root}/out", ["user_id"]).drop("window_end")
+    return build.texts(build.doubles(out, "amount"), "window_start")
+
+
+@query(
+    "k12_stream_daily_metrics",
+    """SELECT event_type, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS metric_date, COUNT(*) AS n,
+              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2""",
+)
+def k12(t):
+    root = scratch(t.spark, "k12")
+    e = t.raw("events").select("event_id", "ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    # Two drops in time order; the second starts inside a day, so its windows are updated.
+    middle = e.agg(F.max("event_id") / 2).first()[0]
+    for i, part in enumerate((F.col("event_id") < middle, F.col("event_id") >= middle)):
+        e.where(part).write.parquet(f"{root}/in/drop={i}")
+        w = sw.windowed(
+            parquet_stream(t.spark, f"{root}/in", e.schema), "ts", "1 day", None, ["event_type"],
+            [F.count("*").alias("n"), F.sum("value").alias("total")],
+        )
+        sw.run_updates(w, f"{root}/out", f"{root}/cp")
+    out = sw.current_windows(t.spark, f"{root}/out", ["event_type"])
+    return build.days(build.doubles(out, "total").withColumnRenamed("window_start", "metric_date"), "metric_date").drop("window_end")
+
+
+CHAIN_SQL = """SELECT '2001-12-31' AS metric_date, (SELECT COUNT(*) FROM customers) AS total_customers,
+       (SELECT COUNT(*) FROM transactions) AS total_transactions, (SELECT COUNT(*) FROM tickets) AS total_tickets,
+       (SELECT COUNT(*) FROM transactions WHERE is_flagged) AS alerts,
+       (SELECT COUNT(*) FROM tickets WHERE priority IN ('HIGH', 'CRITICAL')) AS escalations"""
+
+
+def _chain(t, triggers):
+    root = scratch(t.spark, "chain")
+    x = t.transactions().select("account_id", "txn_id", "amount", "merchant_name", "is_flagged", "txn_date")
+    k = t.tickets()
+    x.write.parquet(f"{root}/in/transactions")
+    k.write.parquet(f"{root}/in/tickets")
+    for _ in range(triggers):
+        run_chain(
+            t.spark,
+            parquet_stream(t.spark, f"{root}/in/transactions", x.schema),
+            parquet_stream(t.spark, f"{root}/in/tickets", k.schema),
+            lambda: consumption.metrics_snapshot(t.customers(), t.accounts(), x, k, build.as_of()),
+            root,
+            priorities=("HIGH", "CRITICAL"),
+        )
+    from ..operators.reshape import combine_single_rows
+
+    def count(name):
+        return sinks.read_batches(t.spark, f"{root}/raw/{name}").agg(F.count("*").alias(name))
+
+    snap = sinks.read_current(t.spark, f"{root}/consumption/metrics_snapshot")
+    both = combine_single_rows([snap, count("alerts"), count("escalations")])
+    return build.days(both, "metric_date").select(
+        "metric_date", "total_customers", "total_transactions", "total_tickets", "alerts", "escalations"
+    )
+
+
+@query("k13_event_chain", CHAIN_SQL)
+def k13(t):
+    return _chain(t, 1)
+
+
+@query("k14_manual_trigger_twice", CHAIN_SQL)
+def k14(t):
+    return _chain(t, 2)
+
+
+@query(
+    "k15_two_batch_propagation",
+    """SELECT stage, table_name, row_count FROM (
+         SELECT 1 AS stage, 'transactions' AS table_name, COUNT(*) AS row_count FROM transactions WHERE line_number <= 4
+         UNION ALL SELECT 1, 'enriched', COUNT(*) FROM enriched WHERE line_number <= 4
+         UNION ALL SELECT 1, 'daily', COUNT(DISTINCT CAST(txn_date AS DATE)) FROM enriched WHERE line_number <= 4
+         UNION ALL SELECT 2, 'transactions', COUNT(*) FROM transactions
+         UNION ALL SELECT 2, 'enriched', COUNT(*) FROM enriched
+         UNION ALL SELECT 2, 'daily', COUNT(DISTINCT CAST(txn_date AS DATE)) FROM enriched)""",
+)
+def k15(t):
+    from ..operators.reshape import labelled_counts, union_all
+    from ..session import stage
+
+    root = scratch(t.spark, "k15")
+    g = _graph(t, root)
+    x = t.plain_transactions()
+    seen = []
+    for i, part in enumerate((F.col("line_number") <= 4, F.col("line_number") > 4)):
+        sinks.write_batch(x.where(part), f"{root}/base/transactions", i)
+        g.refresh("daily")
+        counts = labelled_counts({n: g.read(n) for n in ("transactions", "enriched", "daily")})
+        seen.append(stage(counts.withColumn("stage", F.lit(i + 1))))
+    return union_all(seen)
+
+
+@query(
+    "k16_refresh_history",
+    """SELECT CAST(run_id AS BIGINT) AS run_id, node, state, mode, n_days FROM (
+         SELECT 1 AS run_id, 'daily' AS node, 'SUCCEEDED' AS state, 'touched' AS mode UNION ALL
+         SELECT 1, 'enriched', 'SUCCEEDED', 'append' UNION ALL SELECT 1, 'monthly', 'SUCCEEDED', 'full' UNION ALL
+         SELECT 2, 'daily', 'SKIPPED', 'touched' UNION ALL SELECT 2, 'enriched', 'SKIPPED', 'append' UNION ALL
+         SELECT 2, 'monthly', 'SKIPPED', 'full'),
+         (SELECT COUNT(DISTINCT CAST(txn_date AS DATE)) AS n_days FROM transactions)""",
+)
+def k16(t):
+    root = scratch(t.spark, "k16")
+    g = _graph(t, root)
+    sinks.write_batch(t.plain_transactions(), f"{root}/base/transactions", 0)
+    g.refresh("monthly")
+    g.refresh("monthly")
+    n = g.read("daily").agg(F.count("*").alias("n_days")).withColumn("_one", F.lit(1))
+    r = run_report(g.log()).where(F.col("seconds") >= 0).withColumn("_one", F.lit(1))
+    return r.join(n, "_one").select("run_id", "node", "state", "mode", "n_days")
+
+
+@query(
+    "k17_batch_verification",
+    """SELECT event_id % 3 AS _batch_id, COUNT(*) AS n_rows, CAST(COUNT_IF(event_type = 'error') AS BIGINT) AS flagged,
+              strftime(MIN(ts), '%Y-%m-%d %H:%M:%S') AS first_row, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_row
+       FROM events GROUP BY 1""",
+)
+def k17(t):
+    root = scratch(t.spark, "k17")
+    e = t.raw("events").select("event_id", "ts", "event_type")
+    for _ in drops(t, e, root, "event_id", 3):
+        consume(parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp")
+    g = sinks.read_batches(t.spark, f"{root}/out").groupBy(F.col("_batch_id").cast("long").alias("_batch_id")).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("event_type") == "error").alias("flagged"),
+        F.min("ts").alias("first_row"), F.max("ts").alias("last_row"),
+    )
+    return build.texts(g, "first_row", "last_row")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
+
 # Mask outputs, tag values, retention periods and minimum group size.
 MASK_TEXT = "***MASKED***"
 MASK_NUMBER = -1
@@ -219,15 +221,19 @@ def guarded_aggregate(
 
 
 def resolve_roles(edges: DataFrame) -> DataFrame:
-    """All (role, inherited) pairs of a grant graph given as (role, inherits)."""
-    return edges.sparkSession.sql(
-        """WITH RECURSIVE closure(role, inherited) AS (
-               SELECT role, inherits FROM {edges}
-               UNION ALL
-               SELECT c.role, e.inherits FROM closure c JOIN {edges} e ON c.inherited = e.role
-           ) SELECT DISTINCT role, inherited FROM closure""",
-        edges=edges,
-    )
+    """All (role, inherited) pairs of a grant graph given as (role, inherits).
+
+    One join per level of the hierarchy; only pairs not seen before go on, so grant cycles
+    end as well. Each level is written before the next one reads it.
+    """
+    steps = edges.select(F.col("role").alias("_via"), "inherits").distinct()
+    known = stage(edges.select("role", F.col("inherits").alias("inherited")).distinct())
+    fresh = known
+    while not fresh.isEmpty():
+        onward = fresh.join(steps, fresh.inherited == steps._via).select("role", F.col("inherits").alias("inherited"))
+        fresh = stage(onward.distinct().join(known, ["role", "inherited"], "left_anti"))
+        known = known.unionByName(fresh)
+    return known
 
 
 # Value patterns and name hints of the automatic classification.
