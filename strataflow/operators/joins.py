@@ -56,3 +56,21 @@ def left_aggregate(
     for name, value in (defaults or {}).items():
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
     return out
+
+
+def lookup_by_hot_key(
+    facts: DataFrame, lookup: DataFrame, key: str, value: str, frequency: str, hot: int = 1_000_000
+) -> DataFrame:
+    """Inner lookup of one value by key, where the lookup itself says how frequent each key is.
+
+    Keys seen at least `hot` times are at most (facts / hot) rows and are broadcast. Facts
+    they match leave the shuffle key and are spread by a hash of the row instead, so the
+    shuffle join only sees keys below `hot`.
+    """
+    frequent = lookup.where(F.col(frequency) >= hot).select(F.col(key).alias("_hk"), F.col(value).alias("_hv"))
+    rare = lookup.where(F.col(frequency) < hot).select(F.col(key).alias("_rk"), F.col(value).alias("_rv"))
+    marked = facts.join(F.broadcast(frequent), F.col(key) == F.col("_hk"), "left")
+    spread = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))
+    marked = marked.withColumn("_sk", F.when(F.col("_hk").isNull(), F.col(key)).otherwise(spread))
+    out = marked.join(rare, F.col("_sk") == F.col("_rk"), "left")
+    return out.select(*facts.columns, F.coalesce("_hv", "_rv").alias(value)).where(F.col(value).isNotNull())
