@@ -1,0 +1,256 @@
+"""Machine-learning data steps, models and evaluation (Y)."""
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import ml
+from ..plans.consumption import CHURN_FEATURES, churn_features
+from . import build
+from .registry import VIEWS, query
+from .scratch import scratch
+
+FEATURES = ("annual_income", "credit_score", "tenure_days", "total_accounts", "total_balance", "total_transactions")
+
+VIEWS["scored_docs"] = """SELECT l.doc_id, l.quality, CAST(n_chars % 100 AS DOUBLE) / 100 AS score,
+    CASE WHEN n_chars % 100 >= 50 THEN 1 ELSE 0 END AS prediction FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+def scored_docs(t):
+    """Labels with a made-up rule's score, to check the evaluation against SQL."""
+    cents = F.col("n_chars") % 100
+    return t.raw("labels").join(t.raw("documents").select("doc_id", "n_chars"), "doc_id").select(
+        "doc_id", "quality", (cents.cast("double") / 100).alias("score"),
+        F.when(cents >= 50, 1).otherwise(0).alias("prediction"),
+    )
+
+
+@query(
+    "y01_assembled_features",
+    "SELECT customer_id, " + " + ".join(f"COALESCE(CAST({f} AS DOUBLE), 0.0)" for f in CHURN_FEATURES)
+    + f" AS feature_sum, {len(CHURN_FEATURES)} AS n_features FROM churn",
+)
+def y01(t):
+    v = ml.assemble(build.churn(t), CHURN_FEATURES)
+    arr = vector_to_array("features")
+    return v.select(
+        "customer_id", F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("feature_sum"), F.size(arr).alias("n_features")
+    )
+
+
+@query(
+    "y02_stratified_split",
+    """SELECT doc_id, quality, ROW_NUMBER() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || '-42'), doc_id) - 1
+              < floor(COUNT(*) OVER (PARTITION BY quality) * 0.8::DOUBLE) AS is_train FROM labels""",
+)
+def y02(t):
+    return ml.stratified_split(t.raw("labels").select("doc_id", "quality"), "quality", "doc_id")
+
+
+@query(
+    "y03_time_split",
+    """SELECT strftime(revenue_month, '%Y-%m-%d') AS revenue_month,
+              ROW_NUMBER() OVER (ORDER BY revenue_month) <= floor(COUNT(*) OVER () * 0.8::DOUBLE) AS is_train FROM monthly""",
+)
+def y03(t):
+    return build.days(ml.time_split(build.monthly(t).select("revenue_month"), "revenue_month"), "revenue_month")
+
+
+@query(
+    "y04_standard_scaling",
+    """WITH base AS (SELECT customer_id, CAST(credit_score AS DOUBLE) AS a, CAST(annual_income AS DOUBLE) AS b FROM customers),
+       train AS (SELECT AVG(a) AS ma, STDDEV_SAMP(a) AS sa, AVG(b) AS mb, STDDEV_SAMP(b) AS sb FROM base WHERE customer_id % 5 <> 0)
+       SELECT customer_id, ROUND((a - ma) / sa, 6) AS credit_scaled, ROUND((b - mb) / sb, 6) AS income_scaled FROM base, train""",
+)
+def y04(t):
+    c = ml.numeric_features(t.customers(), ["credit_score", "annual_income"])
+    model = ml.scaled(c.where(F.col("customer_id") % 5 != 0), ["credit_score", "annual_income"])
+    x = model.transform(c).withColumn("_a", vector_to_array("features"))
+    return x.select(
+        "customer_id", F.round(F.col("_a")[0], 6).alias("credit_scaled"), F.round(F.col("_a")[1], 6).alias("income_scaled")
+    )
+
+
+def _churn_sets(t):
+    """Training and test rows without the columns the label is computed from."""
+    features = [f for f in CHURN_FEATURES if f not in ("days_since_last_txn", "active_accounts")]
+    rows = churn_features(build.c360(t), build.as_of(), exclude_label_sources=True)
+    rows = ml.numeric_features(rows, features).withColumn("label", F.col("is_churned").cast("double"))
+    split = ml.stratified_split(rows, "is_churned", "customer_id").cache()
+    return split.where("is_train"), split.where("NOT is_train"), features
+
+
+@query("y05_churn_classifiers")
+def y05(t):
+    train, test, features = _churn_sets(t)
+    return ml.compare_classifiers(train, test, features, "label", ml.classifiers("label", trees=20, boosting=5))
+
+
+def _revenue_sets(t):
+    rows = ml.revenue_features(build.monthly(t)).withColumn("label", F.col("monthly_volume"))
+    skip = ("revenue_month", "label", "monthly_volume")
+    features = [f.name for f in rows.schema.fields if f.name not in skip]
+    rows = ml.numeric_features(rows, features)
+    split = ml.time_split(rows, "revenue_month").cache()
+    return split.where("is_train"), split.where("NOT is_train"), features
+
+
+@query("y06_revenue_regressors")
+def y06(t):
+    train, test, features = _revenue_sets(t)
+    return ml.compare_regressors(train, test, features, "label", ml.regressors("label", trees=20, boosting=5))
+
+
+@query(
+    "y07_classification_metrics",
+    """SELECT tp, fp, fn, tn, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) AS accuracy,
+              CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0 END AS precision,
+              CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0 END AS recall,
+              CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) AS f1, ROUND(auc, 6) AS auc FROM (
+         SELECT CAST(COUNT_IF(quality = 1 AND prediction = 1) AS BIGINT) AS tp, CAST(COUNT_IF(quality <> 1 AND prediction = 1) AS BIGINT) AS fp,
+                CAST(COUNT_IF(quality = 1 AND prediction <> 1) AS BIGINT) AS fn, CAST(COUNT_IF(quality <> 1 AND prediction <> 1) AS BIGINT) AS tn
+         FROM scored_docs), (
+         SELECT AVG(CASE WHEN a.score > b.score THEN 1.0::DOUBLE WHEN a.score = b.score THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END) AS auc
+         FROM scored_docs a, scored_docs b WHERE a.quality = 1 AND b.quality <> 1)""",
+)
+def y07(t):
+    from ..operators.reshape import combine_single_rows
+
+    d = scored_docs(t)
+    auc = ml.area_under_roc(ml.roc_points(d, "quality", "score")).select(F.round("auc", 6).alias("auc"))
+    return combine_single_rows([ml.classification_metrics(d, "quality", "prediction"), auc])
+
+
+PRED_SQL = """SELECT revenue_month, CAST(monthly_volume AS DOUBLE) AS actual,
+       CAST(monthly_transactions AS DOUBLE) * 50000 AS predicted FROM monthly"""
+
+
+def _predicted(t):
+    return build.monthly(t).select(
+        "revenue_month", F.col("monthly_volume").cast("double").alias("actual"),
+        (F.col("monthly_transactions").cast("double") * 50000).alias("predicted"),
+    )
+
+
+@query(
+    "y08_regression_metrics",
+    f"""WITH p AS ({PRED_SQL}) SELECT ROUND(AVG(ABS(actual - predicted)), 4) AS mae,
+              ROUND(SQRT(AVG((actual - predicted) * (actual - predicted))), 4) AS rmse,
+              ROUND(1 - SUM((actual - predicted) * (actual - predicted)) / (VAR_POP(actual) * COUNT(*)), 6) AS r2,
+              ROUND(AVG(ABS((actual - predicted) / actual)) * 100, 6) AS mape FROM p""",
+)
+def y08(t):
+    m = ml.regression_metrics(_predicted(t), "actual", "predicted")
+    return m.select(F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("mape", 6).alias("mape"))
+
+
+@query(
+    "y09_confusion_matrix",
+    """SELECT quality, CAST(COUNT_IF(prediction = 0) AS BIGINT) AS predicted_0, CAST(COUNT_IF(prediction = 1) AS BIGINT) AS predicted_1
+       FROM scored_docs GROUP BY quality""",
+)
+def y09(t):
+    return ml.confusion_matrix(scored_docs(t), "quality", "prediction")
+
+
+@query(
+    "y10_roc_points",
+    """SELECT score, CAST(SUM(p) OVER w AS DOUBLE) / (SELECT COUNT(*) FROM scored_docs WHERE quality = 1) AS tpr,
+              CAST(SUM(n) OVER w AS DOUBLE) / (SELECT COUNT(*) FROM scored_docs WHERE quality <> 1) AS fpr FROM (
+         SELECT score, COUNT_IF(quality = 1) AS p, COUNT_IF(quality <> 1) AS n FROM scored_docs GROUP BY score)
+       WINDOW w AS (ORDER BY score DESC)""",
+)
+def y10(t):
+    return ml.roc_points(scored_docs(t), "quality", "score").select("score", "tpr", "fpr")
+
+
+_CORR = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(CORR(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS correlation FROM churn"
+    for a in FEATURES
+    for b in FEATURES
+)
+
+
+@query("y11_correlation_matrix", _CORR)
+def y11(t):
+    return ml.correlation_matrix(build.churn(t), FEATURES).withColumn("correlation", F.round("correlation", 6))
+
+
+@query("y12_feature_importance")
+def y12(t):
+    train, _, features = _churn_sets(t)
+    prep = ml.scaled(train, features)
+    model = ml.classifiers("label", trees=20)["random_forest"].fit(prep.transform(train))
+    return ml.feature_importance(t.spark, model, features)
+
+
+@query(
+    "y13_best_model",
+    """SELECT model, accuracy FROM (
+         SELECT 'length_rule' AS model, AVG(CASE WHEN quality = prediction THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM scored_docs
+         UNION ALL SELECT 'always_good', AVG(CASE WHEN quality = 1 THEN 1.0::DOUBLE ELSE 0 END) FROM scored_docs)
+       ORDER BY accuracy DESC, model LIMIT 1""",
+)
+def y13(t):
+    d = scored_docs(t)
+    rule = ml.classification_metrics(d, "quality", "prediction").withColumn("model", F.lit("length_rule"))
+    always = d.withColumn("prediction", F.lit(1))
+    both = rule.unionByName(ml.classification_metrics(always, "quality", "prediction").withColumn("model", F.lit("always_good")))
+    return ml.best_model(both, "accuracy").select("model", "accuracy")
+
+
+@query("y14_save_load_score", "SELECT COUNT(*) AS n_scored, COUNT(*) AS n_equal FROM customers")
+def y14(t):
+    root = scratch(t.spark, "model")
+    c = ml.numeric_features(t.customers(), ["credit_score", "annual_income"])
+    model = ml.scaled(c, ["credit_score", "annual_income"])
+    ml.save_model(model, root, "scaler", 1)
+    fresh = model.transform(c).select("customer_id", vector_to_array("features").alias("a"))
+    again = ml.load_and_score(c, root, "scaler", 1).select("customer_id", vector_to_array("features").alias("b"))
+    return fresh.join(again, "customer_id").agg(
+        F.count("*").alias("n_scored"), F.count_if(F.col("a") == F.col("b")).alias("n_equal")
+    )
+
+
+@query(
+    "y15_revenue_features",
+    """WITH f AS (SELECT revenue_month, CAST(monthly_volume AS DOUBLE) AS v, CAST(monthly_transactions AS DOUBLE) AS c FROM monthly)
+       SELECT strftime(revenue_month, '%Y-%m-%d') AS revenue_month, volume_lag_1, volume_lag_3, count_lag_2,
+              ROUND(volume_roll_6, 4) AS volume_roll_6, ROUND(count_roll_3, 6) AS count_roll_3, growth FROM (
+         SELECT revenue_month, LAG(v, 1) OVER w AS volume_lag_1, LAG(v, 3) OVER w AS volume_lag_3, LAG(c, 2) OVER w AS count_lag_2,
+                AVG(v) OVER (ORDER BY revenue_month ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS volume_roll_6,
+                AVG(c) OVER (ORDER BY revenue_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS count_roll_3,
+                v / LAG(v, 1) OVER w - 1 AS growth, ROW_NUMBER() OVER w AS rn FROM f WINDOW w AS (ORDER BY revenue_month)) WHERE rn >= 6""",
+)
+def y15(t):
+    r = ml.revenue_features(build.monthly(t))
+    return build.days(r, "revenue_month").select(
+        "revenue_month", "volume_lag_1", "volume_lag_3", "count_lag_2", F.round("volume_roll_6", 4).alias("volume_roll_6"),
+        F.round("count_roll_3", 6).alias("count_roll_3"), "growth",
+    )
+
+
+@query(
+    "y16_residuals",
+    f"""WITH p AS ({PRED_SQL}) SELECT strftime(revenue_month, '%Y-%m-%d') AS revenue_month, actual, predicted,
+        actual - predicted AS residual FROM p""",
+)
+def y16(t):
+    return build.days(_predicted(t).withColumn("residual", F.col("actual") - F.col("predicted")), "revenue_month")
+
+
+@query(
+    "y17_histogram",
+    """SELECT CAST(CASE WHEN value = hi THEN 30 ELSE floor((value - lo) / ((hi - lo) / 30)) + 1 END AS INTEGER) AS bin, COUNT(*) AS n
+       FROM (SELECT CAST(balance AS DOUBLE) AS value, 0.0::DOUBLE AS lo, 600000.0::DOUBLE AS hi FROM accounts) WHERE value BETWEEN lo AND hi GROUP BY 1""",
+)
+def y17(t):
+    a = t.accounts().where(F.col("balance").between(0, 600000))
+    return ml.histogram(a, "balance", 30, F.lit(0.0), F.lit(600000.0))
+
+
+@query(
+    "y18_class_balance",
+    """SELECT is_churned, COUNT(*) AS n, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM churn) AS share FROM churn GROUP BY is_churned""",
+)
+def y18(t):
+    return ml.class_balance(build.churn(t), "is_churned")
