@@ -48,7 +48,10 @@ def register_table_function(spark: SparkSession) -> None:
     @udtf(returnType=FACTOR_ROWS)
     class ParseRiskFactors:
         def eval(self, text: str):
-            doc = json.loads(text) if text is not None else None
+            try:
+                doc = json.loads(text) if text is not None else None
+            except ValueError:
+                return
             if not isinstance(doc, dict):
                 return
             head = doc.get("risk_score"), doc.get("credit_history", "UNKNOWN")
