@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .reshape import combine_single_rows, union_all
 from .windows import global_position, lagged, row_frames, running_totals
 
 SEED = 42
@@ -111,12 +113,12 @@ def roc_points(df: DataFrame, label: str, score: str, blocks: int = 1000) -> Dat
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
         .withColumn("_all", F.lit(0))
     )
-    totals = counts.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).withColumn("_all", F.lit(0))
+    totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     block = -F.floor(F.col("score") * blocks)
     running = running_totals(
-        counts, ["_all"], [F.desc("score")], block, {"tp": F.col("pos"), "fp": F.col("neg")}
+        counts, ["_all"], [F.desc("score")], block, {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows=0
     )
-    out = running.join(F.broadcast(totals), "_all")
+    out = running.withColumn("_t", totals).withColumns({"_p": F.col("_t.p"), "_n": F.col("_t.n")})
     return out.select(
         "score", "pos", "neg", "tp", "fp",
         (F.col("tp") / F.nullif(F.col("_p"), F.lit(0))).alias("tpr"),
@@ -171,25 +173,19 @@ def feature_importance(spark: SparkSession, model, features: Sequence[str]) -> D
 
 def compare_classifiers(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: dict[str, object]) -> DataFrame:
     """Fit each model on scaled training rows, one row of test metrics per model."""
-    from pyspark.ml.functions import vector_to_array
-
-    from .reshape import union_all
-
     prep = scaled(train, features)
     fit_rows, test_rows = prep.transform(train).cache(), prep.transform(test)
     out = []
     for name, model in models.items():
         scored = model.fit(fit_rows).transform(test_rows)
         scored = scored.withColumn("_score", vector_to_array("probability")[1])
-        auc = area_under_roc(roc_points(scored, label, "_score")).withColumn("_one", F.lit(1))
-        row = classification_metrics(scored, label, "prediction").withColumn("_one", F.lit(1)).join(auc, "_one").drop("_one")
+        auc = area_under_roc(roc_points(scored, label, "_score"))
+        row = combine_single_rows([classification_metrics(scored, label, "prediction"), auc])
         out.append(row.withColumn("model", F.lit(name)))
     return union_all(out)
 
 
 def compare_regressors(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: dict[str, object]) -> DataFrame:
-    from .reshape import union_all
-
     prep = scaled(train, features)
     fit_rows, test_rows = prep.transform(train).cache(), prep.transform(test)
     return union_all(
@@ -236,7 +232,7 @@ def revenue_features(monthly: DataFrame, volume: str = "monthly_volume", count:
     frames["growth"] = (1, lambda w: F.col(volume) / F.lag(volume, 1).over(w) - 1)
     # One row per month: a constant key holds no more rows than the calendar has months.
     keyed = base.withColumn("_all", F.lit(0))
-    out = row_frames(keyed, ["_all"], [F.asc("revenue_month")], F.year("revenue_month"), frames)
+    out = row_frames(keyed, ["_all"], [F.asc("revenue_month")], F.year("revenue_month"), frames, hot_rows=None)
     return out.drop("_all").dropna(subset=list(frames))
 
 

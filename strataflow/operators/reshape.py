@@ -47,6 +47,9 @@ def value_counts(df: DataFrame, *cols: str, count: str = "n") -> DataFrame:
 
 
 def combine_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
-    """Put one-row aggregates side by side, through a shared constant key (each side is one row)."""
-    keyed = [f.withColumn("_one", F.lit(1)) for f in frames]
-    return reduce(lambda a, b: a.join(b, "_one"), keyed).drop("_one")
+    """Put one-row aggregates side by side: all but the first come in as scalar subqueries, so nothing is joined."""
+    first, rest = frames[0], frames[1:]
+    packed = [f.select(F.struct(*f.columns)).scalar().alias(f"_s{i}") for i, f in enumerate(rest)]
+    wide = first.select("*", *packed)
+    fields = [F.col(f"_s{i}.{c}").alias(c) for i, f in enumerate(rest) for c in f.columns]
+    return wide.select(*first.columns, *fields)

@@ -53,11 +53,12 @@ def bm25(
 ) -> DataFrame:
     """Documents ranked for the query terms; attribute filters apply before the top k."""
     hits = index.where(F.col("term").isin(*terms))
-    # One row: document count and mean length.
-    corpus = doc_lengths.agg(F.count(F.lit(1)).alias("_n"), F.avg("doc_len").alias("_avg")).withColumn("_one", F.lit(1))
+    # Document count and mean length, as one scalar struct.
+    corpus = doc_lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg"))).scalar()
     # One row per query term.
     counts = hits.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    rows = hits.join(F.broadcast(counts), "term").withColumn("_one", F.lit(1)).join(F.broadcast(corpus), "_one")
+    rows = hits.join(F.broadcast(counts), "term").withColumn("_c", corpus)
+    rows = rows.withColumns({"_n": F.col("_c.n"), "_avg": F.col("_c.avg")})
     idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     tf = F.col("tf")
     part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / F.col("_avg")))

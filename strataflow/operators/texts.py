@@ -72,7 +72,7 @@ def answer_question(docs: DataFrame, key: Sequence[str], text: str, terms: Seque
     """Best sentence per document for the terms of a question.
 
     A sentence scores the weights of the distinct question terms it holds. Only the document
-    counts of those few terms are needed: one aggregate row, joined as a one-row frame.
+    counts of those few terms are needed: one aggregate row, read as a scalar subquery.
     """
     words = tokens(text)
     flags = [F.count_if(F.array_contains(words, w)).alias(f"_d{i}") for i, w in enumerate(terms)]
@@ -81,15 +81,14 @@ def answer_question(docs: DataFrame, key: Sequence[str], text: str, terms: Seque
         F.when(F.col(f"_d{i}") > 0, F.round(F.log(F.col("_n") / F.col(f"_d{i}")) * WEIGHT_UNIT)).otherwise(0).cast("long")
         for i in range(len(terms))
     ]
-    weights = stats.select(F.array(*cells).alias("_w")).withColumn("_one", F.lit(1))
-    rows = docs.select(*key, F.posexplode(sentences(text)).alias("pos", "sentence"), F.lit(1).alias("_one"))
-    rows = rows.join(F.broadcast(weights), "_one")
+    weights = stats.select(F.array(*cells)).scalar()
+    rows = docs.select(*key, F.posexplode(sentences(text)).alias("pos", "sentence"), weights.alias("_w"))
     own = tokens("sentence")
     score = None
     for i, w in enumerate(terms):
         part = F.when(F.array_contains(own, w), F.col("_w")[i]).otherwise(F.lit(0))
         score = part if score is None else score + part
-    scored = rows.withColumn("score", score).where(F.col("score") > 0).drop("_w", "_one")
+    scored = rows.withColumn("score", score).where(F.col("score") > 0).drop("_w")
     return top_n_per_group(scored, key, [F.desc("score"), F.asc("pos")])
 
 

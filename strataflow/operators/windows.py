@@ -54,7 +54,7 @@ def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
-    hot_rows: int,
+    hot_rows: int | None,
     plain: Callable[[DataFrame], DataFrame],
     blocked: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
@@ -62,8 +62,13 @@ def split_hot(
 
     At most (rows / hot_rows) keys can be hot, which bounds the broadcast: a trillion rows
     give a million keys. With no hot key the second branch is empty at run time.
+    hot_rows=0 treats every key as hot, None treats none as hot; both skip the counting.
     """
     keyed = _with_key(df, keys)
+    if hot_rows is None:
+        return plain(keyed)
+    if hot_rows == 0:
+        return blocked(keyed)
     hot = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
     hot = F.broadcast(hot.select("_key"))
     ordinary = plain(keyed.join(hot, "_key", "left_anti"))
@@ -105,7 +110,7 @@ def running_totals(
     block: Column,
     sums: dict[str, Column] | None = None,
     sequence: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Running sums (rows up to the current one) and a 1-based sequence number per key.
 
@@ -134,7 +139,7 @@ def row_frames(
     order: Sequence[Column],
     block: Column,
     frames: dict[str, tuple[int, Callable[[Window], Column]]],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     rows_per_block: int = 100_000,
 ) -> DataFrame:
     """Columns over the current row and the n rows before it, per key.

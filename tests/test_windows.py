@@ -38,7 +38,7 @@ def _order():
     return [F.asc("ts"), F.asc("id")]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 50, 10_000])
+@pytest.mark.parametrize("hot_rows", [0, 1, 50, 10_000, None])
 def test_running_totals(ledger, hot_rows):
     got = w.running_totals(ledger, ["key"], _order(), _block(), {"total": F.col("v")}, "seq", hot_rows)
     plain = Window.partitionBy("key").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)
@@ -47,7 +47,7 @@ def test_running_totals(ledger, hot_rows):
     assert rows(got.select(cols), "id") == rows(want.select(cols), "id")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 50, 10_000])
+@pytest.mark.parametrize("hot_rows", [0, 1, 50, 10_000, None])
 def test_row_frames(ledger, hot_rows):
     frames = {"ma": w.moving_average("v", 7), "prev": w.lagged("v", 3)}
     got = w.row_frames(ledger, ["key"], _order(), _block(), frames, hot_rows, rows_per_block=11)
