@@ -14,10 +14,11 @@ K1, B = 1.2, 0.75
 RRF_K = 60
 
 
-def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, document, occurrences, document length)."""
+def postings(docs: DataFrame, key: str, text: str, terms: Sequence[str] | None = None) -> DataFrame:
+    """(term, document, occurrences, document length), for all terms or only the given ones."""
     words = docs.select(F.col(key).alias("doc"), tokens(text).alias("_w"))
-    rows = words.select("doc", F.size("_w").alias("doc_len"), F.explode("_w").alias("term"))
+    kept = F.col("_w") if terms is None else F.filter("_w", lambda w: w.isin(*terms))
+    rows = words.select("doc", F.size("_w").alias("doc_len"), F.explode(kept).alias("term"))
     return rows.groupBy("term", "doc", "doc_len").agg(F.count(F.lit(1)).alias("tf"))
 
 

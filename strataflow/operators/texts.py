@@ -98,7 +98,8 @@ def themes(docs: DataFrame, key: Sequence[str], text: str, group: str, n: int =
     Counts are combined before every shuffle; each group sends n rows per task to the ranking.
     """
     total = docs.agg(F.count(F.lit(1))).scalar()
-    pairs = docs.select(group, F.explode(F.array_distinct(tokens(text))).alias("term")).where(F.length("term") >= min_length)
+    long_enough = F.filter(F.array_distinct(tokens(text)), lambda w: F.length(w) >= min_length)
+    pairs = docs.select(group, F.explode(long_enough).alias("term"))
     counts = pairs.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n_docs"))
     everywhere = counts.groupBy("term").agg(F.sum("n_docs").alias("_all"))
     weight = F.round(F.log(total / F.col("_all")) * WEIGHT_UNIT).cast("long")

@@ -104,7 +104,8 @@ def transaction_enriched(transactions: DataFrame, accounts: DataFrame, customers
         "annual_income",
     )
     # The two lookups meet first: account rows are far fewer than transactions, so the
-    # transaction side is shuffled once, on the account key.
+    # transaction side is shuffled once, on the account key. Whether the lookup is small
+    # enough to broadcast is left to adaptive execution, which knows its real size.
     return transactions.join(a.join(c, "customer_id"), "account_id")
 
 
