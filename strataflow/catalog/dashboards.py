@@ -154,7 +154,7 @@ def d11(t):
         F.max("amount").cast("double").alias("max_amount"),
     )
     names = {"median_amount": 0.5, "p25": 0.25, "p75": 0.75, "p95": 0.95}
-    return base.join(group_percentiles(x, ["category"], "amount", names), "category").withColumns(
+    return base.join(group_percentiles(x, ["category"], "amount", names), "category", "left").withColumns(
         {n: F.round(n, 4) for n in names}
     )
 

@@ -23,6 +23,7 @@ from ..functions.compat import epoch_seconds
 from ..session import stage
 
 HOT_ROWS = 1_000_000
+_LAST_BLOCK = (1 << 63) - 1
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id() count rows inside a partition
 
 
@@ -82,7 +83,8 @@ def _running_blocks(
     measures = {name: measure for name, measure in sums.items()}
     if sequence:
         measures[sequence] = F.lit(1).cast("long")
-    blocked = df.withColumn("_block", block)
+    # Rows without an order value form the last block.
+    blocked = df.withColumn("_block", F.coalesce(block.cast("long"), F.lit(_LAST_BLOCK)))
     for name, measure in measures.items():
         blocked = blocked.withColumn(f"_m_{name}", measure)
     totals = blocked.groupBy("_key", "_block").agg(
@@ -115,7 +117,8 @@ def running_totals(
     """Running sums (rows up to the current one) and a 1-based sequence number per key.
 
     `block` must grow with `order` (for example the day of the ordering timestamp) and be
-    fine enough that one block of one key fits a task.
+    fine enough that one block of one key fits a task. A null block comes last, so order
+    columns that may be null with `asc_nulls_last`.
     """
     sums = sums or {}
 
@@ -207,7 +210,7 @@ def time_range_frames(
     w = Window.partitionBy(*keys, "_slot").orderBy("_us").rangeBetween(-seconds * unit, 0)
     for name, make in aggregates.items():
         spread = spread.withColumn(name, make().over(w))
-    return spread.where(F.col("_slot") == F.col("_own")).drop("_us", "_own", "_slot")
+    return spread.where(F.col("_slot").eqNullSafe(F.col("_own"))).drop("_us", "_own", "_slot")
 
 
 def global_position(df: DataFrame, order: Sequence[Column], position: str, total: str | None = None) -> DataFrame:

@@ -18,12 +18,13 @@ DAY = dt.datetime(2024, 1, 1)
 
 @pytest.fixture(scope="module")
 def ledger(spark):
-    """One key with a third of the rows, a null key, ties in time."""
+    """One key with a third of the rows, a null key, null times, ties in time."""
     rnd = random.Random(7)
     data = []
     for i in range(600):
         key = "hot" if i % 3 == 0 else rnd.choice(["a", "b", "c", None, f"k{i % 40}"])
-        data.append((i, key, DAY + dt.timedelta(minutes=rnd.randrange(0, 6000)), rnd.randrange(-50, 50)))
+        when = DAY + dt.timedelta(minutes=rnd.randrange(0, 6000)) if i % 29 else None
+        data.append((i, key, when, rnd.randrange(-50, 50)))
     return spark.createDataFrame(data, "id long, key string, ts timestamp, v long").cache()
 
 
@@ -31,11 +32,8 @@ def _block():
     return F.unix_date(F.to_date("ts"))
 
 
-ORDER = [F.asc, "ts", "id"]
-
-
 def _order():
-    return [F.asc("ts"), F.asc("id")]
+    return [F.asc_nulls_last("ts"), F.asc("id")]
 
 
 @pytest.mark.parametrize("hot_rows", [0, 1, 50, 10_000, None])
