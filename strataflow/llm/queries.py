@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .contamination import contamination_report
 from .exact import exact_groups
+from .near import near_groups
 from .personal import personal_data
+from .pieces import round_trip
+from .quality import quality
 from .secrets import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +81,18 @@ def op4(spark, sf_dir):
 @query("op8_personal_data")
 def op8(spark, sf_dir):
     return personal_data(read(spark, sf_dir, "documents")).drop("found")
+
+
+@query("op6_quality")
+def op6(spark, sf_dir):
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_sentencepiece")
+def op7(spark, sf_dir):
+    return round_trip(read(spark, sf_dir, "documents"))
+
+
+@query("op3_near_dedup")
+def op3(spark, sf_dir):
+    return near_groups(read(spark, sf_dir, "documents"))
