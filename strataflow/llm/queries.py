@@ -12,7 +12,9 @@ from .near import near_groups
 from .personal import personal_data
 from .pieces import round_trip
 from .quality import quality
+from .repeats import remove_repeats
 from .secrets import secrets
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +98,13 @@ def op7(spark, sf_dir):
 @query("op3_near_dedup")
 def op3(spark, sf_dir):
     return near_groups(read(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op9_repeated_passages")
+def op9(spark, sf_dir):
+    return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
