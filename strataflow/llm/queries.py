@@ -13,6 +13,7 @@ from .personal import personal_data
 from .pieces import round_trip
 from .quality import quality
 from .repeats import remove_repeats
+from .scoring import score_texts
 from .secrets import secrets
 from .toxicity import toxicity
 
@@ -108,3 +109,8 @@ def op5(spark, sf_dir):
 @query("op9_repeated_passages")
 def op9(spark, sf_dir):
     return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False)
+
+
+@query("op10_lm_scoring")
+def op10(spark, sf_dir):
+    return score_texts(read(spark, sf_dir, "documents"))
