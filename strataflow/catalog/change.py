@@ -180,6 +180,44 @@ def k08(t):
     return _monthly(g.read("monthly"))
 
 
+@query(
+    "k08_incremental_lookup_change",
+    """SELECT strftime(m, '%Y-%m') AS month, c_mktsegment AS segment, COUNT(*) AS n,
+              CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+       FROM (SELECT CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderdate END AS m, o_custkey, o_totalprice FROM orders)
+       LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2""",
+)
+def k08_lookup(t):
+    """Orders come before their customers, customers change later, and some months are unknown."""
+    root = scratch(t.spark, "k08-lookup")
+    g = Graph(t.spark, root)
+    g.base("orders", f"{root}/base/orders")
+    g.base("customers", f"{root}/base/customers")
+    orders = t.raw("orders").select(
+        "o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("o_orderkey") % 50 != 0, F.date_format("o_orderdate", "yyyy-MM")).alias("month"),
+    )
+    customers = t.raw("customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+
+    def join(o, c):
+        latest = sinks.latest_per_key(c, ["c_custkey"], [F.desc("_batch_id")]).drop("_batch_id")
+        return o.drop("_batch_id").join(latest, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+
+    g.node("joined", ["orders", "customers"], join, APPEND)
+    g.node(
+        "monthly", ["joined"], lambda j: j.groupBy("month", "segment").agg(F.count("*").alias("n"), F.sum("amount").alias("total")),
+        TOUCHED, "month", lambda j: j,
+    )
+    odd, moved = F.col("c_custkey") % 5 == 0, F.col("c_custkey") % 7 == 0
+    sinks.write_batch(customers.where(~odd).withColumn("segment", F.when(moved, "UNKNOWN").otherwise(F.col("segment"))), f"{root}/base/customers", 0)
+    for batch, part in enumerate((F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 3 == 0)):
+        sinks.write_batch(orders.where(part), f"{root}/base/orders", batch)
+        g.refresh("monthly")
+    sinks.write_batch(customers.where(odd | moved), f"{root}/base/customers", 1)
+    g.refresh("monthly")
+    return build.doubles(g.read("monthly"), "total")
+
+
 @query(
     "k09_flagged_alerts",
     """SELECT account_id, txn_id, part_id, supplier_id, CAST(amount AS DOUBLE) AS amount,
@@ -220,36 +258,48 @@ def k11(t):
     root = scratch(t.spark, "k11")
     e = t.raw("events").select("event_id", "ts", "user_id", F.col("value").cast("decimal(18,2)").alias("amount"))
     e.write.parquet(f"{root}/in/drop=0")
-    w = sw.windowed(
-        parquet_stream(t.spark, f"{root}/in", e.schema), "ts", "1 hour", "15 minutes", ["user_id"],
+    sw.run_windows(
+        parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp", "ts", "1 hour", "15 minutes", ["user_id"],
         [F.count("*").alias("n"), F.sum("amount").alias("amount")],
     )
-    sw.run_updates(w, f"{root}/out", f"{root}/cp")
     out = sw.current_windows(t.spark, f"{root}/out", ["user_id"]).drop("window_end")
     return build.texts(build.doubles(out, "amount"), "window_start")
 
 
-@query(
-    "k12_stream_daily_metrics",
-    """SELECT event_type, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS metric_date, COUNT(*) AS n,
-              CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2""",
-)
-def k12(t):
-    root = scratch(t.spark, "k12")
+STREAM_DAILY_SQL = """SELECT event_type, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS metric_date, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2"""
+
+
+def _stream_daily(t, name, drops):
+    """Daily metrics of events that arrive in several drops, each given by a condition."""
+    root = scratch(t.spark, name)
     e = t.raw("events").select("event_id", "ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
-    # Two drops in time order; the second starts inside a day, so its windows are updated.
-    middle = e.agg(F.max("event_id") / 2).first()[0]
-    for i, part in enumerate((F.col("event_id") < middle, F.col("event_id") >= middle)):
+    for i, part in enumerate(drops(e)):
         e.where(part).write.parquet(f"{root}/in/drop={i}")
-        w = sw.windowed(
-            parquet_stream(t.spark, f"{root}/in", e.schema), "ts", "1 day", None, ["event_type"],
+        sw.run_windows(
+            parquet_stream(t.spark, f"{root}/in", e.schema), f"{root}/out", f"{root}/cp", "ts", "1 day", None, ["event_type"],
             [F.count("*").alias("n"), F.sum("value").alias("total")],
         )
-        sw.run_updates(w, f"{root}/out", f"{root}/cp")
     out = sw.current_windows(t.spark, f"{root}/out", ["event_type"])
     return build.days(build.doubles(out, "total").withColumnRenamed("window_start", "metric_date"), "metric_date").drop("window_end")
 
 
+@query("k12_stream_daily_metrics", STREAM_DAILY_SQL)
+def k12(t):
+    def drops(e):
+        # Two drops in time order; the second starts inside a day, so its windows are updated.
+        middle = e.agg(F.max("event_id") / 2).first()[0]
+        return F.col("event_id") < middle, F.col("event_id") >= middle
+
+    return _stream_daily(t, "k12", drops)
+
+
+@query("k12_late_rows", STREAM_DAILY_SQL)
+def k12_late(t):
+    # Every 97th event comes last, days after the other events of its window.
+    return _stream_daily(t, "k12-late", lambda e: (F.col("event_id") % 97 != 0, F.col("event_id") % 97 == 0))
+
+
 CHAIN_SQL = """SELECT '2001-12-31' AS metric_date, (SELECT COUNT(*) FROM customers) AS total_customers,
        (SELECT COUNT(*) FROM transactions) AS total_transactions, (SELECT COUNT(*) FROM tickets) AS total_tickets,
        (SELECT COUNT(*) FROM transactions WHERE is_flagged) AS alerts,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,26 +16,27 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     compared, nulls as equal. One full outer join on the key; unchanged rows end there.
     """
     cols = old.columns
-    rest = [c for c in cols if c not in keys]
-    a = old.select(*keys, F.struct(*rest).alias("_old"))
-    b = new.select(*keys, F.struct(*[F.col(c) for c in rest]).alias("_new"))
-    both = a.join(b, list(keys), "full")
-    update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-    changed = both.where(~F.col("_old").eqNullSafe(F.col("_new")))
+    # Whole rows as structs: a side that is absent is a null struct, whatever its key.
+    a = old.select(F.struct(*cols).alias("_old"))
+    b = new.select(F.struct(*cols).alias("_new"))
+    same = reduce(lambda x, y: x & y, [F.col(f"_old.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys])
+    both = a.withColumn("_a", F.lit(True)).join(b.withColumn("_b", F.lit(True)), same, "full")
+    update = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    changed = both.where(~update.eqNullSafe(True) | ~F.col("_old").eqNullSafe(F.col("_new")))
 
     def event(action: str, row: str):
         return F.when(
-            F.col(row).isNotNull(),
+            F.col("_a" if row == "_old" else "_b").isNotNull(),
             F.struct(F.lit(action).alias("_action"), update.alias("_is_update"), F.col(row).alias("_row")),
         )
 
     events = F.array_compact(F.array(event("DELETE", "_old"), event("INSERT", "_new")))
     out = changed.withColumn("_e", F.explode(events))
-    picked = {c: F.col(c) if c in keys else F.col(f"_e._row.{c}").alias(c) for c in cols}
-    return out.select(*picked.values(), "_e._action", "_e._is_update")
+    return out.select(*[F.col(f"_e._row.{c}").alias(c) for c in cols], "_e._action", "_e._is_update")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Snapshot after the changes: drop every changed key, add the inserted rows."""
-    kept = old.join(changes.select(*keys).distinct(), list(keys), "left_anti")
+    same = reduce(lambda x, y: x & y, [F.col(f"o.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+    kept = old.alias("o").join(changes.select(*keys).distinct().alias("c"), same, "left_anti")
     return kept.unionByName(changes.where(F.col("_action") == "INSERT").select(*old.columns))

@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import batch_ids, current_version, read_batches, read_current, write_batch, write_version
+from ..sources.sinks import (
+    batch_ids,
+    current_version,
+    read_batches,
+    read_current,
+    same_key,
+    without_keys,
+    write_batch,
+    write_version,
+)
 
 FULL, APPEND, TOUCHED = "full", "append", "touched"
 LOG_SCHEMA = (
     "run_id bigint, node string, state string, mode string, input_versions string, "
-    "started_at double, seconds double, message string"
+    "started_at double, seconds double, message string, epoch string"
 )
 
 
@@ -24,9 +34,12 @@ class Node:
 
     full     recompute everything, write a new version
     append   a per-row result: compute only the new batches of the first input
-    touched  an aggregate keyed by `key`: recompute only key values that occur in new batches,
-             replacing just those partitions. `touch` adds the key to input rows. Choose a key
-             coarse enough for sensible files (a month of daily rows, say).
+    touched  an aggregate keyed by `key`: recompute only key values (null is one) that occur in new
+             batches; the new version holds these and the other rows of the last one. `touch`
+             adds the key to input rows.
+
+    Any other change, of another input or a rewritten first one, means a full computation: an
+    append node then begins a new epoch of batches, a touched one writes a full version.
     """
 
     name: str
@@ -72,19 +85,28 @@ class Graph:
         visit(target, ())
         return seen
 
-    def read(self, name: str) -> DataFrame:
+    def _batches(self, name: str, state: dict[str, dict] | None = None) -> str | None:
+        """Folder of batches of a base table or of an append node's present epoch."""
+        if name in self.bases:
+            return self.path(name)
+        epoch = (self._state() if state is None else state).get(name, {}).get("epoch")
+        return f"{self.path(name)}/{epoch}" if epoch else None
+
+    def read(self, name: str, state: dict[str, dict] | None = None) -> DataFrame:
         if name in self.bases or self.nodes[name].mode == APPEND:
-            return read_batches(self.spark, self.path(name))
-        if self.nodes[name].mode == TOUCHED:
-            return self.spark.read.parquet(self.path(name))
+            folder = self._batches(name, state)
+            if folder is None:
+                raise FileNotFoundError(f"{name} has not been computed")
+            return read_batches(self.spark, folder)
         return read_current(self.spark, self.path(name))
 
-    def version(self, name: str, log: dict[str, dict]) -> int:
+    def version(self, name: str, state: dict[str, dict]) -> str:
+        """Changes whenever the table does; for batches the part before the point only when older rows change too."""
         if name in self.bases or self.nodes[name].mode == APPEND:
-            return max(batch_ids(self.spark, self.path(name)), default=-1)
-        if self.nodes[name].mode == TOUCHED:
-            return int(log.get(name, {}).get("runs", 0))
-        return current_version(self.spark, self.path(name))
+            folder = self._batches(name, state)
+            newest = max(batch_ids(self.spark, folder), default=-1) if folder else -1
+            return f"{state.get(name, {}).get('epoch') or 0}.{newest}"
+        return str(current_version(self.spark, self.path(name)))
 
     def log(self) -> DataFrame:
         path = f"{self.root}/_runs"
@@ -96,69 +118,77 @@ class Graph:
         """Last input versions and run count per node: one row per node of the graph."""
         done = self.log().where(F.col("state") == "SUCCEEDED")
         rows = done.groupBy("node").agg(
-            F.max_by("input_versions", "run_id").alias("inputs"), F.count(F.lit(1)).alias("runs")
+            F.max_by("input_versions", "run_id").alias("inputs"),
+            F.max_by("epoch", "run_id").alias("epoch"),
+            F.max(F.col("started_at") + F.col("seconds")).alias("done_at"),
         )
         return {r["node"]: r.asDict() for r in rows.collect()}
 
-    def refresh(self, target: str) -> list[tuple[str, str]]:
-        """Bring the target up to date; nodes whose inputs did not change are skipped."""
+    def refresh(self, target: str, max_age: float | None = None) -> list[tuple[str, str]]:
+        """Bring the target up to date; nodes whose inputs did not change are skipped.
+
+        With `max_age` (seconds) nothing is looked at while every node was last computed within that time.
+        """
         state = self._state()
+        order = self.order(target)
+        oldest = min((state.get(n, {}).get("done_at") or 0.0 for n in order), default=0.0)
+        if max_age is not None and time.time() - oldest <= max_age:
+            return [(n, "FRESH") for n in order]
         run_id = max(batch_ids(self.spark, f"{self.root}/_runs"), default=0) + 1
-        entries, outcome = [], []
-        for name in self.order(target):
+        entries, outcome, error = [], [], None
+        for name in order:
             node = self.nodes[name]
             versions = {i: self.version(i, state) for i in node.inputs}
             text = ",".join(f"{i}={v}" for i, v in sorted(versions.items()))
-            before = state.get(name, {}).get("inputs")
-            start = time.time()
-            if before == text:
-                result, message = "SKIPPED", None
+            last = state.get(name, {})
+            start, message, epoch = time.time(), None, last.get("epoch")
+            if last.get("inputs") == text:
+                result = "SKIPPED"
             else:
                 try:
-                    self._run(node, before)
-                    result, message = "SUCCEEDED", None
-                    runs = int(state.get(name, {}).get("runs", 0)) + 1
-                    state[name] = {"inputs": text, "runs": runs}
+                    epoch = self._run(node, last, versions, state)
+                    result = "SUCCEEDED"
+                    state[name] = {"inputs": text, "epoch": epoch}
                 except Exception as e:  # noqa: BLE001 - logged, then raised
-                    result, message = "FAILED", str(e)[:500]
-            entries.append((run_id, name, result, node.mode, text, start, time.time() - start, message))
+                    result, message, error = "FAILED", str(e), e
+            entries.append((run_id, name, result, node.mode, text, start, time.time() - start, message, epoch))
             outcome.append((name, result))
             if result == "FAILED":
                 break
         write_batch(self.spark.createDataFrame(entries, LOG_SCHEMA), f"{self.root}/_runs", run_id)
-        if outcome and outcome[-1][1] == "FAILED":
-            raise RuntimeError(f"refresh of {outcome[-1][0]} failed: {entries[-1][-1]}")
+        if error is not None:
+            raise RuntimeError(f"refresh of {outcome[-1][0]} failed: {error}") from error
         return outcome
 
-    def _run(self, node: Node, before: str | None) -> None:
+    def _run(self, node: Node, last: dict, versions: dict[str, str], state: dict[str, dict]) -> str | None:
+        """Computes a node; returns the epoch its batches are in."""
         path = self.path(node.name)
         if node.mode == FULL:
-            write_version(node.fn(*[self.read(i) for i in node.inputs]), path)
-            return
-        first, others = node.inputs[0], [self.read(i) for i in node.inputs[1:]]
-        last = dict(p.split("=") for p in before.split(",")) if before else {}
-        after = int(last[first]) if first in last else None
-        newest = max(batch_ids(self.spark, self.path(first)))
+            write_version(node.fn(*[self.read(i, state) for i in node.inputs]), path)
+            return None
+        first, others = node.inputs[0], [self.read(i, state) for i in node.inputs[1:]]
+        before = dict(p.split("=") for p in (last.get("inputs") or "").split(",") if p)
+        rewritten = before.get(first, "").rpartition(".")[0] != versions[first].rpartition(".")[0]
+        whole = not before or rewritten or any(before.get(i) != versions[i] for i in node.inputs[1:])
+        newest = int(versions[first].rpartition(".")[2])
+        after = None if whole else int(before[first].rpartition(".")[2])
+        folder = self._batches(first, state)
+        fresh = read_batches(self.spark, folder, after)
         if node.mode == APPEND:
-            if after is not None and after >= newest:
-                return
-            fresh = read_batches(self.spark, self.path(first), after)
-            write_batch(node.fn(fresh, *others).drop("_batch_id"), path, newest)
-            return
-        rows = self.read(first)
-        if after is not None:
-            fresh = read_batches(self.spark, self.path(first), after)
-            keys = node.touch(fresh).select(node.key).distinct()
-            tagged = node.touch(rows)
-            rows = tagged.join(keys, node.key, "left_semi").select(*rows.columns)
-        (
-            node.fn(rows, *others)
-            .repartition(node.key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(node.key)
-            .parquet(path)
-        )
+            # A new epoch has a name of its own, so what a failed attempt has left is never read.
+            epoch = f"epoch-{uuid.uuid4().hex}" if whole else last["epoch"]
+            write_batch(node.fn(fresh, *others).drop("_batch_id"), f"{path}/{epoch}", newest)
+            return epoch
+        if whole:
+            write_version(node.fn(fresh, *others), path)
+            return None
+        keys = node.touch(fresh).select(node.key).distinct()
+        rows = self.read(first, state)
+        tagged = node.touch(rows).alias("r")
+        touched = tagged.join(keys.alias("k"), same_key("r", "k", [node.key]), "left_semi").select(*rows.columns)
+        kept = without_keys(read_current(self.spark, path), keys, [node.key])
+        write_version(kept.unionByName(node.fn(touched, *others)), path)
+        return None
 
 
 def run_report(log: DataFrame, n: int = 30) -> DataFrame:

@@ -7,6 +7,7 @@ it, so a write that dies half way is never read, and readers keep the version th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,15 +55,26 @@ def write_version(df: DataFrame, path: str) -> int:
     return version
 
 
+def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Join condition on keys of two aliased sides; null keys are equal."""
+    both = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, both)
+
+
+def without_keys(rows: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not occur in `keyed`."""
+    return rows.alias("r").join(keyed.select(*keys).alias("k"), same_key("r", "k", keys), "left_anti")
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with the source rows put in place of rows of the same key (update all, else insert)."""
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = without_keys(target, source, keys)
     return kept.unionByName(source.select(*target.columns))
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """Source rows whose key the target lacks, one per key."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+    fresh = without_keys(source, target, keys)
     if order:
         return top_n_per_group(fresh, keys, order)
     return fresh.dropDuplicates(list(keys))
@@ -115,9 +127,12 @@ def read_batches(spark: SparkSession, path: str, after: int | None = None) -> Da
 
 
 def micro_batches(source: DataFrame, path: str, batch: Column, flagged: Column, amount: str) -> DataFrame:
-    """Append the source as batches numbered by `batch`; returns per batch rows, total and flags."""
+    """Append the source as batches numbered by `batch`; returns per batch rows, total and flags.
+
+    A batch that is written again replaces itself."""
     numbered = source.withColumn("_batch_id", batch).withColumn("_streamed_at", F.current_timestamp())
-    numbered.write.mode("append").partitionBy("_batch_id").parquet(path)
+    writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_batch_id").parquet(path)
     return (
         source.sparkSession.read.parquet(path)
         .groupBy("_batch_id")

@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.windows import top_n_per_group
-from ..sources.sinks import read_batches, write_batch
+from ..sources.sinks import read_batches, same_key, write_batch
 
 
-def windowed(
-    rows: DataFrame, ts: str, length: str, slide: str | None, keys: Sequence[str], aggs: Sequence[Column], late: str = "1 hour"
-) -> DataFrame:
-    """Aggregates per event-time window and keys; rows later than `late` no longer count in a stream."""
-    events = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+def in_windows(rows: DataFrame, ts: str, length: str, slide: str | None) -> DataFrame:
+    """Rows with the event-time windows they fall into, as `_w`."""
     frame = F.window(ts, length, slide) if slide else F.window(ts, length)
-    out = events.groupBy(frame.alias("_w"), *keys).agg(*aggs)
+    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("_w", frame)
+
+
+def aggregated(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Aggregates per window and keys."""
+    out = rows.groupBy("_w", *keys).agg(*aggs)
     return out.select(
         F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("_w.end").cast("timestamp_ntz").alias("window_end"),
@@ -26,20 +28,29 @@ def windowed(
     )
 
 
-def run_updates(stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Write every changed window of what is new, per batch."""
-    q = (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, sink, batch_id))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def run_windows(
+    stream: DataFrame, sink: str, checkpoint: str, ts: str, length: str, slide: str | None, keys: Sequence[str], aggs: Sequence[Column]
+) -> None:
+    """Keep windowed aggregates of a stream; a row counts however late it comes.
+
+    Each micro-batch is appended under its id, then the windows it touches are computed again from all rows appended so
+    far. Both writes replace themselves when a batch is repeated. Nothing is held in stream state.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(batch, f"{sink}/rows", batch_id)
+        rows = in_windows(read_batches(spark, f"{sink}/rows").where(F.col("_batch_id") <= batch_id), ts, length, slide)
+        touched = rows.where(F.col("_batch_id") == batch_id).select("_w", *keys).distinct()
+        again = rows.alias("r").join(touched.alias("k"), same_key("r", "k", ["_w", *keys]), "left_semi")
+        write_batch(aggregated(again, keys, aggs), f"{sink}/windows", batch_id)
+
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
 def current_windows(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
     """Latest state of each window out of its updates."""
     return top_n_per_group(
-        read_batches(spark, sink), ["window_start", *keys], [F.desc("_batch_id")]
+        read_batches(spark, f"{sink}/windows"), ["window_start", *keys], [F.desc("_batch_id")]
     ).drop("_batch_id")
