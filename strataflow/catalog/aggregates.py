@@ -321,7 +321,7 @@ def a25(t):
     return build.texts(g, "first_arrival", "last_arrival")
 
 
-COUNT_TABLES = ("customers", "accounts", "transactions", "tickets", "risk_assessments", "market_data")
+COUNT_TABLES = ("customers", "accounts", "transactions", "tickets", "risk_assessments", "market_data", "compliance")
 COUNTS_SQL = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in COUNT_TABLES
 )
@@ -335,6 +335,7 @@ def base_tables(t):
         "tickets": t.tickets(),
         "risk_assessments": t.risk_assessments(),
         "market_data": t.market_data(),
+        "compliance": t.compliance_documents(),
     }
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.compat import dbl_avg, json_get
 from ..operators import reshape
 from ..operators.quantiles import group_percentiles
-from ..plans import curated, dashboards
+from ..plans import consumption, curated, dashboards
 from . import build
 from .aggregates import COUNTS_SQL, ROLLUP_SQL, base_tables, ticket_funnel
 from .registry import query
@@ -170,16 +170,21 @@ def d12(t):
     return x.select(*keys, F.col("amount").cast("double").alias("amount"))
 
 
+TABLE_NAMES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
+
+
 @query(
     "d13_table_listing",
     " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}"
-        for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+        for n in TABLE_NAMES
     ),
 )
 def d13(t):
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
-    return reshape.labelled_counts({n: t.raw(n) for n in names})
+    return reshape.labelled_counts({n: t.raw(n) for n in TABLE_NAMES})
 
 
 @query("d14_volume_category_channel", GROUPED_SQL.format(keys="category, channel"))
@@ -199,17 +204,74 @@ def d15(t):
     )
 
 
+#: Layer, object, type, and what counts its rows: a table of SQL, or a query.
+OBJECTS = (
+    ("base", "customers", "table", "customers"),
+    ("base", "accounts", "table", "accounts"),
+    ("base", "transactions", "table", "transactions"),
+    ("base", "risk_assessments", "table (variant)", "risk_assessments"),
+    ("base", "market_data", "table (variant)", "market_data"),
+    ("base", "support_tickets", "table (text)", "tickets"),
+    ("base", "compliance_documents", "table (text, variant)", "compliance"),
+    ("curated", "customer_profile", "derived table", "profile"),
+    ("curated", "transaction_enriched", "derived table", "enriched"),
+    ("curated", "support_enriched", "derived table", "tickets"),
+    ("curated", "market_latest", "derived table", "market_latest"),
+    ("curated", "risk_factors_parsed", "derived table", "risk_factors"),
+    ("curated", "compliance_enriched", "derived table", "compliance"),
+    ("consumption", "customer_360", "derived table", "c360"),
+    ("consumption", "daily_financial_metrics", "derived table", "daily"),
+    ("consumption", "risk_dashboard", "derived table", "risk_board"),
+    ("consumption", "channel_performance", "derived table", "channel_daily"),
+    ("consumption", "churn_features", "derived table", "churn"),
+    ("consumption", "monthly_revenue", "derived table", "monthly"),
+    ("consumption", "market_overview", "derived table", "market_latest"),
+    ("consumption", "compliance_summary", "derived table", "(SELECT DISTINCT doc_type, regulatory_body, doc_status, classification, review_cycle FROM compliance)"),
+    ("consumption", "risk_factor_summary", "derived table", "(SELECT DISTINCT risk_factor, credit_history FROM risk_factors)"),
+    ("consumption", "customer_rfm", "stored table", "(SELECT DISTINCT c.customer_id FROM enriched e JOIN customers c ON e.customer_id = c.customer_id WHERE txn_type = 'DEBIT')"),
+    ("consumption", "not_there", "stored table", None),
+)
+
+
 @query(
     "b19_layer_summary",
-    COUNTS_SQL
-    + """ UNION ALL SELECT 'enriched', COUNT(*) FROM enriched UNION ALL SELECT 'daily', COUNT(*) FROM daily
-       UNION ALL SELECT 'risk_board', COUNT(*) FROM risk_board UNION ALL SELECT 'missing_table', -1""",
+    " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS object_name, '{kind}' AS object_type, "
+        + (f"(SELECT COUNT(*) FROM {source}) AS row_count" if source else "CAST(-1 AS BIGINT) AS row_count")
+        for layer, name, kind, source in OBJECTS
+    ),
 )
 def b19(t):
     from ..operators.quality import layer_summary
 
-    tables = base_tables(t)
-    tables["enriched"] = build.plain_enriched(t)
-    tables["daily"] = build.daily(t)
-    tables["risk_board"] = build.risk_board(t)
-    return layer_summary(t.spark, {**tables, "missing_table": None})
+    profile, enriched, market = build.profile(t), build.plain_enriched(t), curated.market_latest(t.market_data())
+    factors, documents = curated.risk_factors_parsed(t.risk_assessments()), curated.compliance_enriched(t.compliance_documents())
+    tables = {
+        "customers": t.customers(),
+        "accounts": t.accounts(),
+        "transactions": t.plain_transactions(),
+        "risk_assessments": t.risk_assessments(),
+        "market_data": t.market_data(),
+        "support_tickets": t.tickets(),
+        "compliance_documents": t.compliance_documents(),
+        "customer_profile": profile,
+        "transaction_enriched": enriched,
+        "support_enriched": curated.support_enriched(t.tickets(), t.customers(), t.accounts(), F.lit(build.AS_OF_TICKETS).cast("timestamp_ntz")),
+        "market_latest": market,
+        "risk_factors_parsed": factors,
+        "compliance_enriched": documents,
+        "customer_360": build.c360(t),
+        "daily_financial_metrics": build.daily(t),
+        "risk_dashboard": build.risk_board(t),
+        "channel_performance": build.channel_daily(t),
+        "churn_features": build.churn(t),
+        "monthly_revenue": build.monthly(t),
+        "market_overview": consumption.market_overview(market),
+        "compliance_summary": consumption.compliance_summary(documents),
+        "risk_factor_summary": consumption.risk_factor_summary(factors),
+        "customer_rfm": consumption.rfm_segmentation(enriched, t.customers(), build.as_of()),
+        "not_there": None,
+    }
+    counts = layer_summary(t.spark, tables).withColumnRenamed("table_name", "object_name")
+    listed = t.spark.createDataFrame([o[:3] for o in OBJECTS], "layer string, object_name string, object_type string")
+    return listed.join(counts, "object_name")

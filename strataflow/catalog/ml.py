@@ -241,11 +241,13 @@ def y16(t):
 @query(
     "y17_histogram",
     """SELECT CAST(CASE WHEN value = hi THEN 30 ELSE floor((value - lo) / ((hi - lo) / 30)) + 1 END AS INTEGER) AS bin, COUNT(*) AS n
-       FROM (SELECT CAST(balance AS DOUBLE) AS value, 0.0::DOUBLE AS lo, 600000.0::DOUBLE AS hi FROM accounts) WHERE value BETWEEN lo AND hi GROUP BY 1""",
+       FROM (SELECT CAST(balance AS DOUBLE) AS value FROM accounts),
+            (SELECT CAST(MIN(balance) AS DOUBLE) AS lo, CAST(MAX(balance) AS DOUBLE) AS hi FROM accounts) WHERE value IS NOT NULL GROUP BY 1""",
 )
 def y17(t):
-    a = t.accounts().where(F.col("balance").between(0, 600000))
-    return ml.histogram(a, "balance", 30, F.lit(0.0), F.lit(600000.0))
+    a = t.accounts()
+    edges = a.agg(F.min("balance").cast("double").alias("lo"), F.max("balance").cast("double").alias("hi")).first()
+    return ml.histogram(a.where(F.col("balance").isNotNull()), "balance", 30, F.lit(edges["lo"]), F.lit(edges["hi"]))
 
 
 @query(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring, vectors
 from ..functions.compat import date_add_unit, date_diff, json_get, ratio_or_zero
 from ..functions.factors import parse_risk_factors, register_table_function
-from ..plans import curated
+from ..plans import consumption, curated
 from . import build
 from .registry import query
 
@@ -362,12 +362,17 @@ def x34(t):
 
 @query(
     "f01_anomaly_function",
-    """SELECT event_id, CASE WHEN value IS NULL THEN 0.0 ELSE LEAST(ROUND(ABS((value - 50.0::DOUBLE) / 37.0::DOUBLE) * 25, 2), 100.0) END AS score
-       FROM events""",
+    """SELECT account_id, txn_id, line_number, part_id, supplier_id, CASE WHEN s.sd IS NULL OR s.sd = 0 THEN 0.0
+              ELSE LEAST(ROUND(ABS((CAST(amount AS DOUBLE) - m) / s.sd) * 25, 2), 100.0) END AS score
+       FROM transactions t JOIN (SELECT category, CAST(SUM(amount) AS DOUBLE) / COUNT(amount) AS m,
+            STDDEV_SAMP(CAST(amount AS DOUBLE)) AS sd FROM transactions GROUP BY category) s ON t.category = s.category""",
 )
 def f01(t):
-    return t.raw("events").select(
-        "event_id", scoring.anomaly_score("value", F.lit(50.0), F.lit(37.0)).alias("score")
+    scoring.register_sql_functions(t.spark)
+    scored = consumption.with_category_statistics(t.categorised_transactions())
+    return scored.select(
+        "account_id", "txn_id", "line_number", "part_id", "supplier_id",
+        F.expr("anomaly_score(cast(amount as double), avg_amount, stddev_amount)").alias("score"),
     )
 
 

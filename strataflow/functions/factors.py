@@ -1,66 +1,44 @@
-"""Risk-factor parsing: a native form and the table function of the SQL surface."""
+"""Risk-factor parsing: one definition for DataFrames and for SQL LATERAL joins, both native."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
-
-from .compat import json_get
 
 FACTOR_ROWS = "risk_score int, credit_history string, factor_name string, factor_score int, debt_to_income double"
 
+#: Variant expressions over `doc`, the parsed text, and `factor`, one of its factors.
+IS_DOCUMENT = "schema_of_variant(doc) LIKE 'OBJECT%'"
+IS_OBJECT = "schema_of_variant(factor) LIKE 'OBJECT%'"
+LISTED = """CASE WHEN size(try_variant_get(doc, '$.risk_factors', 'array<variant>')) > 0
+            THEN try_variant_get(doc, '$.risk_factors', 'array<variant>') ELSE array(CAST(NULL AS VARIANT)) END"""
+FIELDS = {
+    "risk_score": "try_variant_get(doc, '$.risk_score', 'int')",
+    "credit_history": "coalesce(try_variant_get(doc, '$.credit_history', 'string'), 'UNKNOWN')",
+    "factor_name": f"""CASE WHEN factor IS NULL OR is_variant_null(factor) THEN 'NONE'
+                       WHEN {IS_OBJECT} THEN coalesce(try_variant_get(factor, '$.factor', 'string'), 'UNKNOWN')
+                       ELSE try_variant_get(factor, '$', 'string') END""",
+    "factor_score": f"CASE WHEN {IS_OBJECT} THEN try_variant_get(factor, '$.score', 'int') END",
+    "debt_to_income": "try_variant_get(doc, '$.debt_to_income', 'double')",
+}
+
 
 def parse_risk_factors(df: DataFrame, text: str) -> DataFrame:
     """One row per factor of a JSON column, beside the other columns.
 
-    Null or malformed text gives no row; no factors give one 'NONE' row; a factor object
-    without name is 'UNKNOWN'; a factor that is not an object is its own text.
+    Null or malformed text, and a document that is no object, give no row. No factors, or a null factor, give a 'NONE'
+    row; a factor object without name, or with a null name, is 'UNKNOWN'; a factor that is not an object is its own
+    text. A missing or null credit history is 'UNKNOWN'.
     """
-    doc = F.try_parse_json(text)
-    elements = F.try_variant_get(doc, "$.risk_factors", "array<variant>")
-    none = F.array(F.lit(None).cast("variant"))
-    listed = F.when(F.coalesce(F.size(elements), F.lit(0)) > 0, elements).otherwise(none)
-    rows = df.withColumn("_doc", doc).where(F.col("_doc").isNotNull()).withColumn("_many", F.size(listed))
-    rows = rows.withColumn("_absent", F.coalesce(F.size(elements), F.lit(0)) <= 0)
-    rows = rows.withColumn("_factor", F.explode(listed))
-    is_object = F.schema_of_variant("_factor").startswith("OBJECT")
-    name = (
-        F.when(F.col("_absent"), F.lit("NONE"))
-        .when(is_object, F.coalesce(json_get("_factor", "$.factor", "string", strict=False), F.lit("UNKNOWN")))
-        .otherwise(json_get("_factor", "$", "string", strict=False))
-    )
-    return rows.select(
-        *df.columns,
-        json_get("_doc", "$.risk_score", "int", strict=False).alias("risk_score"),
-        F.coalesce(json_get("_doc", "$.credit_history", "string", strict=False), F.lit("UNKNOWN")).alias("credit_history"),
-        name.alias("factor_name"),
-        F.when(is_object, json_get("_factor", "$.score", "int", strict=False)).alias("factor_score"),
-        json_get("_doc", "$.debt_to_income", "double", strict=False).alias("debt_to_income"),
-    )
+    rows = df.withColumn("doc", F.try_parse_json(text)).where(IS_DOCUMENT).withColumn("factor", F.explode(F.expr(LISTED)))
+    return rows.select(*[F.col(c) for c in df.columns], *[F.expr(e).alias(n) for n, e in FIELDS.items()])
 
 
 def register_table_function(spark: SparkSession) -> None:
-    """`parse_risk_factors(text)` for SQL LATERAL joins; the native form above is the fast one."""
-
-    @udtf(returnType=FACTOR_ROWS)
-    class ParseRiskFactors:
-        def eval(self, text: str):
-            try:
-                doc = json.loads(text) if text is not None else None
-            except ValueError:
-                return
-            if not isinstance(doc, dict):
-                return
-            head = doc.get("risk_score"), doc.get("credit_history", "UNKNOWN")
-            factors = doc.get("risk_factors") or [None]
-            for f in factors:
-                if isinstance(f, dict):
-                    item = f.get("factor", "UNKNOWN"), f.get("score")
-                else:
-                    item = ("NONE" if f is None else str(f)), None
-                yield (*head, *item, doc.get("debt_to_income"))
-
-    spark.udtf.register("parse_risk_factors", ParseRiskFactors)
+    """`parse_risk_factors(text)` for SQL LATERAL joins, made of the same expressions."""
+    fields = ", ".join(f"{e} AS {n}" for n, e in FIELDS.items())
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION parse_risk_factors(text STRING) RETURNS TABLE({FACTOR_ROWS}) RETURN
+            SELECT {fields} FROM (SELECT doc, explode({LISTED}) AS factor
+                                  FROM (SELECT try_parse_json(text) AS doc) WHERE {IS_DOCUMENT})"""
+    )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,25 +97,15 @@ def risk_tier(risk: str | Column, credit: str | Column, debt_ratio: str | Column
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """SQL surface of the two scoring functions: Arrow batches, vectorised inside each batch."""
-
-    @F.pandas_udf("double")
-    def anomaly(amount: pd.Series, mean: pd.Series, stddev: pd.Series) -> pd.Series:
-        usable = amount.notna() & mean.notna() & stddev.notna() & (stddev != 0)
-        z = ((amount - mean) / stddev.where(usable)).abs() * 25
-        return z.round(2).clip(upper=100.0).where(usable, 0.0)
-
-    @F.pandas_udf("string")
-    def tier(risk: pd.Series, credit: pd.Series, debt_ratio: pd.Series) -> pd.Series:
-        composite = (
-            risk * 0.5
-            + ((850.0 - credit) / 850 * 30).fillna(0.0)
-            + (debt_ratio * 20).clip(upper=20).fillna(0.0)
-        )
-        labels = pd.Series("MINIMAL", index=risk.index)
-        for minimum, label in reversed(COMPOSITE_TIERS):
-            labels = labels.mask(composite >= minimum, label)
-        return labels.mask(risk.isna(), "UNASSESSED")
-
-    spark.udf.register("anomaly_score", anomaly)
-    spark.udf.register("risk_tier", tier)
+    """SQL surface of the two scoring functions: plain arithmetic, so SQL defines it and the optimizer inlines it."""
+    tiers = " ".join(f"WHEN composite >= {minimum} THEN '{label}'" for minimum, label in COMPOSITE_TIERS)
+    spark.sql(
+        """CREATE OR REPLACE TEMPORARY FUNCTION anomaly_score(amount DOUBLE, mean DOUBLE, deviation DOUBLE) RETURNS DOUBLE RETURN
+           CASE WHEN amount IS NOT NULL AND mean IS NOT NULL AND deviation IS NOT NULL AND deviation <> 0
+                THEN least(round(abs((amount - mean) / deviation) * 25, 2), 100D) ELSE 0D END"""
+    )
+    composite = "risk * 0.5D + coalesce((850D - credit) / 850 * 30, 0D) + CASE WHEN debt_ratio IS NULL THEN 0D ELSE least(debt_ratio * 20, 20D) END"
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION risk_tier(risk DOUBLE, credit DOUBLE, debt_ratio DOUBLE) RETURNS STRING RETURN
+            CASE WHEN risk IS NULL THEN 'UNASSESSED' {tiers.replace("composite", f"({composite})")} ELSE 'MINIMAL' END"""
+    )

@@ -104,7 +104,7 @@ def tag_mask(tag: str, dtype: T.DataType) -> Callable[[Column], Column] | None:
         return mask_date if hidden else None
     if isinstance(dtype, T.VariantType):
         return lambda c: F.parse_json(F.lit('{"masked": true}'))
-    return None
+    return lambda c: F.lit(None).cast(dtype)  # what has no mask of its own is not shown
 
 
 @dataclass
@@ -208,13 +208,41 @@ class GuardedFrame:
         return self._df.agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Aggregates whose result does not show a single row's values; with `extremes` the least and the greatest too.
+SAFE_AGGREGATES = {"count", "count_if", "sum", "avg", "mean", "approx_count_distinct"}
+EXTREMES = {"min", "max"}
+
+
+def aggregate_names(df: DataFrame) -> set[str]:
+    """Names of the aggregate functions in the topmost aggregation of an analysed plan."""
+    plan = df._jdf.queryExecution().analyzed()
+    found: set[str] = set()
+
+    def walk(e):
+        if e.nodeName() == "AggregateExpression":
+            found.add(e.aggregateFunction().prettyName())
+        children = e.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    expressions = plan.aggregateExpressions()
+    for i in range(expressions.size()):
+        walk(expressions.apply(i))
+    return found
+
+
 def guarded_aggregate(
-    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], ctx: SessionContext, min_group: int = MIN_GROUP
+    df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], ctx: SessionContext, min_group: int = MIN_GROUP, extremes: bool = False
 ) -> DataFrame:
-    """Only grouped results, and only groups of at least `min_group` rows, unless fully trusted."""
+    """Only grouped results of aggregates that hide single rows, and only groups of at least `min_group` rows, unless
+    fully trusted. `extremes` admits least and greatest values."""
     if not aggs:
         raise PermissionError("raw rows are not available, give at least one aggregate")
     out = df.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_group_size"))
+    allowed = SAFE_AGGREGATES | (EXTREMES if extremes else set())
+    refused = aggregate_names(out) - allowed
+    if refused:
+        raise PermissionError(f"aggregates not available here: {sorted(refused)}")
     if not ctx.any_of(FULL_ACCESS):
         out = out.where(F.col("_group_size") >= min_group)
     return out.drop("_group_size")

@@ -267,13 +267,18 @@ def account_hierarchy(
     return top_accounts.join(top_txns, "account_id")
 
 
-def anomaly_scores(transactions: DataFrame) -> DataFrame:
-    """Distance of each amount from its category mean, scaled to 0..100."""
+def with_category_statistics(transactions: DataFrame) -> DataFrame:
+    """Each transaction with mean and deviation of its category's amounts."""
     amount = F.col("amount").cast("double")
     stats = transactions.groupBy("category").agg(
         dbl_avg("amount").alias("avg_amount"), F.stddev_samp(amount).alias("stddev_amount")
     )
-    return transactions.join(broadcast_groups(stats), "category", "left").withColumn(
+    return transactions.join(broadcast_groups(stats), "category", "left")
+
+
+def anomaly_scores(transactions: DataFrame) -> DataFrame:
+    """Distance of each amount from its category mean, scaled to 0..100."""
+    return with_category_statistics(transactions).withColumn(
         "anomaly_score", scoring.anomaly_score("amount", "avg_amount", "stddev_amount")
     )
 
