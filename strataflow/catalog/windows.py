@@ -20,8 +20,8 @@ from .registry import query
 TIE_SQL = ", ".join(TXN_TIE)
 
 
-def _day_block():
-    return F.unix_date(F.to_date("txn_date"))
+def _txn_time():
+    return F.unix_micros(F.col("txn_date").cast("timestamp"))
 
 
 def _txn_order():
@@ -63,7 +63,7 @@ def w03(t):
     kind, amount = F.col("txn_type"), F.col("amount")
     signed = F.when(kind.isin("CREDIT", "TRANSFER"), amount).when(kind == "DEBIT", -amount).otherwise(0)
     r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), _day_block(), {"running_balance": signed}
+        t.plain_transactions(), ["account_id"], _txn_order(), _txn_time(), {"running_balance": signed}
     )
     return build.doubles(r, "amount", "running_balance").select(
         "account_id", "txn_id", "part_id", "supplier_id", "line_number", "amount", "running_balance"
@@ -126,7 +126,7 @@ def w06(t):
 )
 def w07(t):
     r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), _day_block(), sequence="txn_sequence"
+        t.plain_transactions(), ["account_id"], _txn_order(), _txn_time(), sequence="txn_sequence"
     )
     return r.select("account_id", "txn_id", "part_id", "supplier_id", "line_number", "txn_sequence")
 
@@ -142,7 +142,7 @@ def w08(t):
         e,
         ["user_id"],
         [F.asc("ts"), F.asc("event_id")],
-        F.unix_date(F.to_date("ts")),
+        F.unix_micros(F.col("ts").cast("timestamp")),
         {f"lag_{k}": lagged("value", k) for k in (1, 2, 3)},
     )
     return r.select("event_id", "user_id", "lag_1", "lag_2", "lag_3")
@@ -162,7 +162,7 @@ def w09(t):
         return F.when(F.count(F.lit(1)).over(frame) >= 3, F.avg("value").over(frame))
 
     r = row_frames(
-        e, ["user_id"], [F.asc("ts"), F.asc("event_id")], F.unix_date(F.to_date("ts")), {"rolling_3": (2, full_mean)}
+        e, ["user_id"], [F.asc("ts"), F.asc("event_id")], F.unix_micros(F.col("ts").cast("timestamp")), {"rolling_3": (2, full_mean)}
     )
     return r.select("event_id", "user_id", F.round("rolling_3", 6).alias("rolling_3"))
 

@@ -101,7 +101,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     )
 
 
-def roc_points(df: DataFrame, label: str, score: str, blocks: int = 1000) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """One point per distinct score, from the highest down: true and false positive rates.
 
     Rows are first counted per score; the running counts use score blocks, so no task walks
@@ -114,10 +114,7 @@ def roc_points(df: DataFrame, label: str, score: str, blocks: int = 1000) -> Dat
         .withColumn("_all", F.lit(0))
     )
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    block = -F.floor(F.col("score") * blocks)
-    running = running_totals(
-        counts, ["_all"], [F.desc("score")], block, {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows=0
-    )
+    running = running_totals(counts, ["_all"], [F.desc("score")], -F.col("score"), {"tp": F.col("pos"), "fp": F.col("neg")})
     out = running.withColumn("_t", totals).withColumns({"_p": F.col("_t.p"), "_n": F.col("_t.n")})
     return out.select(
         "score", "pos", "neg", "tp", "fp",
@@ -232,7 +229,7 @@ def revenue_features(monthly: DataFrame, volume: str = "monthly_volume", count:
     frames["growth"] = (1, lambda w: F.col(volume) / F.lag(volume, 1).over(w) - 1)
     # One row per month: a constant key holds no more rows than the calendar has months.
     keyed = base.withColumn("_all", F.lit(0))
-    out = row_frames(keyed, ["_all"], [F.asc("revenue_month")], F.year("revenue_month"), frames, hot_rows=None)
+    out = row_frames(keyed, ["_all"], [F.asc("revenue_month")], F.year("revenue_month"), frames)
     return out.drop("_all").dropna(subset=list(frames))
 
 

@@ -1,7 +1,8 @@
 """Window operators that hold up when one key owns a large share of the rows.
 
-Ordinary keys use Spark's window operator. Keys above `hot_rows` take a second path that
-cuts their ordered rows into blocks, so no task ever has to hold a whole hot key:
+All keys take one path that cuts their ordered rows into blocks, so no task ever has to
+hold a whole hot key. Blocks end at quantiles of the order value over all rows, so a block
+holds about the same number of rows wherever a key's rows crowd together:
 
 * running sums and sequence numbers: local window per (key, block) plus the totals of the
   earlier blocks of that key;
@@ -16,14 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.compat import epoch_seconds
 from ..session import stage
 
-HOT_ROWS = 1_000_000
-_LAST_BLOCK = (1 << 63) - 1
+BLOCKS_PER_PARTITION = 2
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id() count rows inside a partition
 
 
@@ -52,39 +53,31 @@ def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_key", F.struct(*[F.col(k) for k in keys]))
 
 
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None,
-    plain: Callable[[DataFrame], DataFrame],
-    blocked: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """plain() over ordinary keys, blocked() over keys with at least `hot_rows` rows.
+def with_blocks(df: DataFrame, by: Column, blocks: int | None = None) -> DataFrame:
+    """Adds `_block`: the number of the quantile range of `by` over all rows; rows without a value are in the last one.
 
-    At most (rows / hot_rows) keys can be hot, which bounds the broadcast: a trillion rows
-    give a million keys. With no hot key the second branch is empty at run time.
-    hot_rows=0 treats every key as hot, None treats none as hot; both skip the counting.
+    The quantiles are one row of bounded length, from one pass over one column.
     """
-    keyed = _with_key(df, keys)
-    if hot_rows is None:
-        return plain(keyed)
-    if hot_rows == 0:
-        return blocked(keyed)
-    hot = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_rows)
-    hot = F.broadcast(hot.select("_key"))
-    ordinary = plain(keyed.join(hot, "_key", "left_anti"))
-    large = blocked(keyed.join(hot, "_key", "left_semi"))
-    return ordinary.unionByName(large)
+    count = blocks or BLOCKS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = by.cast("double")
+    edges = None
+    if count > 1:
+        edges = df.agg(F.percentile_approx(value, [i / count for i in range(1, count)], 10_000).alias("e")).first()["e"]
+    if not edges:
+        return df.withColumn("_block", F.when(value.isNull(), F.lit(1.0)).otherwise(F.lit(0.0)))
+    splits = [-float("inf"), *sorted(set(edges)), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_by", outputCol="_block", handleInvalid="keep")
+    numbered = cut.transform(df.withColumn("_by", value)).drop("_by")
+    return numbered.withColumn("_block", F.coalesce("_block", F.lit(float(len(splits)))))
 
 
 def _running_blocks(
-    df: DataFrame, order: Sequence[Column], block: Column, sums: dict[str, Column], sequence: str | None
+    df: DataFrame, order: Sequence[Column], by: Column, sums: dict[str, Column], sequence: str | None, blocks: int | None
 ) -> DataFrame:
     measures = {name: measure for name, measure in sums.items()}
     if sequence:
         measures[sequence] = F.lit(1).cast("long")
-    # Rows without an order value form the last block.
-    blocked = df.withColumn("_block", F.coalesce(block.cast("long"), F.lit(_LAST_BLOCK)))
+    blocked = with_blocks(df, by, blocks)
     for name, measure in measures.items():
         blocked = blocked.withColumn(f"_m_{name}", measure)
     totals = blocked.groupBy("_key", "_block").agg(
@@ -109,41 +102,27 @@ def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    by: Column,
     sums: dict[str, Column] | None = None,
     sequence: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Running sums (rows up to the current one) and a 1-based sequence number per key.
 
-    `block` must grow with `order` (for example the day of the ordering timestamp) and be
-    fine enough that one block of one key fits a task. A null block comes last, so order
-    columns that may be null with `asc_nulls_last`.
+    `by` is a number that grows with `order` (for example the microseconds of the ordering
+    timestamp). A null comes last, so order columns that may be null with `asc_nulls_last`.
     """
-    sums = sums or {}
-
-    def plain(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        for name, measure in sums.items():
-            part = part.withColumn(name, F.sum(measure).over(w))
-        if sequence:
-            part = part.withColumn(sequence, F.sum(F.lit(1).cast("long")).over(w))
-        return part
-
-    def blocked(part: DataFrame) -> DataFrame:
-        return _running_blocks(part, order, block, sums, sequence)
-
-    return split_hot(df, keys, hot_rows, plain, blocked).drop("_key")
+    return _running_blocks(_with_key(df, keys), order, by, sums or {}, sequence, blocks).drop("_key")
 
 
 def row_frames(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    by: Column,
     frames: dict[str, tuple[int, Callable[[Window], Column]]],
-    hot_rows: int | None = HOT_ROWS,
     rows_per_block: int = 100_000,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Columns over the current row and the n rows before it, per key.
 
@@ -153,26 +132,16 @@ def row_frames(
     reach = max(n for n, _ in frames.values())
     if reach >= rows_per_block:
         raise ValueError("rows_per_block must exceed the longest frame")
-
-    def apply(part: DataFrame, w: Window) -> DataFrame:
-        for name, (_, fn) in frames.items():
-            part = part.withColumn(name, fn(w))
-        return part
-
-    def plain(part: DataFrame) -> DataFrame:
-        return apply(part, Window.partitionBy("_key").orderBy(*order))
-
-    def blocked(part: DataFrame) -> DataFrame:
-        numbered = _running_blocks(part, order, block, {}, "_seq")
-        slot = F.floor((F.col("_seq") - 1) / rows_per_block)
-        near_end = (F.col("_seq") - 1) % rows_per_block >= rows_per_block - reach
-        copies = F.when(near_end, F.array(slot, slot + 1)).otherwise(F.array(slot))
-        spread = numbered.withColumn("_slot", F.explode(copies))
-        framed = apply(spread, Window.partitionBy("_key", "_slot").orderBy("_seq"))
-        own = F.col("_slot") == F.floor((F.col("_seq") - 1) / rows_per_block)
-        return framed.where(own).drop("_slot", "_seq")
-
-    return split_hot(df, keys, hot_rows, plain, blocked).drop("_key")
+    numbered = _running_blocks(_with_key(df, keys), order, by, {}, "_seq", blocks)
+    slot = F.floor((F.col("_seq") - 1) / rows_per_block)
+    near_end = (F.col("_seq") - 1) % rows_per_block >= rows_per_block - reach
+    copies = F.when(near_end, F.array(slot, slot + 1)).otherwise(F.array(slot))
+    framed = numbered.withColumn("_slot", F.explode(copies))
+    w = Window.partitionBy("_key", "_slot").orderBy("_seq")
+    for name, (_, fn) in frames.items():
+        framed = framed.withColumn(name, fn(w))
+    own = F.col("_slot") == F.floor((F.col("_seq") - 1) / rows_per_block)
+    return framed.where(own).drop("_slot", "_seq", "_key")
 
 
 def moving_average(value: str, rows: int) -> tuple[int, Callable[[Window], Column]]:

@@ -29,26 +29,36 @@ def ledger(spark):
 
 
 def _block():
-    return F.unix_date(F.to_date("ts"))
+    return F.unix_micros("ts")
 
 
 def _order():
     return [F.asc_nulls_last("ts"), F.asc("id")]
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 50, 10_000, None])
-def test_running_totals(ledger, hot_rows):
-    got = w.running_totals(ledger, ["key"], _order(), _block(), {"total": F.col("v")}, "seq", hot_rows)
+@pytest.mark.parametrize("blocks", [1, 2, 7, 50, None])
+def test_running_totals(ledger, blocks):
+    got = w.running_totals(ledger, ["key"], _order(), _block(), {"total": F.col("v")}, "seq", blocks)
     plain = Window.partitionBy("key").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)
     want = ledger.withColumn("total", F.sum("v").over(plain)).withColumn("seq", F.sum(F.lit(1).cast("long")).over(plain))
     cols = ["id", "total", "seq"]
     assert rows(got.select(cols), "id") == rows(want.select(cols), "id")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 50, 10_000, None])
-def test_row_frames(ledger, hot_rows):
+def test_blocks_split_a_crowded_hour(spark):
+    """A third of the rows have one key and fall into one hour of a year."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 10_000).alias("second"),
+    )
+    sizes = w.with_blocks(df, F.col("second"), 30).groupBy("key", "_block").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 3 * 3000 / 30
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 7, 50, None])
+def test_row_frames(ledger, blocks):
     frames = {"ma": w.moving_average("v", 7), "prev": w.lagged("v", 3)}
-    got = w.row_frames(ledger, ["key"], _order(), _block(), frames, hot_rows, rows_per_block=11)
+    got = w.row_frames(ledger, ["key"], _order(), _block(), frames, rows_per_block=11, blocks=blocks)
     base = Window.partitionBy("key").orderBy(*_order())
     want = ledger.withColumn("ma", F.avg("v").over(base.rowsBetween(-6, 0))).withColumn("prev", F.lag("v", 3).over(base))
     cols = ["id", "ma", "prev"]
