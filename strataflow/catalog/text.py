@@ -365,13 +365,17 @@ def j09(t):
 
 @query(
     "j08_ordered_self_join",
-    f"""SELECT a.label, a.vec_id AS id_a, b.vec_id AS id_b, ROUND({COSINE.format(a='a.embedding', b='b.embedding')}, 6) AS similarity
-        FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND a.label = 3 AND b.label = 3
-        ORDER BY similarity DESC, id_a, id_b LIMIT 20""",
+    f"""SELECT a.label AS label_a, b.label AS label_b, a.vec_id AS id_a, b.vec_id AS id_b,
+               ROUND({COSINE.format(a='a.embedding', b='b.embedding')}, 6) AS similarity
+        FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id ORDER BY similarity DESC, id_a, id_b LIMIT 20""",
 )
 def j08(t):
-    same = t.raw("embeddings").where(F.col("label") == 3)
-    return similarity.top_similar_pairs(same, "vec_id", "embedding", 20).withColumn("label", F.lit(3))
+    e = t.raw("embeddings")
+    pairs = similarity.top_similar_pairs(e, "vec_id", "embedding", 20)
+    labels = e.select("vec_id", "label")
+    a = labels.select(F.col("vec_id").alias("id_a"), F.col("label").alias("label_a"))
+    b = labels.select(F.col("vec_id").alias("id_b"), F.col("label").alias("label_b"))
+    return pairs.join(a, "id_a").join(b, "id_b").select("label_a", "label_b", "id_a", "id_b", "similarity")
 
 
 TERMS = ("trash", "that", "worthless")
