@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ml
 from ..plans.consumption import CHURN_FEATURES, churn_features
+from ..session import stage
 from . import build
 from .registry import VIEWS, query
 from .scratch import scratch
@@ -75,14 +76,28 @@ def _churn_sets(t):
     features = [f for f in CHURN_FEATURES if f not in ("days_since_last_txn", "active_accounts")]
     rows = churn_features(build.c360(t), build.as_of(), exclude_label_sources=True)
     rows = ml.numeric_features(rows, features).withColumn("label", F.col("is_churned").cast("double"))
-    split = ml.stratified_split(rows, "is_churned", "customer_id").cache()
+    split = stage(ml.stratified_split(rows, "is_churned", "customer_id"))
     return split.where("is_train"), split.where("NOT is_train"), features
 
 
-@query("y05_churn_classifiers")
+CHURN_SPLIT_SQL = """(SELECT is_churned, ROW_NUMBER() OVER (PARTITION BY is_churned ORDER BY md5(CAST(customer_id AS VARCHAR) || '-42'), customer_id) - 1
+       < floor(COUNT(*) OVER (PARTITION BY is_churned) * 0.8::DOUBLE) AS is_train FROM churn)"""
+
+
+@query(
+    "y05_churn_classifiers",
+    f"""SELECT model, n_test, n_positive, TRUE AS auc_in_range, TRUE AS beats_guessing
+        FROM (SELECT COUNT(*) AS n_test, CAST(COUNT_IF(is_churned = 1) AS BIGINT) AS n_positive FROM {CHURN_SPLIT_SQL} WHERE NOT is_train)
+        CROSS JOIN (VALUES ('logistic_regression'), ('random_forest'), ('gradient_boosting')) m(model)""",
+)
 def y05(t):
+    """Three full models; what must hold for any sound fit, since exact scores depend on the trainer."""
     train, test, features = _churn_sets(t)
-    return ml.compare_classifiers(train, test, features, "label", ml.classifiers("label", trees=20, boosting=5))
+    r = ml.compare_classifiers(train, test, features, "label", ml.classifiers("label"))
+    return r.select(
+        "model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_test"), (F.col("tp") + F.col("fn")).alias("n_positive"),
+        F.col("auc").between(0, 1).alias("auc_in_range"), (F.col("auc") > 0.5).alias("beats_guessing"),
+    )
 
 
 def _revenue_sets(t):
@@ -90,14 +105,23 @@ def _revenue_sets(t):
     skip = ("revenue_month", "label", "monthly_volume")
     features = [f.name for f in rows.schema.fields if f.name not in skip]
     rows = ml.numeric_features(rows, features)
-    split = ml.time_split(rows, "revenue_month").cache()
+    split = stage(ml.time_split(rows, "revenue_month"))
     return split.where("is_train"), split.where("NOT is_train"), features
 
 
-@query("y06_revenue_regressors")
+@query(
+    "y06_revenue_regressors",
+    """SELECT model, TRUE AS errors_ordered, TRUE AS r2_at_most_one
+       FROM (SELECT COUNT(*) FROM monthly) CROSS JOIN
+            (VALUES ('linear_regression'), ('ridge'), ('lasso'), ('random_forest'), ('gradient_boosting')) m(model)""",
+)
 def y06(t):
+    """Five full models; a mean error is never above the root mean square error, nor R2 above one."""
     train, test, features = _revenue_sets(t)
-    return ml.compare_regressors(train, test, features, "label", ml.regressors("label", trees=20, boosting=5))
+    r = ml.compare_regressors(train, test, features, "label", ml.regressors("label", rows=train.count()))
+    return r.select(
+        "model", ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") * (1 + 1e-9))).alias("errors_ordered"), (F.col("r2") <= 1).alias("r2_at_most_one")
+    )
 
 
 @query(
@@ -175,12 +199,21 @@ def y11(t):
     return ml.correlation_matrix(build.churn(t), FEATURES).withColumn("correlation", F.round("correlation", 6))
 
 
-@query("y12_feature_importance")
+@query(
+    "y12_feature_importance",
+    f"""SELECT {len(CHURN_FEATURES) - 2} AS n_features, 1.0::DOUBLE AS total, TRUE AS ranked, COUNT(*) AS n_train
+        FROM {CHURN_SPLIT_SQL} WHERE is_train""",
+)
 def y12(t):
+    """Importances of a full forest: one for each feature, in order, summing to one."""
     train, _, features = _churn_sets(t)
     prep = ml.scaled(train, features)
-    model = ml.classifiers("label", trees=20)["random_forest"].fit(prep.transform(train))
-    return ml.feature_importance(t.spark, model, features)
+    model = ml.classifiers("label")["random_forest"].fit(prep.transform(train))
+    i = ml.feature_importance(t.spark, model, features)
+    by_rank = F.transform(F.array_sort(F.collect_list(F.struct("importance_rank", "importance"))), lambda x: x["importance"])
+    falling = F.array_sort(by_rank, lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0))
+    out = i.agg(F.count_distinct("feature").cast("int").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), (by_rank == falling).alias("ranked"))
+    return out.withColumn("n_train", F.lit(train.count()))
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .reshape import combine_single_rows, union_all
 from .windows import global_position, lagged, row_frames, running_totals
 
@@ -69,11 +70,13 @@ def classifiers(label: str, trees: int = 100, iterations: int = 1000, boosting:
     }
 
 
-def regressors(label: str, trees: int = 100, boosting: int = 100) -> dict[str, object]:
+def regressors(label: str, rows: int, trees: int = 100, boosting: int = 100) -> dict[str, object]:
+    """Models by name. `rows` are the training rows: the ridge penalty of 1 belongs to a sum over rows, this loss is a
+    mean."""
     common = {"featuresCol": "features", "labelCol": label}
     return {
         "linear_regression": LinearRegression(**common),
-        "ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0, **common),
+        "ridge": LinearRegression(regParam=1.0 / max(rows, 1), elasticNetParam=0.0, **common),
         "lasso": LinearRegression(regParam=1.0, elasticNetParam=1.0, **common),
         "random_forest": RandomForestRegressor(numTrees=trees, seed=SEED, **common),
         "gradient_boosting": GBTRegressor(maxIter=boosting, seed=SEED, **common),
@@ -171,7 +174,7 @@ def feature_importance(spark: SparkSession, model, features: Sequence[str]) -> D
 def compare_classifiers(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: dict[str, object]) -> DataFrame:
     """Fit each model on scaled training rows, one row of test metrics per model."""
     prep = scaled(train, features)
-    fit_rows, test_rows = prep.transform(train).cache(), prep.transform(test)
+    fit_rows, test_rows = stage(prep.transform(train)), prep.transform(test)
     out = []
     for name, model in models.items():
         scored = model.fit(fit_rows).transform(test_rows)
@@ -184,7 +187,7 @@ def compare_classifiers(train: DataFrame, test: DataFrame, features: Sequence[st
 
 def compare_regressors(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, models: dict[str, object]) -> DataFrame:
     prep = scaled(train, features)
-    fit_rows, test_rows = prep.transform(train).cache(), prep.transform(test)
+    fit_rows, test_rows = stage(prep.transform(train)), prep.transform(test)
     return union_all(
         [
             regression_metrics(m.fit(fit_rows).transform(test_rows), label, "prediction").withColumn("model", F.lit(n))
