@@ -18,8 +18,8 @@ SIMILARITY = 0.8
 COMPONENTS, ROWS = 128, 4
 #: Pairs whose sketches agree in fewer places than this part are not verified: at 0.8, six standard deviations below.
 SKETCH_LEAST = 0.6
-#: Members of a bucket that one task compares with one another.
-BLOCK = 64
+#: Members around a hub that one task compares with as many others; shingles that it compares them by at once.
+BLOCK, COLUMNS = 512, 8192
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray):
@@ -104,31 +104,83 @@ def _agree(batches):
         yield pa.RecordBatch.from_arrays([batch["a"].filter(ok), batch["b"].filter(ok)], names=["a", "b"])
 
 
+def overlaps(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """For texts left x right: common shingles, and the part of the left and of the right text's weight they make up."""
+    _, col = np.unique(h, return_inverse=True)
+    n = len(np.bincount(doc)) if len(doc) else 0
+    total = np.bincount(doc, weight, n)
+    order = np.argsort(col, kind="stable")
+    doc, col, weight = doc[order], col[order], weight[order]
+    common, part_l, part_r = (np.zeros((len(left), len(right)), np.float32) for _ in range(3))
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        s = slice(*np.searchsorted(col, [lo, lo + COLUMNS]))
+        has, part = np.zeros((n, COLUMNS), np.float32), np.zeros((n, COLUMNS), np.float32)
+        has[doc[s], col[s] - lo] = 1
+        part[doc[s], col[s] - lo] = weight[s] / total[doc[s]]
+        common += has[left] @ has[right].T
+        part_l += part[left] @ has[right].T
+        part_r += has[left] @ part[right].T
+    return common, part_l, part_r
+
+
 def _in_block(table: pa.Table) -> pa.Table:
-    """Pairs of one pair of blocks whose sketches agree and that are not known to be connected."""
-    sig = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint32).reshape(-1, COMPONENTS)
-    fp, comp = table["fp"].to_pylist(), table["comp"].to_pylist()
+    """Links between members of two blocks that are not connected yet; as few as connect them."""
+    fp, comp, own = table["fp"].to_pylist(), table["comp"].to_pylist(), table["own"].to_numpy()
+    i, j = table["i"][0].as_py(), table["j"][0].as_py()
+    _, _, _, hashes, first = words_of(table["text"].combine_chunks())
+    doc, h, count = shingles(hashes, first)
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    common, part_l, part_r = overlaps(doc, h, count.astype(np.float64), left, right)
+    size = np.bincount(doc, minlength=len(fp))
+    plain = np.bincount(doc, count > 1, len(fp)) == 0
+    _, group = np.unique(np.array([x.hex() for x in comp]), return_inverse=True)
+    # The common part of either text's weight bounds the similarity from above.
+    maybe = (np.minimum(part_l, part_r) >= SIMILARITY - 1e-4) & (group[left][:, None] != group[right][None, :])
+    cut = np.searchsorted(doc, np.arange(len(fp) + 1))
+    up = list(range(int(group.max()) + 1 if len(group) else 0))
+
+    def top(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
     a, b = [], []
-    for i in range(len(fp)):
-        for j in np.flatnonzero((sig[i + 1 :] == sig[i]).mean(1) >= SKETCH_LEAST) + i + 1:
-            if comp[i] != comp[j] and fp[i] != fp[j]:
-                a.append(min(fp[i], fp[j]))
-                b.append(max(fp[i], fp[j]))
+    for p, q in zip(*np.nonzero(maybe), strict=True):
+        x, y = left[p], right[q]
+        gx, gy = top(group[x]), top(group[y])
+        if gx == gy:
+            continue
+        if plain[x] and plain[y]:
+            similar = common[p, q] / (size[x] + size[y] - common[p, q])
+        else:
+            sx, sy = slice(cut[x], cut[x + 1]), slice(cut[y], cut[y + 1])
+            similar = probability_jaccard(h[sx], count[sx], h[sy], count[sy])
+        if similar >= SIMILARITY - 1e-6:
+            up[gx] = gy
+            a.append(min(fp[x], fp[y]))
+            b.append(max(fp[x], fp[y]))
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
+def _own_text(batches):
+    """Texts that have the fingerprint they were fetched for; ids may repeat."""
+    for batch in chunks(batches):
+        _, _, _, hashes, first = words_of(batch["text"])
+        fp = [hashlib.blake2b(hashes[first[k] : first[k + 1]].tobytes(), digest_size=16).digest() for k in range(batch.num_rows)]
+        same = pa.array([x == y for x, y in zip(fp, batch["fp"].to_pylist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([batch["fp"].filter(same), batch["text"].filter(same)], names=["fp", "text"])
+
+
 def _counted(batches):
-    """Words to the counted shingles of each text, and the fingerprint that names it."""
+    """Words to the counted shingles of each text."""
     for batch in chunks(batches):
         _, _, _, hashes, first = words_of(batch["text"])
         doc, h, count = shingles(hashes, first)
         cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-        fp = [hashlib.blake2b(hashes[first[k] : first[k + 1]].tobytes(), digest_size=16).digest() for k in range(batch.num_rows)]
         own = [h[cut[k] : cut[k + 1]].tobytes() for k in range(batch.num_rows)]
         number = [count[cut[k] : cut[k + 1]].astype(np.uint32).tobytes() for k in range(batch.num_rows)]
-        same = pa.array([x == y for x, y in zip(fp, batch["fp"].to_pylist(), strict=True)])
-        cols = [pa.array(fp, pa.binary()), pa.array(own, pa.binary()), pa.array(number, pa.binary())]
-        yield pa.RecordBatch.from_arrays([c.filter(same) for c in cols], names=["fp", "shingles", "counts"])
+        yield pa.RecordBatch.from_arrays([batch["fp"], pa.array(own, pa.binary()), pa.array(number, pa.binary())], names=["fp", "shingles", "counts"])
 
 
 def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
@@ -181,11 +233,10 @@ def components(edges: DataFrame) -> DataFrame:
         label = shared_table(label, "label")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """Pairs (a, b) of fingerprints whose texts are similar enough."""
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().join(classes.select("fp", "rep"), "fp")
-    bodies = texts.join(wanted.withColumnRenamed("rep", "id"), "id").select("fp", "text")
-    counted = shared_table(bodies.mapInArrow(_counted, "fp binary, shingles binary, counts binary").dropDuplicates(["fp"]), "counted")
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    counted = shared_table(bodies.join(wanted, "fp").mapInArrow(_counted, "fp binary, shingles binary, counts binary"), "counted")
     side = lambda s: counted.select(F.col("fp").alias(s), F.col("shingles").alias(f"shingles_{s}"), F.col("counts").alias(f"counts_{s}"))
     return shared_table(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a binary, b binary"), "links")
 
@@ -199,9 +250,9 @@ def near_groups(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     id, are kept together. An empty table gives no rows. Other columns are not read.
 
     Equal word rows are one class first, so copies are never paired. Within a bucket every class is compared with the
-    bucket's smallest; after these links have been joined up, what is still unconnected within a bucket of three or
-    more is compared in blocks of BLOCK members, so no bucket is capped, no group's pairs are written out, and no
-    link between different groups is left out. All tables stay distributed.
+    bucket's hub. When these links have been joined up, members around one hub that are still unconnected are compared
+    in blocks of BLOCK, inside tasks that return no more links than connect them: no bucket is capped, no group's pairs
+    are written out, and no link between different groups is left out. All tables stay distributed.
     """
     texts = select_texts(df, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
@@ -209,29 +260,33 @@ def near_groups(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     named = sketch.filter("fp IS NOT NULL AND id IS NOT NULL")
     classes = shared_table(named.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch")), "classes")
     bands = classes.select("fp", "sketch").mapInArrow(_bands, "band long, fp binary")
-    hubs = bands.groupBy("band").agg(F.min("fp").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    members = shared_table(bands.join(hubs, "band"), "members")
+    sizes = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = shared_table(bands.join(sizes, "band"), "shared")
+    # The hub of a bucket is the member that meets most others over all its buckets: of copies, the text they vary.
+    weight = shared.groupBy("fp").agg(F.sum("size").alias("weight"))
+    hubs = shared.join(weight, "fp").groupBy("band").agg(F.max(F.struct("weight", "fp"))["fp"].alias("hub"))
+    members = shared_table(shared.join(hubs, "band"), "members")
     sig = lambda s: classes.select(F.col("fp").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-    stars = members.filter("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    stars = members.filter("fp <> hub").select(F.least("hub", "fp").alias("a"), F.greatest("hub", "fp").alias("b")).distinct()
     close = shared_table(stars.join(sig("b"), "b").join(sig("a"), "a").select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agree, "a binary, b binary"), "pairs")
-    links = _verified(close, classes, texts)
+    # The texts of one document for each class that shares a bucket; they are shuffled once.
+    wanted = members.select("fp").distinct().join(classes.select("fp", F.col("rep").alias("id")), "fp")
+    bodies = shared_table(texts.join(wanted, "id").mapInArrow(_own_text, "fp binary, text string").dropDuplicates(["fp"]), "bodies")
+    links = _verified(close, bodies)
     label = shared_table(components(links), "comp")
-    # Buckets of three or more that hold several components still.
-    placed = members.filter("size > 2").join(label.withColumnRenamed("node", "fp"), "fp", "left").select("band", "fp", F.coalesce("comp", "fp").alias("comp"), "size")
-    mixed = placed.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    own = F.pmod(F.xxhash64("fp"), blocks)
+    # Hubs whose members are still in several components. A hub's single companion has been compared with it already.
+    around = members.select("hub", "fp").distinct().join(label.withColumnRenamed("node", "fp"), "fp", "left").select("hub", "fp", F.coalesce("comp", "fp").alias("comp"))
+    mixed = around.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("size > 2 AND low <> high")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     spread = (
-        placed.join(mixed, "band")
-        .join(classes.select("fp", "sketch"), "fp")
-        .select("band", "fp", "comp", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-        .select("band", "fp", "comp", "sketch", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        around.join(mixed.select("hub", "size"), "hub")
+        .join(bodies, "fp")
+        .select("hub", "fp", "comp", "text", F.pmod(F.xxhash64("fp"), blocks).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        .select("hub", "fp", "comp", "text", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    rest = spread.groupBy("band", "i", "j").applyInArrow(_in_block, "a binary, b binary").distinct()
-    rest = shared_table(rest.join(close, ["a", "b"], "left_anti"), "rest")
+    rest = shared_table(spread.groupBy("hub", "i", "j").applyInArrow(_in_block, "a binary, b binary").distinct(), "rest")
     if not rest.isEmpty():
-        links = links.union(_verified(rest, classes, texts))
-        label = shared_table(components(links), "comp")
+        label = shared_table(components(links.union(rest)), "comp")
     joined = classes.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", "n", F.coalesce("comp", "fp").alias("comp"))
     groups = joined.groupBy("comp").agg(F.min("rep").alias("group_id"), F.sum("n").alias("group_size"))
     answer = joined.join(groups, "comp").select("fp", "group_id", "group_size")
