@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+from .joins import plan_bytes
+
 
 def clustered_copy(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None) -> DataFrame:
     """Copy sorted by the keys across files.
@@ -70,6 +72,11 @@ def lookup_copy(df: DataFrame, path: str, key: str, files: int | None = None) ->
     return df.sparkSession.read.parquet(path)
 
 
+def files_for(df: DataFrame, least: int = 1, target: int = 128 << 20) -> int:
+    """Output files of about `target` bytes each, by the size the optimizer expects."""
+    return max(least, -(-plan_bytes(df) // target))
+
+
 def reuse(df: DataFrame) -> DataFrame:
-    """Keep a result for several readers, on disk where memory does not suffice; unpersist when done."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep a result for several readers: written once to the shared folder, so no executor has to hold it."""
+    return stage(df)
