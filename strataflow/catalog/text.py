@@ -394,11 +394,7 @@ BM25_SQL = f"""WITH post AS (SELECT doc_id, term, COUNT(*) AS tf FROM (SELECT do
     f"""{BM25_SQL} SELECT doc_id AS doc, lang, score, terms_hit FROM scored WHERE lang = 'en' ORDER BY score DESC, doc LIMIT 10""",
 )
 def n17(t):
-    d = t.raw("documents")
-    return search.bm25(
-        search.postings(d, "doc_id", "text", TERMS), search.lengths(d, "doc_id", "text"), TERMS, d.select("doc_id", "lang"),
-        "doc_id", F.col("lang") == "en",
-    )
+    return search.search_texts(t.raw("documents"), "doc_id", "text", TERMS, ("lang",), F.col("lang") == "en")
 
 
 @query(
@@ -412,7 +408,7 @@ def n17(t):
 )
 def n17b(t):
     d, e = t.raw("documents"), t.raw("embeddings")
-    words = search.bm25(search.postings(d, "doc_id", "text", TERMS), search.lengths(d, "doc_id", "text"), TERMS, k=20)
+    words = search.search_texts(d, "doc_id", "text", TERMS, k=20)
     query_vector = e.where(F.col("vec_id") == 7).select("embedding").first()[0]
     near = similarity.rank_by_vector(e, "embedding", query_vector, 20, "vec_id")
     # Both lists have at most 20 rows: the unpartitioned windows are bounded.

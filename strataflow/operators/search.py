@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..session import stage
 from ..sources.sinks import batch_ids, read_batches, write_batch
 
 K1, B = 1.2, 0.75
@@ -31,8 +32,8 @@ def refresh_index(docs: DataFrame, key: str, text: str, path: str, batch_id: int
 
     Sorted by term inside the files, so a query's term filter skips row groups.
     """
-    # The hash keeps a frequent term from landing in one task.
-    by_term = postings(docs, key, text).repartition("term", F.pmod(F.xxhash64("doc"), F.lit(16)))
+    # By ranges of (term, document), so a frequent term is cut as often as its size asks for.
+    by_term = postings(docs, key, text).repartitionByRange("term", "doc")
     write_batch(by_term.sortWithinPartitions("term", "doc"), f"{path}/postings", batch_id)
     write_batch(lengths(docs, key, text), f"{path}/lengths", batch_id)
 
@@ -71,6 +72,37 @@ def bm25(
     return ranked.limit(k) if k is not None else ranked
 
 
+def search_texts(
+    docs: DataFrame, key: str, text: str, terms: Sequence[str], keep: Sequence[str] = (), where: Column | None = None, k: int | None = 10
+) -> DataFrame:
+    """BM25 ranking straight from the documents, in one pass over their texts.
+
+    The pass leaves one narrow row per document (length, occurrences of each term, kept columns), staged for the two
+    readers: the corpus figures, one scalar, and the scores of documents with a hit.
+    """
+    cut = docs.select(F.col(key).alias("doc"), *keep, tokens(text).alias("_w"))
+
+    def occurrences(term: str) -> Column:
+        return F.size(F.filter("_w", lambda w: w == F.lit(term)))
+
+    rows = stage(cut.select("doc", *keep, F.size("_w").alias("doc_len"), F.array(*[occurrences(x) for x in terms]).alias("_tf")))
+    seen = F.array(*[F.count_if(F.col("_tf")[i] > 0) for i in range(len(terms))])
+    corpus = rows.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg"), seen.alias("df"))).scalar()
+    hits = rows.where(F.exists("_tf", lambda n: n > 0)).withColumn("_c", corpus)
+    if where is not None:
+        hits = hits.where(where)
+    n, norm = F.col("_c.n"), K1 * (1 - B + B * F.col("doc_len") / F.col("_c.avg"))
+    parts = F.lit(0.0)
+    for i in range(len(terms)):
+        tf, df = F.col("_tf")[i], F.col("_c.df")[i]
+        parts = parts + F.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + norm)
+    out = hits.select(
+        "doc", *keep, F.round(parts, 6).alias("score"), F.size(F.filter("_tf", lambda x: x > 0)).cast("long").alias("terms_hit")
+    )
+    ranked = out.orderBy(F.desc("score"), F.asc("doc"))
+    return ranked.limit(k) if k is not None else ranked
+
+
 def substring_search(docs: DataFrame, index: DataFrame, key: str, text: str, phrase: str) -> DataFrame:
     """Documents that contain the phrase; the inner words of the phrase narrow the candidates.
 
