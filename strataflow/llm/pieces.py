@@ -13,9 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import CHUNK, U64, Polynomial, chunks, mix, select_texts, text_bytes
+from .common import U64, Polynomial, chunks, mix, select_texts, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Sign for a space inside pieces.
@@ -23,6 +22,23 @@ SPACE = "▁"
 #: Words with more characters are solved one by one, by the same search.
 LONG = 64
 SLOTS = 20
+#: Bytes of different words that are searched at once.
+LETTERS = 1 << 18
+#: Solved words that a task keeps.
+KNOWN = 500_000
+
+
+def fresh_words() -> dict[str, np.ndarray]:
+    """Solved words: key, and where their ids begin and how many they are."""
+    return {"key": np.zeros(1, np.uint64), "begin": np.zeros(1, np.int64), "count": np.zeros(1, np.int64), "ids": np.zeros(0, np.int32)}
+
+
+def learnt(known: dict, key: np.ndarray, ids: np.ndarray, start: np.ndarray) -> dict:
+    every = np.concatenate([known["key"], key])
+    order = np.argsort(every)
+    begin = np.concatenate([known["begin"], start[:-1] + len(known["ids"])])
+    count = np.concatenate([known["count"], np.diff(start)])
+    return {"key": every[order], "begin": begin[order], "count": count[order], "ids": np.concatenate([known["ids"], ids])}
 
 
 class Tables:
@@ -83,6 +99,14 @@ class Tables:
         self.maybe = np.zeros(1 << SLOTS, bool)
         self.maybe[(h >> U64(64 - SLOTS)).astype(np.int64)] = True
         self.cache = {}
+        self.known = fresh_words()
+
+    @classmethod
+    def over(cls, state: dict) -> "Tables":
+        """Tables over a broadcast state; what a worker has solved stays in it for its next task."""
+        out = cls.__new__(cls)
+        out.__dict__ = state
+        return out
 
     def merged(self, text: str):
         """Pieces of `text` by merging the best pair first, and the pair merged last."""
@@ -158,7 +182,7 @@ class Tables:
         poly, k = Polynomial(raw), np.arange(len(starts))
         match = []
         for size in range(1, self.longest + 1):
-            piece = np.full(len(starts), -1, np.int64)
+            piece = np.full(len(starts), -1, np.int32)
             at = k[k + size <= stop]
             h = poly(bounds[at], bounds[at + size])
             maybe = self.maybe[(h >> U64(64 - SLOTS)).astype(np.int64)]
@@ -179,7 +203,7 @@ class Tables:
                 if not len(open_):
                     break
                 end = here[open_]
-                cand = match[size - 1][end - size + 1]
+                cand = match[size - 1][end - size + 1].astype(np.int64)
                 hit = np.flatnonzero(cand >= 0)
                 if not len(hit):
                     continue
@@ -291,22 +315,33 @@ class Tables:
         many = np.flatnonzero(np.diff(woff) > 1)
         two[many] = wraw[woff[many] + 1] == 32
         odd = two | (chars > LONG)
-        plain = np.flatnonzero(~odd)
-        keep = np.repeat(~odd, np.diff(woff))
-        psize = np.diff(woff)[plain]
+        known = self.known
+        if len(known["key"]) > KNOWN:
+            known = self.known = fresh_words()
+        key = Polynomial(wraw)(woff[:-1], woff[1:])
+        j = np.minimum(np.searchsorted(known["key"], key), len(known["key"]) - 1)
+        plain = np.flatnonzero(~odd & (known["key"][j] != key))
+        keep = np.zeros(len(words), bool)
+        keep[plain] = True
+        praw, psize = wraw[np.repeat(keep, np.diff(woff))], np.diff(woff)[plain]
         pend = np.cumsum(psize)
-        ids, start = self.words(wraw[keep], pend - psize, pend)
-        count = np.zeros(len(words), np.int64)
-        begin_of = np.zeros(len(words), np.int64)
-        count[plain], begin_of[plain] = np.diff(start), start[:-1]
-        extra = []
-        total = len(ids)
+        lo = 0
+        while lo < len(plain):  # a bounded number of letters at once
+            base = pend[lo] - psize[lo]
+            hi = max(lo + 1, int(np.searchsorted(pend, base + LETTERS, "right")))
+            got, start = self.words(praw[base : pend[hi - 1]], pend[lo:hi] - psize[lo:hi] - base, pend[lo:hi] - base)
+            known = learnt(known, key[plain[lo:hi]], got, start)
+            lo = hi
+        self.known = known
+        j = np.minimum(np.searchsorted(known["key"], key), len(known["key"]) - 1)
+        begin_of, count = known["begin"][j], known["count"][j]
+        extra, total = [known["ids"]], len(known["ids"])
         for w in np.flatnonzero(odd):
             got = self.odd_word(words[int(w)].as_py())
             begin_of[w], count[w] = total, len(got)
             total += len(got)
-            extra.append(got)
-        flat = np.concatenate([ids, *[np.array(x, np.int32) for x in extra]]) if extra else ids
+            extra.append(np.array(got, np.int32))
+        flat = np.concatenate(extra) if len(extra) > 1 else extra[0]
         n = count[index]
         done = np.cumsum(n)
         pick = np.repeat(begin_of[index] - (done - n), n) + np.arange(int(done[-1]) if len(done) else 0)
@@ -328,8 +363,8 @@ class Tables:
 
 def _encoder(shared):
     def run(batches):
-        tables = shared.value
-        for batch in chunks(batches, 4 * CHUNK):
+        tables = Tables.over(shared.value)
+        for batch in chunks(batches):
             ids, offsets = tables.encode(batch["text"])
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "ids"])
@@ -339,7 +374,7 @@ def _encoder(shared):
 
 def _decoder(shared):
     def run(batches):
-        tables = shared.value
+        tables = Tables.over(shared.value)
         for batch in batches:
             lists = pc.fill_null(batch["ids"], []) if batch["ids"].null_count else batch["ids"]
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -351,8 +386,22 @@ def _decoder(shared):
     return run
 
 
+def _there_and_back(shared):
+    """Encoder and decoder in one pass, so a task has one worker."""
+
+    def run(batches):
+        tables = Tables.over(shared.value)
+        for batch in chunks(batches):
+            ids, offsets = tables.encode(batch["text"])
+            same = [a == b.encode() for a, b in zip(tables.decode(ids, offsets), batch["text"].to_pylist(), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch["id"], lists, pa.array(np.diff(offsets), pa.int64()), pa.array(same)], names=["id", "ids", "n_tokens", "round_trip"])
+
+    return run
+
+
 def _tables(df: DataFrame, model: str):
-    return df.sparkSession.sparkContext.broadcast(Tables(model))
+    return df.sparkSession.sparkContext.broadcast(vars(Tables(model)))
 
 
 def encode_pieces(df: DataFrame, id_col="doc_id", text_col="text", model=MODEL, tables=None) -> DataFrame:
@@ -375,11 +424,7 @@ def decode_pieces(df: DataFrame, model=MODEL, tables=None) -> DataFrame:
 def round_trip(df: DataFrame, id_col="doc_id", text_col="text", model=MODEL) -> DataFrame:
     """Ids of every text and whether they decode to it. Only a text that holds the space sign U+2581 itself does not:
     the vocabulary cannot tell it from a space."""
-    tables = _tables(df, model)
-    both = decode_pieces(encode_pieces(df, id_col, text_col, tables=tables), tables=tables)
-    return both.select(
-        F.col("id").alias(id_col),
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.col("text")).alias("round_trip"),
-    )
+    src = select_texts(df, id_col, text_col)
+    kind = src.schema["id"].dataType.simpleString()
+    out = src.mapInArrow(_there_and_back(_tables(df, model)), f"id {kind}, ids array<int>, n_tokens long, round_trip boolean")
+    return out.withColumnRenamed("id", id_col)
