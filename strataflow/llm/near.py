@@ -277,6 +277,7 @@ def near_groups(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     # Hubs whose members are still in several components. A hub's single companion has been compared with it already.
     around = members.select("hub", "fp").distinct().join(label.withColumnRenamed("node", "fp"), "fp", "left").select("hub", "fp", F.coalesce("comp", "fp").alias("comp"))
     mixed = around.groupBy("hub").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("size > 2 AND low <> high")
+    mixed = shared_table(mixed, "mixed")  # so that a large hub can be split in the join below
     blocks = F.ceil(F.col("size") / BLOCK).cast("long")
     spread = (
         around.join(mixed.select("hub", "size"), "hub")

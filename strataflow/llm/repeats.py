@@ -23,8 +23,10 @@ WINDOW, GRAM = 50, 16
 REACH = WINDOW - GRAM
 HALF = -(-REACH // 2)
 PLACE = U64((1 << 28) - 1)
+#: Bytes of text whose anchors are found at once.
+TEXT = 1 << 19
 #: Anchors gathered by a task before they are sent.
-GATHER = 600_000
+GATHER = 300_000
 #: Anchors in this part of a sample's documents are dealt out by stretch, not by anchor; at most HOT_MOST of them.
 SAMPLE, HOT_PART, HOT_LEAST, HOT_MOST = 64, 0.01, 16, 4096
 NO_ID = (1 << 63) - 1
@@ -138,7 +140,7 @@ def _deal(shards: int, hot_shared):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         held = seen = 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, TEXT):
             raw, offsets = text_bytes(batch["text"])
             got = anchors(raw, offsets)
             if got is None or not len(got[0]):
@@ -331,7 +333,7 @@ def _hot_names(docs: DataFrame) -> np.ndarray:
     """Anchors of passages that a large part of a sample's documents hold; a bounded list."""
 
     def names(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, TEXT):
             raw, offsets = text_bytes(batch["text"])
             got = anchors(raw, offsets)
             if got is not None and len(got[0]):
@@ -362,7 +364,8 @@ def remove_repeats(df: DataFrame, id_col="doc_id", text_col="text", keep_text=Tr
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = spark.sparkContext.broadcast(_hot_names(docs))
-    dealt = docs.mapInArrow(_deal(4 * parts, hot), FIELDS).repartition(parts, "shard")
+    shards = 4 * parts  # a task holds the anchors of its shards at once
+    dealt = docs.mapInArrow(_deal(shards, hot), FIELDS).repartition(shards, "shard")
     found = shared_table(dealt.mapInArrow(_settle(hot), "id long, key long, code long, name long"), "anchors")
     unclear = found.filter("name IS NOT NULL").groupBy("id", "key").agg(F.collect_list(F.struct("code", "name")).alias("found"))
     stretches = docs.join(unclear, ["id", "key"]).mapInArrow(_stretches, "route long, id long, key long, at long, bytes binary")

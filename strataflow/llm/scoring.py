@@ -20,7 +20,7 @@ BEGIN, END = U64(1), U64(2)
 #: Weight of the unigram distribution in each context: as if it had been seen so often.
 PRIOR = 8.0
 #: Bytes of text in a group of documents, about.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 8 << 20
 #: Tokens that make up more than this part of a sample's tokens have their pairs dealt out one by one; at most so many.
 SAMPLE, HEAVY_PART, HEAVY_MOST = 32, 1e-3, 1000
 
@@ -55,7 +55,7 @@ class Group:
         order = sorted(range(rows.num_rows), key=lambda k: (rows["id"][k].as_py() is None, str(rows["id"][k])))
         self.rows = rows.take(pa.array(order, pa.int64())) if rows.num_rows else rows
         tokens, first, at = [], [np.zeros(1, np.int64)], 0
-        for batch in chunks(self.rows.to_batches(), CHUNK):
+        for batch in chunks(self.rows.to_batches(), CHUNK // 4):
             t, f = token_hashes(batch["text"])
             tokens.append(t)
             first.append(f[1:] + at)
@@ -221,7 +221,7 @@ def score_texts(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     documents of their own. Without training documents all counts are 0. An empty table gives no rows; other columns are
     not read. Tokens are told by 64-bit hashes, next tokens within a context by 48 bits.
 
-    Groups hold GROUP_BYTES of text; shards are as many as shuffle partitions. Pairs after a token that makes up a
+    Groups hold GROUP_BYTES of text; shards are twice as many as shuffle partitions. Pairs after a token that makes up a
     large part of a sample are dealt out one by one, so no shard takes all that follows it.
     """
     spark = df.sparkSession
@@ -229,7 +229,7 @@ def score_texts(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     text_id = F.col("id").cast("string")
     src = src.withColumn("held_out", F.coalesce(F.pmod(F.crc32(text_id.cast("binary")), F.lit(7)) == 2, F.lit(False)))
     learn = src.filter("NOT held_out").select("text")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = learn.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     size = part.agg(F.sum("n")).first()[0] or 0
     top = part.filter(F.col("n") >= max(size * HEAVY_PART, 8)).orderBy(F.desc("n"), "word").limit(HEAVY_MOST).collect()

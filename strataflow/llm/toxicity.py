@@ -279,19 +279,24 @@ def fit_scale(logit: np.ndarray, toxic: np.ndarray, share: float) -> tuple[float
     return (float(a), float(b)) if np.isfinite([a, b]).all() and a > 0 else (1.0, 0.0)
 
 
+def packed(net: Network) -> bytes:
+    """The network as plain arrays, a few hundred kilobytes."""
+    return zlib.compress(pickle.dumps((net.vocabulary, net.p, net.scale)))
+
+
 def _fit(share):
     def run(table: pa.Table) -> pa.Table:
         order = np.lexsort((table["text"].to_numpy(), table["key"].to_numpy()))
         texts = [table["text"][int(i)].as_py() for i in order]
         labels = table["toxic"].to_numpy()[order]
-        return pa.table({"model": pa.array([zlib.compress(pickle.dumps(train(texts, labels, share)))], pa.binary())})
+        return pa.table({"model": pa.array([packed(train(texts, labels, share))], pa.binary())})
 
     return run
 
 
 def _score(shared):
     def run(batches):
-        net = pickle.loads(zlib.decompress(shared.value))
+        net = Network(*pickle.loads(zlib.decompress(shared.value)))
         for batch in chunks(batches, CHUNK):
             score = np.clip(net.score(batch["text"]), 0.0, 1.0)
             cols = [batch["id"], batch["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
@@ -323,8 +328,8 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     picked = listed.filter("toxic = 1").orderBy("key", "id").limit(TRAIN_TOXIC).union(listed.filter("toxic = 0").orderBy("key", "id").limit(TRAIN_CLEAN))
     picked = shared_table(picked, "toxic")
     sample = src.filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(picked), "id").select("key", "text", "toxic")
-    got = sample.groupBy(F.lit(1)).applyInArrow(_fit(share), "model binary").first()
-    model = bytes(got["model"]) if got else zlib.compress(pickle.dumps(train([], np.zeros(0), share)))
+    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fit(share), "model binary").first()
+    model = bytes(got["model"]) if got else packed(train([], np.zeros(0), share))
     kind = src.schema["id"].dataType.simpleString()
     out = src.withColumn("held_out", held).mapInArrow(_score(src.sparkSession.sparkContext.broadcast(model)), f"id {kind}, held_out boolean, score double, predicted int")
     return out.withColumnRenamed("id", id_col)

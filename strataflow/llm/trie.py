@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import mmap
-import tempfile
 
 import numpy as np
 
@@ -23,13 +22,11 @@ def _select_table() -> np.ndarray:
 
 
 class Mapped:
-    """Arrays in one memory-mapped file without a name: pages can leave memory, and nothing is left behind."""
+    """Arrays in one anonymous memory map: their pages can leave memory, and no file is left behind."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         size = sum(-(-a.nbytes // 8) * 8 for a in arrays.values()) or 8
-        self.file = tempfile.TemporaryFile()
-        self.file.truncate(size)
-        self.map = mmap.mmap(self.file.fileno(), size)
+        self.map = mmap.mmap(-1, size)
         self.arrays, at = {}, 0
         for name, a in arrays.items():
             view = np.frombuffer(self.map, a.dtype, a.size, at)

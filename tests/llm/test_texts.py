@@ -273,7 +273,7 @@ def test_kneser_ney(spark):
     train = [words(rng, 30, 12) for _ in range(25)]
     test = [words(rng, 15, 14) for _ in range(5)] + ["", "unseen tokens only", train[0]]
     src = spark.createDataFrame(list(enumerate(train)), "id long, text string")
-    model = quality.fit(src, src.select("id"))
+    model = quality.Model(quality.fit(src, src.select("id")))
     tokens, first = quality.tokens_of(pa.array(test))
     got = np.add.reduceat(-model.log_probability(tokens, first), first[:-1])
     assert got == pytest.approx(brute_kneser_ney(train, test), rel=1e-5)
