@@ -132,8 +132,10 @@ def _deal(shards: int, hot_shared):
                 cut = np.flatnonzero(np.diff(shard[where])) + 1 if kind == 0 else np.zeros(0, int)
                 for part in np.split(where, cut):
                     if len(part):
-                        to = int(shard[part[0]])
                         part = part[np.argsort(doc[part], kind="stable")]
+                        # What is settled goes anywhere, by a document's id, as the first anchors of copies are alike.
+                        by_id = mix(ids[doc[part[:1]]].astype(np.uint64))[0]
+                        to = int(shard[part[0]]) if kind == 0 else int(by_id % U64(shards))
                         rows.append(_pack(kind, to, ids, keys, doc[part], name[part], stretch[part], left[part], right[part], at[part], count[part]))
             names = [f.split()[0] for f in FIELDS.split(", ")]
             types = [pa.int32(), pa.int32(), *[pa.binary()] * 9]
