@@ -16,28 +16,42 @@ from strataflow.llm.pieces import round_trip
 from strataflow.llm.quality import keep_quality
 
 
+#: Rows in an Arrow batch at most: texts are long, and a batch is held whole on both sides of a Python worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, min(BATCH_ROWS, int(spark.conf.get(key))))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under the model of trusted text passes their language's threshold."""
+    small_batches(spark)
     return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose texts are equal but for white space: the longest, then the smallest id."""
+    small_batches(spark)
     return drop_exact(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the smallest id."""
+    small_batches(spark)
     return drop_near(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of benchmark words."""
+    small_batches(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, their number, and whether they decode to its text."""
+    small_batches(spark)
     return round_trip(docs)
 
 

@@ -44,11 +44,11 @@ def _neighbours(names, fields):
 
         def close(last):
             edge = last or key == first_key
-            for row_id, norm, carried in rows:
+            for row_id, norm, carried, text in rows:
                 g = groups[norm]
                 lead_row = g["lead"]
                 g["lead"] = False
-                values = (row_id, g["sha"], g["keep"], g["points"], g["n"], lead_row, edge, part, carried if lead_row else None)
+                values = (row_id, g["sha"], g["keep"], g["points"], g["n"], lead_row, edge, part, carried, text)
                 for name, v in zip(out, values, strict=False):
                     out[name].append(v)
 
@@ -76,10 +76,10 @@ def _neighbours(names, fields):
                 g = groups.get(norm)
                 if g is None:
                     g = groups[norm] = {"sha": hashlib.sha256(norm).hexdigest(), "keep": ids[i], "points": points[i], "n": 0, "lead": True}
-                    row = (ids[i], norm, None if carried is None else carried[i].as_py())
+                    row = (ids[i], norm, *((None, None) if carried is None else (carried[i].as_py(), texts[i])))
                 else:
                     norm = next(x for x in groups if x == norm) if len(groups) > 1 else next(iter(groups))
-                    row = (ids[i], norm, None)
+                    row = (ids[i], norm, None, None)
                 g["n"] += 1
                 rows.append(row)
         if key is not None:
@@ -95,7 +95,8 @@ def _marked(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame
     text = F.coalesce(F.col(text_col), F.lit(""))
     cols = [F.col(id_col).alias("id"), text.alias("text")]
     if carry:
-        cols.append(F.struct(*[F.col(c) for c in df.columns]).alias("carry"))
+        rest = F.struct(*[F.col(c) for c in df.columns if c != text_col])
+        cols.append(F.struct(F.col(text_col).isNull().alias("null"), rest.alias("row")).alias("carry"))
     src = df.select(*cols)
     spark = df.sparkSession
     keyed = src.mapInArrow(
@@ -117,7 +118,7 @@ def _marked(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame
         T.StructField("part", T.IntegerType()),
     ]
     if carry:
-        fields.append(T.StructField("carry", src.schema["carry"].dataType))
+        fields += [T.StructField("carry", src.schema["carry"].dataType), T.StructField("text", T.StringType())]
     schema = T.StructType(fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -158,4 +159,6 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_exact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows `exact_groups` keeps, with all their columns; decided in the same sort, without a join."""
     m = _marked(df, id_col, text_col, True)
-    return m.filter("lead AND (best_part IS NULL OR best_part = part)").select("carry.*")
+    kept = m.filter("lead AND (best_part IS NULL OR best_part = part)")
+    text = F.when(~F.col("carry.null"), F.col("text")).alias(text_col)
+    return kept.select(*[text if c == text_col else F.col("carry.row")[c].alias(c) for c in df.columns])
