@@ -69,6 +69,28 @@ def test_token_efficiency():
     assert f.random("d41d8cd98f00b204e9800998ecf8427e") == []
 
 
+def test_planted_keys():
+    f = secrets.Finder(secrets.read_vocabulary(secrets.VOCABULARY))
+    r = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for signs in (letters, letters + "0123456789"):
+        for before in ("", "com/users/settings/reset/", "verification_code=", "internal-service-verification-code-"):
+            missed = 0
+            for size in (20, 24, 32, 40) * 50:
+                key = "".join(r.choice(signs) for _ in range(size))
+                at = len("see " + before)
+                missed += not any(s <= at + 1 and e >= at + size - 1 for _, s, e in f.random(f"see {before}{key} end"))
+            assert missed <= 4, (before, missed)
+    plain = [
+        "com/users/settings/reset/internationalization_of_everything",
+        "getElementsByClassName_and_getElementById",
+        "session-550e8400-e29b-41d4-a716-446655440000-of-some-customer-account",
+        "objects/of/this/repository/d41d8cd98f00b204e9800998ecf8427e/and/its/description",
+        "report-of-the-month-2024-01-01-2024-01-31-000",
+    ]
+    assert [f.random(t) for t in plain] == [[]] * len(plain)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="tokenTOKENsecrapi_=: \"'abc0123AKIX9éſK", max_size=60))
 def test_base_secrets_of_any_text(text):
