@@ -15,6 +15,17 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DIGITS = "0123456789"
 #: Words that announce an identifier; what follows must hold as many digits.
 CUES = {"ssn": 9, "passport": 6, "account": 6, "acct": 6, "konto": 6, "cuenta": 6, "compte": 6}
+#: Length of an IBAN by country.
+IBAN_LENGTHS = {
+    c: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in codes.split()
+}
 
 
 def luhn(digits: str) -> bool:
@@ -29,6 +40,15 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def iban_end(text: str, begin: int, end: int) -> int | None:
+    """Where the IBAN ends that begins a match: after its country's length; for other countries at the longest end that
+    passes the check."""
+    ends = [i + 1 for i in range(begin, end) if text[i] != " "]
+    size = IBAN_LENGTHS.get(text[begin : begin + 2])
+    sizes = [size] if size else range(len(ends), 14, -1)
+    return next((ends[n - 1] for n in sizes if n <= len(ends) and iban_ok(text[begin : ends[n - 1]])), None)
+
+
 class Finder:
     """One pass over a text's anchors. Each kind keeps the end of its last match, so matches do not overlap; a match
     that fails its check is used up all the same."""
@@ -92,9 +112,9 @@ class Finder:
                         out.append(("url", begin, m.end()))
             elif kind == "iban":
                 m = self.iban.match(text, last + 1)
-                if m and m.start(1) >= end["iban"] and iban_ok(m[1]):
-                    end["iban"] = m.end(1)
-                    out.append(("iban", m.start(1), m.end(1)))
+                if m and m.start(1) >= end["iban"] and (stop := iban_end(text, *m.span(1))):
+                    end["iban"] = stop
+                    out.append(("iban", m.start(1), stop))
             elif not (at and text[at - 1].isalnum()):
                 m = self.number.match(text, last + 1)
                 if m and m.start(1) >= end["account"] and sum(c in DIGITS for c in m[1]) >= CUES[kind]:
@@ -130,8 +150,9 @@ def personal_data(df: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 
     Anchors are the at-sign, the plus sign, `://`, digits and cue words. From an anchor a parser for its kind expands to
     the left and right as the stated pattern would, from left to right without overlap, and checks parts, Luhn sums,
-    digit counts or IBAN remainders. One row per input row: id, counts of the four stated kinds, base_sha256, spans (code
-    points, by kind, then start), found (the texts). A null text is empty. Repeated rows give repeated rows. Other
+    digit counts or IBAN remainders; an IBAN ends at its country's length, so capitals and digits may follow it. One row
+    per input row: id, counts of the four stated kinds, base_sha256, spans (code points, by kind, then start), found (the
+    texts). A null text is empty. Repeated rows give repeated rows. Other
     columns are not read. A narrow pass: no shuffle.
     """
     src = select_texts(df, id_col, text_col)

@@ -122,6 +122,23 @@ def test_anchors_find_what_the_patterns_find(text):
     assert sorted(got) == sorted(base_personal(text))
 
 
+def test_iban_before_capitals_and_digits():
+    f = personal.Finder()
+    ibans = (
+        "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "BE68 5390 0754 7034",
+        "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S", "DZ580002100001113000000570",
+    )
+    for iban in ibans:
+        for after in ("", ".", " Please pay", " BIC COBADEFF", " 2024 1 2 3", " A B C D E F G H I J K", "\nIBAN GB82WEST12345698765432 Too"):
+            got = [s for s in f.spans(f"IBAN {iban}{after}") if s[0] == "iban"]
+            if iban[:2] == "DZ":  # no stated length: some end within the match passes
+                assert got and (after[:1].isspace() or got[0] == ("iban", 5, 5 + len(iban)))
+            else:
+                assert got[0] == ("iban", 5, 5 + len(iban)), (iban, after)
+            assert len(got) == 1 + ("IBAN" in after)
+    assert not [s for s in f.spans("IBAN DE89370400440532013001 Please pay") if s[0] == "iban"]
+
+
 def test_personal_data(spark):
     texts = [
         "é a.b@c.de 10.0.0.1 4111 1111 1111 1111 call +1 (301) 555-0346. x@y",
