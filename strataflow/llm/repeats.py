@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ TEXT = 1 << 19
 GATHER = 300_000
 #: Anchors in this part of a sample's documents are dealt out by stretch, not by anchor; at most HOT_MOST of them.
 SAMPLE, HOT_PART, HOT_LEAST, HOT_MOST = 64, 0.01, 16, 4096
+#: Windows of hot anchors among which a task settles the equal ones before they are sent.
+SETTLE = 100_000
 NO_ID = (1 << 63) - 1
 
 
@@ -228,27 +231,64 @@ def _settle(hot_shared):
     return run
 
 
+def _settle_windows(windows: list[tuple[int, int, int, bytes]], out: dict[str, list]) -> None:
+    """Windows (id, key, at, bytes) of hot anchors: those of each window's least id go on, to meet by window those of
+    other tasks; the others lose here and go on as codes, without bytes, merged and dealt out by document."""
+    least: dict[bytes, int] = {}
+    for i, _, _, own in windows:
+        if i < least.get(own, i + 1):
+            least[own] = i
+    lose = []
+    for i, key, at, own in windows:
+        if i > least[own]:
+            lose.append((i, key, at))
+            continue
+        out["route"].append(int.from_bytes(hashlib.blake2b(own, digest_size=7).digest(), "big"))
+        out["id"].append(i)
+        out["key"].append(key)
+        out["at"].append(at)
+        out["bytes"].append(own)
+    lose.sort()
+    k = 0
+    while k < len(lose):
+        i, key, at = lose[k]
+        n = 1
+        while k + n < len(lose) and n < 127 and lose[k + n] == (i, key, at + n):
+            n += 1
+        out["route"].append((i ^ key) & ((1 << 56) - 1))
+        out["id"].append(i)
+        out["key"].append(key)
+        out["at"].append(at << 8 | n << 1)
+        out["bytes"].append(None)
+        k += n
+
+
 def _stretches(batches):
-    """Bytes of the stretches whose windows must be compared; windows of hot anchors one by one."""
+    """Bytes of the stretches whose windows must be compared; windows of hot anchors one by one, the equal ones among
+    SETTLE settled."""
+    out, windows = {k: [] for k in _STRETCH.names}, []
     for batch in batches:
-        out = {k: [] for k in ("route", "id", "key", "at", "bytes")}
         ids, keys, found = batch["id"].to_pylist(), batch["key"].to_pylist(), batch["found"].to_pylist()
         for k, text in enumerate(batch["text"].to_pylist()):
             raw = text.encode()
             for f in found[k]:
                 at, count, hot = f["code"] >> 8, f["code"] >> 1 & 127, f["code"] & 1
-                pieces = [(at + i, 1) for i in range(count)] if hot else [(at, count)]
-                for begin, n in pieces:
-                    own = raw[begin : begin + n + WINDOW - 1]
-                    out["route"].append(int.from_bytes(hashlib.blake2b(own, digest_size=7).digest(), "big") if hot else f["name"])
+                if hot:
+                    windows += [(ids[k], keys[k], i, raw[i : i + WINDOW]) for i in range(at, at + count)]
+                else:
+                    out["route"].append(f["name"])
                     out["id"].append(ids[k])
                     out["key"].append(keys[k])
-                    out["at"].append(begin)
-                    out["bytes"].append(own)
-            if len(out["id"]) >= 20_000:
-                yield pa.RecordBatch.from_pydict(out, schema=_STRETCH)
-                out = {k: [] for k in out}
-        yield pa.RecordBatch.from_pydict(out, schema=_STRETCH)
+                    out["at"].append(at)
+                    out["bytes"].append(raw[at : at + count + WINDOW - 1])
+                if len(windows) >= SETTLE:
+                    _settle_windows(windows, out)
+                    windows = []
+                if len(out["id"]) >= 20_000:
+                    yield pa.RecordBatch.from_pydict(out, schema=_STRETCH)
+                    out = {k: [] for k in out}
+    _settle_windows(windows, out)
+    yield pa.RecordBatch.from_pydict(out, schema=_STRETCH)
 
 
 _STRETCH = pa.schema([("route", pa.int64()), ("id", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
@@ -285,7 +325,11 @@ def _compare(batches):
     rows = [b for b in batches if b.num_rows]
     if not rows:
         return
-    table = pa.Table.from_batches(rows).combine_chunks()
+    table = pa.Table.from_batches(rows)
+    settled = table["bytes"].is_null()
+    for batch in table.filter(settled).select(["id", "key", "at"]).to_batches():
+        yield batch.rename_columns(["id", "key", "code"])
+    table = table.filter(pc.invert(settled)).combine_chunks()
     raw, offsets = text_bytes(table["bytes"])
     count = np.diff(offsets) - WINDOW + 1
     row = np.repeat(np.arange(len(count)), count)
@@ -358,7 +402,8 @@ def remove_repeats(df: DataFrame, id_col="doc_id", text_col="text", keep_text=Tr
     id counts as the largest. Ids are whole numbers. An empty table gives no rows; other columns are not read.
 
     Each anchor's occurrences meet by hash; those of anchors that a sample shows in many documents are dealt out by
-    stretch instead, and their windows one by one, so a passage in a third of all documents does not meet in one task.
+    stretch instead. Their windows are settled among SETTLE of a task at once; then only those of the least ids meet by
+    window, so of a passage in a third of all documents one row (those that share the least id) for SETTLE windows does.
     Equal stretches are told by 110 bits of hashes, windows of different stretches by their bytes.
     """
     spark = df.sparkSession

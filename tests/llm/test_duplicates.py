@@ -195,3 +195,27 @@ def test_repeats_against_brute_force(spark, monkeypatch, hot):
 def test_radix_groups():
     raw = np.frombuffer(b"a" * 49 + b"b" + b"a" * 49 + b"c" + b"a" * 49 + b"b", np.uint8)
     assert radix_groups(raw, np.array([0, 50, 100]), np.array([3, 1, 9])).tolist() == [False, False, True]
+
+
+def test_equal_hot_windows_are_settled_before_they_meet():
+    import random
+
+    import pyarrow as pa
+
+    from strataflow.llm import repeats
+
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh") for _ in range(52))  # three windows
+    ids = r.sample(range(5000), 600)
+    texts = ["".join(r.choice("uvwxyz") for _ in range(20)) + passage + "".join(r.choice("uvwxyz") for _ in range(20)) for _ in ids]
+    found = [[{"code": 0 << 8 | 43 << 1 | 1, "name": 1}]] * 600  # every window of a text
+    batch = pa.RecordBatch.from_pydict({"id": ids, "key": [7] * 600, "text": texts, "found": found})
+    sent = [x for b in repeats._stretches([batch]) for x in b.to_pylist()]
+    assert sum(x["bytes"] == passage[:50].encode() for x in sent) == 1
+    sent_batches = [pa.RecordBatch.from_pylist(sent[k : k + 1000], schema=repeats._STRETCH) for k in range(0, len(sent), 1000)]
+    got = {(x["id"], (x["code"] >> 8) + i) for b in repeats._compare(sent_batches) for x in b.to_pylist() for i in range(x["code"] >> 1 & 127)}
+    least = {}
+    for i, t in sorted(zip(ids, texts, strict=True), reverse=True):
+        least |= {t[at : at + 50]: i for at in range(43)}
+    want = {(i, at) for i, t in zip(ids, texts, strict=True) for at in range(43) if least[t[at : at + 50]] < i}
+    assert got == want and len(want) >= 3 * 599
