@@ -22,7 +22,7 @@ def _select_table() -> np.ndarray:
 
 
 class Mapped:
-    """Arrays in one anonymous memory map: their pages can leave memory, and no file is left behind."""
+    """Arrays in one anonymous memory map; no file is behind it."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         size = sum(-(-a.nbytes // 8) * 8 for a in arrays.values()) or 8
@@ -142,7 +142,7 @@ class Trie:
 
     Contexts and words are sorted 64-bit keys in Elias-Fano form. A successor is numbered within its context's range:
     context number times words plus word number, so all pairs are one rising sequence, and a pair is found by one
-    successor search that begins in its context.
+    successor search over all of them.
     """
 
     def __init__(self, context: np.ndarray, word: np.ndarray, probability: np.ndarray, bits: int = 64):
