@@ -241,8 +241,8 @@ class Tables:
         return out, np.concatenate([[0], np.cumsum(np.bincount(word, size, len(first)).astype(np.int64))])
 
     def long_word(self, text: str) -> list[int]:
-        """The same search for one word: a window of the last pieces, ids committed where the path's row is known to
-        be final (each place has one piece that can end there)."""
+        """The same search for one word: each place has one piece that can end there, and the ids are read back at the
+        word's end."""
         last: list[int] = []
         for i in range(1, len(text) + 1):
             got = -1
