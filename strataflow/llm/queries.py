@@ -15,6 +15,7 @@ from .quality import quality
 from .repeats import remove_repeats
 from .scoring import score_texts
 from .secrets import secrets
+from .sharding import shard_table
 from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,27 @@ def op9(spark, sf_dir):
 @query("op10_lm_scoring")
 def op10(spark, sf_dir):
     return score_texts(read(spark, sf_dir, "documents"))
+
+
+SHARDS_SQL = """
+WITH t AS (SELECT list(x ORDER BY k) AS t FROM (
+  SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x FROM range(256) r(k))),
+d AS (SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+             xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc,
+             md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, coalesce('=' || source, '') AS name
+      FROM documents, t),
+r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h, doc_id, size, crc) - 1 AS r, count(*) OVER (PARTITION BY name) AS c,
+             ('0x' || substr(md5('13:' || name), 1, 5))::BIGINT AS u FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY CAST(r * 1048576 + u AS DOUBLE) / CAST(c * 1048576 AS DOUBLE), name, h, doc_id, size, crc) - 1 AS p,
+             count(*) OVER () AS n FROM r),
+s AS (SELECT *, p * 40 // n AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(p - (shard * n + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM s
+"""
+
+
+@query("op13_sharding", SHARDS_SQL)
+def op13(spark, sf_dir):
+    return shard_table(read(spark, sf_dir, "documents"))
