@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import alignment_report
 from .contamination import contamination_report
 from .exact import exact_groups
 from .near import near_groups
@@ -117,6 +118,11 @@ def op10(spark, sf_dir):
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+@query("op12_alignment")
+def op12(spark, sf_dir):
+    return alignment_report(read(spark, sf_dir, "documents"))
+
+
 SHARDS_SQL = """
 WITH t AS (SELECT list(x ORDER BY k) AS t FROM (
   SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x FROM range(256) r(k))),
