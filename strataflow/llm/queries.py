@@ -17,6 +17,7 @@ from .repeats import remove_repeats
 from .scoring import score_texts
 from .secrets import secrets
 from .sharding import shard_table
+from .spelling import spelling_groups
 from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,17 +119,52 @@ def op10(spark, sf_dir):
     return score_texts(read(spark, sf_dir, "documents"))
 
 
+#: DuckDB has no crc32: a table of one entry a byte value, from its rule, and a checksum over a text's bytes.
+CRC_TABLE = """t AS (SELECT list(x ORDER BY k) AS t FROM (
+  SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x
+  FROM range(256) r(k)))"""
+
+
+def crc_sql(text: str) -> str:
+    steps = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[a-z\u00C0-\u00FF]+')) AS r FROM documents),
+h AS (SELECT r, {crc_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r")} AS h FROM r, t WHERE length(r) >= 5),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN r[:h % length(r)] || r[h % length(r) + 2:] ELSE r END AS word FROM h),
+n AS (SELECT word, count(*) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING count(*) >= 3),
+k AS (SELECT word, n, i, word[:i - 1] || '_' || word[i + 1:] AS hole, word[:i - 1] || word[i + 1:] AS less
+      FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM n)),
+p AS (SELECT x.word, y.word AS near, y.n AS m FROM k x JOIN k y ON x.hole = y.hole AND x.i = y.i WHERE x.word <> y.word
+      UNION SELECT x.word, y.word, y.n FROM k x JOIN n y ON x.less = y.word
+      UNION SELECT y.word, x.word, x.n FROM k x JOIN n y ON x.less = y.word),
+b AS (SELECT word, count(*) AS n_near, first(near ORDER BY m DESC, near) AS near, max(m) AS m FROM p GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN near END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+      FROM n LEFT JOIN b USING (word)),
+s AS (SELECT word, word AS root, form AS next FROM f
+      UNION ALL SELECT s.word, f.word, f.form FROM s JOIN f ON s.next = f.word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, root FROM s WHERE next IS NULL) USING (word)
+"""
+
+
+@query("op11_spelling", SPELLING_SQL)
+def op11(spark, sf_dir):
+    return spelling_groups(read(spark, sf_dir, "documents"), slips=97)
+
+
 @query("op12_alignment")
 def op12(spark, sf_dir):
     return alignment_report(read(spark, sf_dir, "documents"))
 
 
-SHARDS_SQL = """
-WITH t AS (SELECT list(x ORDER BY k) AS t FROM (
-  SELECT k, list_reduce(list_prepend(k, range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x FROM range(256) r(k))),
+SHARDS_SQL = f"""
+WITH {CRC_TABLE},
 d AS (SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
-             xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
-                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc,
+             {crc_sql("coalesce(text, '')")} AS crc,
              md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h, coalesce('=' || source, '') AS name
       FROM documents, t),
 r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h, doc_id, size, crc) - 1 AS r, count(*) OVER (PARTITION BY name) AS c,
