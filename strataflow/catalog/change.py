@@ -6,6 +6,7 @@ from ..operators.changes import apply_changes, snapshot_diff
 from ..plans import consumption, curated
 from ..plans.refresh import APPEND, TOUCHED, Graph, run_report
 from ..sources import sinks
+from ..sources.keyed import KeyedTable
 from ..streaming import windows as sw
 from ..streaming.alerts import flagged_alerts, ticket_escalations
 from ..streaming.chain import run_chain
@@ -218,6 +219,42 @@ def k08_lookup(t):
     return build.doubles(g.read("monthly"), "total")
 
 
+@query("k08_replaced_batch", MONTHLY_SQL)
+def k08_replaced(t):
+    """The second batch comes with wrong months and amounts and without some rows, and is written again under its id."""
+    root = scratch(t.spark, "k08-replaced")
+    g = _graph(t, root)
+    x = t.plain_transactions()
+    second = F.col("line_number") % 2 == 0
+    sinks.write_batch(x.where(~second), f"{root}/base/transactions", 0)
+    g.refresh("monthly")
+    wrong = x.where(second & (F.col("line_number") < 6)).withColumns(
+        {"txn_date": F.col("txn_date") - F.make_dt_interval(F.lit(45)), "amount": (F.col("amount") + 1).cast(x.schema["amount"].dataType)}
+    )
+    sinks.write_batch(wrong, f"{root}/base/transactions", 1)
+    g.refresh("monthly")
+    sinks.write_batch(x.where(second), f"{root}/base/transactions", 1)
+    g.refresh("monthly")
+    return _monthly(g.read("monthly"))
+
+
+@query("k08_late_batch", MONTHLY_SQL)
+def k08_late(t):
+    """Batches come with ids out of order, and one that should not be there is taken away."""
+    root = scratch(t.spark, "k08-late")
+    g = _graph(t, root)
+    x = t.plain_transactions()
+    for batch, line in ((5, 1), (3, 2), (4, None)):
+        part = x.where(F.col("line_number") == line) if line else x.where(F.col("line_number") > 2)
+        sinks.write_batch(part, f"{root}/base/transactions", batch)
+        if batch == 3:
+            sinks.write_batch(x.withColumn("txn_date", F.col("txn_date") + F.make_dt_interval(F.lit(4000))), f"{root}/base/transactions", 9)
+        g.refresh("monthly")
+    sinks.drop_folder(t.spark, f"{root}/base/transactions/_batch_id=9")
+    g.refresh("monthly")
+    return _monthly(g.read("monthly"))
+
+
 @query(
     "k09_flagged_alerts",
     """SELECT account_id, txn_id, part_id, supplier_id, CAST(amount AS DOUBLE) AS amount,
@@ -247,6 +284,42 @@ def k10(t):
     )
 
 
+@query(
+    "k10_chain_update",
+    """SELECT ticket_id, priority, priority || '_PRIORITY' AS escalation_reason,
+              CAST(1 + (ticket_id % 7 = 0 AND ticket_id % 5 <> 1 AND ticket_id % 10 <> 3)::INT AS BIGINT) AS times
+       FROM tickets WHERE priority IN ('HIGH', 'CRITICAL')""",
+)
+def k10_chain(t):
+    """Tickets are merged by key and the chain follows the table's feed: raised, new and touched tickets escalate once for
+    each change, unchanged ones in the same merge do not."""
+    root = scratch(t.spark, "k10-chain")
+    x = t.transactions().select("account_id", "txn_id", "amount", "merchant_name", "is_flagged", "txn_date")
+    x.where("is_flagged").write.parquet(f"{root}/in/transactions")
+    k = t.tickets()
+    i = F.col("ticket_id")
+    table = KeyedTable(t.spark, f"{root}/base/tickets", ("ticket_id",), k.schema, buckets=8)
+    raised, new, touched = i % 5 == 1, i % 10 == 3, i % 7 == 0
+
+    def trigger():
+        run_chain(
+            t.spark,
+            parquet_stream(t.spark, f"{root}/in/transactions", x.schema),
+            parquet_stream(t.spark, table.feed, table.feed_schema),
+            lambda: consumption.metrics_snapshot(t.customers(), t.accounts(), x, table.read(), build.as_of()),
+            root,
+            priorities=("HIGH", "CRITICAL"),
+        )
+
+    table.upsert(k.where(~new).withColumn("priority", F.when(raised, "LOW").otherwise(F.col("priority"))))
+    trigger()
+    table.upsert(k.withColumn("resolution_status", F.when(touched, "REOPENED BY CUSTOMER").otherwise(F.col("resolution_status"))))
+    trigger()
+    trigger()  # nothing is new
+    done = sinks.read_batches(t.spark, f"{root}/raw/escalations")
+    return done.groupBy("ticket_id", "priority", "escalation_reason").agg(F.count("*").alias("times"))
+
+
 @query(
     "k11_stream_velocity",
     """SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n,

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 from ..sources import files, generate, sinks
+from ..sources.keyed import KeyedTable
 from ..streaming.ingest import ingest_csv
 from . import build
 from .registry import query
@@ -230,11 +231,11 @@ def s13(t):
 def s14(t):
     path = scratch(t.spark, "insert-only")
     e = t.raw("events").select("user_id", "event_type", "event_id")
-    keys, order = ["user_id", "event_type"], [F.asc("event_id")]
+    table = KeyedTable(t.spark, path, ("user_id", "event_type"), e.schema, buckets=8)
     middle = e.agg((F.max("event_id") / 2).alias("m")).scalar()
-    sinks.insert_only(t.spark, path, e.where(F.col("event_id") < middle), keys, order)
-    sinks.insert_only(t.spark, path, e, keys, order)
-    return sinks.read_current(t.spark, path)
+    table.insert_only(e.where(F.col("event_id") < middle), [F.asc("event_id")])
+    table.insert_only(e, [F.asc("event_id")])
+    return table.read()
 
 
 @query(
@@ -244,20 +245,21 @@ def s14(t):
 def s15(t):
     path = scratch(t.spark, "upsert")
     o = t.raw("orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
-    sinks.upsert(t.spark, path, o.where(F.col("status") != "P"), ["o_orderkey"])
-    changes = o.where(F.col("status") != "F").withColumn(
-        "status", F.when(F.col("status") == "O", "CLOSED").otherwise(F.col("status"))
+    table = KeyedTable(t.spark, path, ("o_orderkey",), o.schema, buckets=8)
+    table.upsert(o.where(F.col("status") != "P"))
+    table.upsert(
+        o.where(F.col("status") != "F").withColumn("status", F.when(F.col("status") == "O", "CLOSED").otherwise(F.col("status")))
     )
-    sinks.upsert(t.spark, path, changes, ["o_orderkey"])
-    return sinks.read_current(t.spark, path)
+    return table.read()
 
 
 @query("s16_append_select", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
 def s16(t):
     path = scratch(t.spark, "append")
     x = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    for flag in ("A", "N", "R"):
-        x.where(F.col("l_returnflag") == flag).drop("l_returnflag").write.mode("append").parquet(path)
+    flag = F.coalesce("l_returnflag", F.lit(""))
+    for part in (flag == "A", flag == "N", ~flag.isin("A", "N")):
+        x.where(part).drop("l_returnflag").write.mode("append").parquet(path)
     return t.spark.read.parquet(path)
 
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import (
     batch_ids,
+    batch_stamps,
     current_version,
+    drop_folder,
     read_batches,
     read_current,
     same_key,
@@ -33,13 +37,15 @@ class Node:
     """A derived table.
 
     full     recompute everything, write a new version
-    append   a per-row result: compute only the new batches of the first input
-    touched  an aggregate keyed by `key`: recompute only key values (null is one) that occur in new
-             batches; the new version holds these and the other rows of the last one. `touch`
-             adds the key to input rows.
-
-    Any other change, of another input or a rewritten first one, means a full computation: an
-    append node then begins a new epoch of batches, a touched one writes a full version.
+    append   a per-row result: each batch of the first input has a batch of the result under the same id; batches that
+             are new, late or written again are computed, those that are gone are removed
+    touched  an aggregate keyed by `key`: recompute only key values (null is one) that occur in new or changed batches
+             of the first input, or occurred in what they replace; the new version holds these and the other rows of
+             the last one. `touch` adds the key to input rows.
+
+    What a node has consumed is a manifest of its inputs, for batches the ids and commit stamps, so any id in any order
+    and any rewrite is seen. A change of another input, or of an input as a whole, means a full computation: an append
+    node then begins a new epoch of batches, a touched one writes a full version.
     """
 
     name: str
@@ -100,13 +106,13 @@ class Graph:
             return read_batches(self.spark, folder)
         return read_current(self.spark, self.path(name))
 
-    def version(self, name: str, state: dict[str, dict]) -> str:
-        """Changes whenever the table does; for batches the part before the point only when older rows change too."""
+    def manifest(self, name: str, state: dict[str, dict]) -> dict:
+        """What the table holds now: its batches with their commit stamps, or its version."""
         if name in self.bases or self.nodes[name].mode == APPEND:
             folder = self._batches(name, state)
-            newest = max(batch_ids(self.spark, folder), default=-1) if folder else -1
-            return f"{state.get(name, {}).get('epoch') or 0}.{newest}"
-        return str(current_version(self.spark, self.path(name)))
+            stamps = batch_stamps(self.spark, folder) if folder else {}
+            return {"epoch": state.get(name, {}).get("epoch"), "batches": {str(k): v for k, v in stamps.items()}}
+        return {"version": current_version(self.spark, self.path(name))}
 
     def log(self) -> DataFrame:
         path = f"{self.root}/_runs"
@@ -138,15 +144,15 @@ class Graph:
         entries, outcome, error = [], [], None
         for name in order:
             node = self.nodes[name]
-            versions = {i: self.version(i, state) for i in node.inputs}
-            text = ",".join(f"{i}={v}" for i, v in sorted(versions.items()))
+            manifests = {i: self.manifest(i, state) for i in node.inputs}
+            text = json.dumps(manifests, sort_keys=True)
             last = state.get(name, {})
             start, message, epoch = time.time(), None, last.get("epoch")
             if last.get("inputs") == text:
                 result = "SKIPPED"
             else:
                 try:
-                    epoch = self._run(node, last, versions, state)
+                    epoch = self._run(node, last, manifests, state)
                     result = "SUCCEEDED"
                     state[name] = {"inputs": text, "epoch": epoch}
                 except Exception as e:  # noqa: BLE001 - logged, then raised
@@ -160,36 +166,56 @@ class Graph:
             raise RuntimeError(f"refresh of {outcome[-1][0]} failed: {error}") from error
         return outcome
 
-    def _run(self, node: Node, last: dict, versions: dict[str, str], state: dict[str, dict]) -> str | None:
+    def _run(self, node: Node, last: dict, manifests: dict[str, dict], state: dict[str, dict]) -> str | None:
         """Computes a node; returns the epoch its batches are in."""
         path = self.path(node.name)
         if node.mode == FULL:
             write_version(node.fn(*[self.read(i, state) for i in node.inputs]), path)
             return None
         first, others = node.inputs[0], [self.read(i, state) for i in node.inputs[1:]]
-        before = dict(p.split("=") for p in (last.get("inputs") or "").split(",") if p)
-        rewritten = before.get(first, "").rpartition(".")[0] != versions[first].rpartition(".")[0]
-        whole = not before or rewritten or any(before.get(i) != versions[i] for i in node.inputs[1:])
-        newest = int(versions[first].rpartition(".")[2])
-        after = None if whole else int(before[first].rpartition(".")[2])
+        before = json.loads(last.get("inputs") or "{}")
+        had, has = before.get(first, {}), manifests[first]
+        whole = not before or had.get("epoch") != has["epoch"] or any(before.get(i) != manifests[i] for i in node.inputs[1:])
         folder = self._batches(first, state)
-        fresh = read_batches(self.spark, folder, after)
+        now, then = has["batches"], {} if whole else had["batches"]
+        changed = sorted(int(b) for b, stamp in now.items() if then.get(b) != stamp)
+        gone = sorted(int(b) for b in then.keys() - now.keys())
         if node.mode == APPEND:
             # A new epoch has a name of its own, so what a failed attempt has left is never read.
             epoch = f"epoch-{uuid.uuid4().hex}" if whole else last["epoch"]
-            write_batch(node.fn(fresh, *others).drop("_batch_id"), f"{path}/{epoch}", newest)
+            for batch in changed:
+                rows = read_batches(self.spark, folder, [batch])
+                write_batch(node.fn(rows, *others).drop("_batch_id"), f"{path}/{epoch}", batch)
+            for batch in gone:
+                drop_folder(self.spark, f"{path}/{epoch}/_batch_id={batch}")
             return epoch
+        rows = read_batches(self.spark, folder)
         if whole:
-            write_version(node.fn(fresh, *others), path)
-            return None
-        keys = node.touch(fresh).select(node.key).distinct()
-        rows = self.read(first, state)
-        tagged = node.touch(rows).alias("r")
-        touched = tagged.join(keys.alias("k"), same_key("r", "k", [node.key]), "left_semi").select(*rows.columns)
-        kept = without_keys(read_current(self.spark, path), keys, [node.key])
-        write_version(kept.unionByName(node.fn(touched, *others)), path)
+            write_version(node.fn(rows, *others), path)
+            for old in batch_ids(self.spark, f"{path}/keys"):
+                if str(old) not in now:
+                    drop_folder(self.spark, f"{path}/keys/_batch_id={old}")
+        else:
+            # Keys in the changed batches now, and keys that were in them when they were last read.
+            kept = [b for b in batch_ids(self.spark, f"{path}/keys") if b in {*changed, *gone}]
+            parts = [self._keys(node, folder, changed)] if changed else []
+            parts += [read_batches(self.spark, f"{path}/keys", kept).select(node.key)] if kept else []
+            keys = reduce(DataFrame.union, parts).distinct()
+            tagged = node.touch(rows).alias("r")
+            touched = tagged.join(keys.alias("k"), same_key("r", "k", [node.key]), "left_semi").select(*rows.columns)
+            rest = without_keys(read_current(self.spark, path), keys, [node.key])
+            write_version(rest.unionByName(node.fn(touched, *others)), path)
+        # Only now, when the table follows the batches: a refresh that died before is done again with the old keys.
+        for batch in changed:
+            write_batch(self._keys(node, folder, [batch]).coalesce(1), f"{path}/keys", batch)
+        for batch in gone:
+            drop_folder(self.spark, f"{path}/keys/_batch_id={batch}")
         return None
 
+    def _keys(self, node: Node, folder: str, batches: list[int]) -> DataFrame:
+        """The key values that occur in some batches."""
+        return node.touch(read_batches(self.spark, folder, batches)).select(node.key).distinct()
+
 
 def run_report(log: DataFrame, n: int = 30) -> DataFrame:
     """Latest runs first, with their duration."""

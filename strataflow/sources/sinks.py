@@ -6,7 +6,7 @@ it, so a write that dies half way is never read, and readers keep the version th
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,28 +16,52 @@ from pyspark.sql.types import StructType
 from ..operators.windows import top_n_per_group
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path."""
+    folder, fs = _folder(spark, path)
     if not fs.exists(folder):
         return []
-    out = []
-    for status in fs.listStatus(folder):
-        child = status.getPath()
-        if status.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")):
-            out.append(child.getName())
-    return out
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
 
 
-def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    names = [n for n in _children(spark, path) if n.startswith(prefix)]
-    return sorted(int(n[len(prefix):]) for n in names)
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Moves a written folder into place in one step."""
+    folder, fs = _folder(spark, path)
+    to, _ = _folder(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(folder, to):
+        raise FileExistsError(target)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def _committed(spark: SparkSession, path: str, prefix: str) -> dict[int, int]:
+    """Number -> commit stamp (time of the commit marker) of the committed folders `<prefix><number>` below a path."""
+    folder, fs = _folder(spark, path)
+    if not fs.exists(folder):
+        return {}
+    out = {}
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if fs.exists(marker):
+                out[int(name[len(prefix):])] = fs.getFileStatus(marker).getModificationTime()
+    return dict(sorted(out.items()))
 
 
 def current_version(spark: SparkSession, path: str) -> int:
     """Newest committed version, 0 for none."""
-    return max(_numbers(spark, path, "v="), default=0)
+    return max(_committed(spark, path, "v="), default=0)
 
 
 def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -114,13 +138,18 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
 
 
+def batch_stamps(spark: SparkSession, path: str) -> dict[int, int]:
+    """Committed batches and their commit stamps: a batch that is written again under its id has a new one."""
+    return _committed(spark, path, "_batch_id=")
+
+
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    return _numbers(spark, path, "_batch_id=")
+    return list(batch_stamps(spark, path))
 
 
-def read_batches(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
-    """All committed batches (optionally only those after an id) with their `_batch_id`."""
-    ids = [i for i in batch_ids(spark, path) if after is None or i > after]
+def read_batches(spark: SparkSession, path: str, only: Iterable[int] | None = None) -> DataFrame:
+    """All committed batches (or only those of some ids) with their `_batch_id`."""
+    ids = batch_ids(spark, path) if only is None else sorted(only)
     if not ids:
         raise FileNotFoundError(f"no batch below {path}")
     return spark.read.option("basePath", path).parquet(*[f"{path}/_batch_id={i}" for i in ids])
