@@ -23,6 +23,8 @@ BYTES = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: How the byte-level vocabulary cuts a text before it merges (a fixed value of its kind).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Ends that are compared first; the stretch doubles from there.
+PROBE = 16
 
 
 def byte_signs() -> dict[str, int]:
@@ -61,48 +63,48 @@ class Vocabularies:
             self.b_bytes.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode())
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_name = [str(k) for k in range(len(self.a_bytes))]
-        self.b_name = [str(k) for k in range(len(self.b_bytes))]
+        self.a_name = [f"{k}|" for k in range(len(self.a_bytes))]
+        self.b_name = [f"{k};" for k in range(len(self.b_bytes))]
+
+    @classmethod
+    def of(cls, shared) -> Vocabularies:
+        """Built once for each Python worker: its copy of the broadcast keeps them for the next tasks."""
+        if "built" not in shared.value:
+            shared.value["built"] = cls(*shared.value["files"])
+        return shared.value["built"]
 
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of A and B for each text; none where a text is empty or the ids do not give it back."""
         out = []
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
-            whole = " " + text
-            a = self.a.encode_ordinary(whole) if text else []
-            raw = whole.encode()
-            same = text and b"".join([self.a_bytes[k] for k in a]) == raw == b"".join([self.b_bytes[k] for k in b])
-            out.append((a, b) if same else ([], []))
+            raw = f" {text}".encode()
+            # A has every byte and no normaliser, so its tokens always give the text back; B's may not.
+            same = text and b"".join([self.b_bytes[k] for k in b]) == raw
+            out.append((self.a.encode_ordinary(f" {text}"), b) if same else ([], []))
         return out
 
 
 def runs(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list, list]:
     """One-to-one runs (first token of A, first of B, length) and the other groups (A from, to, B from, to), in order,
     of two rows of ends with the same last end."""
-    a_raw, b_raw, a, b = a_ends.astype(np.int64).tobytes(), b_ends.astype(np.int64).tobytes(), a_ends.tolist(), b_ends.tolist()
+    wide = len(a_ends) and int(a_ends[-1]) >> 32
+    kind, step = (np.uint64, 8) if wide else (np.uint32, 4)
+    a_raw, b_raw, a, b = a_ends.astype(kind).tobytes(), b_ends.astype(kind).tobytes(), a_ends.tolist(), b_ends.tolist()
+    number = int.from_bytes
     i = j = 0
     ones, others = [], []
-    n, m = len(a), len(b)
+    n = len(a)
     while i < n:
         if a[i] == b[j]:
-            # Double the stretch while it is equal, then halve what is left. Places are in bytes of eight-byte ends.
-            first, shift = 8 * i, 8 * (j - i)
-            last = 8 * min(n, m - j + i)
-            at, probe = first + 8, 8
-            equal = True
-            while equal and at < last:
-                to = min(at + probe, last)
-                equal = a_raw[at:to] == b_raw[at + shift : to + shift]
-                if equal:
-                    at, probe = to, 2 * probe
-            if not equal:
-                while to - at > 8:
-                    half = at + ((to - at) >> 4 << 3)
-                    if a_raw[at:half] == b_raw[at + shift : half + shift]:
-                        at = half
-                    else:
-                        to = half
-            length = (at - first) // 8
+            # Compare a stretch of ends, as two numbers, and double it while they are equal; else the lowest bit that
+            # differs is in the first end that does. Past the end of one row there are only zeros or the other's ends.
+            p, q, size = i * step, j * step, PROBE * step
+            while True:
+                apart = number(a_raw[p : p + size], "little") ^ number(b_raw[q : q + size], "little")
+                if apart or p + size >= len(a_raw):
+                    break
+                p, q, size = p + size, q + size, 2 * size
+            length = n - i if not apart else p // step - i + ((apart & -apart).bit_length() - 1) // (8 * step)
             ones.append((i, j, length))
             i += length
             j += length
@@ -136,25 +138,32 @@ def staircase(others: list, a: list, b: list) -> tuple[list, list]:
 
 
 def group_text(ones: list, others: list, a: list, b: list) -> str:
-    """`a1,a2|b1;a3|b2,b3`: the groups in order, from the names of the tokens."""
+    """`a1,a2|b1;a3|b2,b3`: the groups in order. `a` and `b` are the tokens' names, followed by `|` and by `;`."""
     out, at = [], 0
+
+    def group(i0, i1, j0, j1):
+        out.append("".join(a[i0:i1]).replace("|", ",", i1 - i0 - 1))
+        out.append("".join(b[j0:j1]).replace(";", ",", j1 - j0 - 1))
+
     for i, j, n in ones:
         while at < len(others) and others[at][0] < i:
-            i0, i1, j0, j1 = others[at]
-            out.append(",".join(a[i0:i1]) + "|" + ",".join(b[j0:j1]))
+            group(*others[at])
             at += 1
-        out += map("{}|{}".format, a[i : i + n], b[j : j + n])
-    for i0, i1, j0, j1 in others[at:]:
-        out.append(",".join(a[i0:i1]) + "|" + ",".join(b[j0:j1]))
-    return ";".join(out)
+        both = [""] * (2 * n)
+        both[::2], both[1::2] = a[i : i + n], b[j : j + n]
+        out += both
+    for other in others[at:]:
+        group(*other)
+    return "".join(out)[:-1]
 
 
 class Aligned:
     """One text's tokens and groups."""
 
     def __init__(self, v: Vocabularies, a: list[int], b: list[int]):
-        self.v, self.a, self.b = v, np.array(a, np.int64), np.array(b, np.int64)
-        self.a_ends, self.b_ends = np.cumsum(v.a_size[self.a]), np.cumsum(v.b_size[self.b])
+        self.v, self.a, self.b = v, a, b
+        self.a_ids, self.b_ids = np.array(a, np.int32), np.array(b, np.int32)
+        self.a_ends, self.b_ends = np.cumsum(v.a_size[self.a_ids]), np.cumsum(v.b_size[self.b_ids])
         self.ones, self.others = runs(self.a_ends, self.b_ends)
         self.n_groups = sum(n for *_, n in self.ones) + len(self.others)
 
@@ -165,10 +174,10 @@ class Aligned:
         left, right = staircase(self.others, self.a_ends.tolist(), self.b_ends.tolist()) if self.others else ([], [])
         i = np.concatenate([np.repeat(first_a, n) + inside, np.array(left, np.int64)])
         j = np.concatenate([np.repeat(first_b, n) + inside, np.array(right, np.int64)])
-        return self.a[i], self.b[j]
+        return self.a_ids[i].astype(np.int64), self.b_ids[j].astype(np.int64)
 
     def groups(self) -> str:
-        return group_text(self.ones, self.others, [self.v.a_name[k] for k in self.a.tolist()], [self.v.b_name[k] for k in self.b.tolist()])
+        return group_text(self.ones, self.others, [self.v.a_name[k] for k in self.a], [self.v.b_name[k] for k in self.b])
 
 
 def _files(df: DataFrame, a: str, b: str):
@@ -177,12 +186,12 @@ def _files(df: DataFrame, a: str, b: str):
     for path in (a, b):
         with open(path, "rb") as f:
             contents.append(f.read())
-    return df.sparkSession.sparkContext.broadcast(tuple(contents))
+    return df.sparkSession.sparkContext.broadcast({"files": contents})
 
 
 def _groups(shared):
     def run(batches):
-        v = Vocabularies(*shared.value)
+        v = Vocabularies.of(shared)
         for batch in chunks(batches):
             rows = [Aligned(v, a, b) for a, b in v.tokens(batch["text"].to_pylist())]
             cols = [pa.array([x.a for x in rows], pa.list_(pa.int32())), pa.array([x.b for x in rows], pa.list_(pa.int32()))]
@@ -211,7 +220,7 @@ def _counted(shared, width, schema):
     def run(batches):
         from pyspark import TaskContext
 
-        v = Vocabularies(*shared.value)
+        v = Vocabularies.of(shared)
         block = TaskContext.get().partitionId() << 32
         for batch in chunks(batches):
             figures = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
@@ -266,7 +275,7 @@ def _summed(kept):
 def _blocks(df: DataFrame, id_col: str, text_col: str, a: str, b: str) -> tuple[DataFrame, int]:
     """The written table of aligned texts, and the factor that joins an id of A and one of B to a pair."""
     shared = _files(df, a, b)
-    width = len(Vocabularies(*shared.value).b_bytes)
+    width = len(Vocabularies(*shared.value["files"]).b_bytes)
     src = select_texts(df, id_col, text_col)
     from pyspark.sql.pandas.types import to_arrow_schema
 
