@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.compat import date_diff, dbl_avg, dbl_sum, flag_count, json_get, percent
 from ..operators import reshape
+from ..operators.distinct import count_distinct_each
 from ..operators.quantiles import group_percentiles
 from ..plans import curated
 from ..sources.tables import CHANNELS
@@ -27,10 +28,10 @@ def a01(t):
               COUNT(DISTINCT category) AS categories FROM transactions GROUP BY txn_type""",
 )
 def a02(t):
-    return t.transactions().groupBy("txn_type").agg(
-        F.countDistinct("account_id").alias("accounts"),
-        F.countDistinct("merchant_name").alias("merchants"),
-        F.countDistinct("category").alias("categories"),
+    x = t.transactions().select("txn_type", "account_id", "merchant_name", "category")
+    n = count_distinct_each(x, ["txn_type"], ["account_id", "merchant_name"], {"category": build.categories(t)})
+    return n.select(
+        "txn_type", F.col("n_account_id").alias("accounts"), F.col("n_merchant_name").alias("merchants"), F.col("n_category").alias("categories")
     )
 
 

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..operators.distinct import Domain
 from ..plans import consumption, curated
+from ..sources.tables import CHANNELS
 
 AS_OF_DATE = "2001-12-31"
 AS_OF_TICKETS = "2024-02-01 00:30:00"
@@ -30,8 +32,17 @@ def plain_enriched(t):
     return curated.transaction_enriched(t.plain_transactions(), t.accounts(), t.customers())
 
 
+def categories(t):
+    """The categories, from the small table that names them."""
+    return Domain.of(t.raw("part").select(F.col("p_type").alias("category")))
+
+
+def channels(t):
+    return Domain.of(t.spark.createDataFrame([(c,) for c in CHANNELS], "channel string"))
+
+
 def c360(t):
-    return consumption.customer_360(profile(t), enriched(t), t.tickets(), as_of())
+    return consumption.customer_360(profile(t), enriched(t), t.tickets(), as_of(), categories(t))
 
 
 def daily(t):
@@ -39,7 +50,7 @@ def daily(t):
 
 
 def channel_daily(t):
-    return consumption.channel_performance(lean_enriched(t))
+    return consumption.channel_performance(lean_enriched(t), categories=categories(t))
 
 
 def monthly(t):

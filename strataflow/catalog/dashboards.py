@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.compat import dbl_avg, json_get
 from ..operators import reshape
-from ..operators.quantiles import group_percentiles
+from ..operators.quantiles import group_summary
 from ..plans import consumption, curated, dashboards
 from . import build
 from .aggregates import COUNTS_SQL, ROLLUP_SQL, base_tables, ticket_funnel
@@ -148,14 +148,11 @@ def d10(t):
        FROM transactions GROUP BY category""",
 )
 def d11(t):
-    x = t.categorised_transactions()
-    base = x.groupBy("category").agg(
-        F.count("*").alias("txn_count"), dbl_avg("amount").alias("avg_amount"),
-        F.max("amount").cast("double").alias("max_amount"),
-    )
     names = {"median_amount": 0.5, "p25": 0.25, "p75": 0.75, "p95": 0.95}
-    return base.join(group_percentiles(x, ["category"], "amount", names), "category", "left").withColumns(
-        {n: F.round(n, 4) for n in names}
+    x = group_summary(t.categorised_transactions(), ["category"], "amount", names)
+    return x.select(
+        "category", F.col("n_rows").alias("txn_count"), (F.col("total").cast("double") / F.col("n_values")).alias("avg_amount"),
+        F.col("highest").cast("double").alias("max_amount"), *[F.round(n, 4).alias(n) for n in names],
     )
 
 

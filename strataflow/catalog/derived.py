@@ -259,7 +259,7 @@ def b18(t):
        ORDER BY flag_rate DESC, flagged_txns DESC, customer_id LIMIT 20""",
 )
 def b20(t):
-    f = consumption.fraud_indicators(build.enriched(t))
+    f = consumption.fraud_indicators(build.enriched(t), build.categories(t), build.channels(t))
     top = f.orderBy(F.desc("flag_rate"), F.desc("flagged_txns"), "customer_id").limit(20)
     return build.doubles(top, "amount_range").withColumn("amount_stddev", F.round("amount_stddev", 4))
 

@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..operators.cuts import tiles_by_cuts
 from ..operators.windows import (
     dense_ids,
-    distributed_ntile,
     lagged,
     moving_average,
     row_frames,
@@ -116,7 +116,7 @@ def w05(t):
 )
 def w06(t):
     a = t.accounts().select("account_id", "balance")
-    return distributed_ntile(a, 5, [F.asc("balance"), F.asc("account_id")], "balance_quintile").drop("balance")
+    return tiles_by_cuts(a, 5, {"balance_quintile": (F.col("balance"), F.col("account_id"))}).drop("balance")
 
 
 @query(

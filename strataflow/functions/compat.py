@@ -59,6 +59,11 @@ def dbl_avg(c: str | Column) -> Column:
     return F.sum(col(c)).cast("double") / F.count(col(c))
 
 
+def dbl_ratio(total: str | Column, n: str | Column) -> Column:
+    """A mean out of a merged exact sum and count, null for none."""
+    return col(total).cast("double") / F.nullif(col(n), F.lit(0))
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """part / whole in percent, null for an empty whole."""
     return F.round(part.cast("double") * F.lit(100.0) / F.nullif(whole, F.lit(0)), digits)

@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The written histogram (_key, _v, _c) of a column per group, nulls included: rows are read once, combined before the
+    shuffle, and counts, sums, extremes and percentiles all come from it."""
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    return stage(df.select(key.alias("_key"), F.col(value).alias("_v")).groupBy("_key", "_v").agg(F.count(F.lit(1)).alias("_c")))
+
 
 def group_percentiles(
     df: DataFrame,
@@ -15,23 +25,36 @@ def group_percentiles(
     percentiles: dict[str, float],
     width: float = 1000.0,
 ) -> DataFrame:
-    """One row per group with the named percentiles of an exact (decimal or integer) column.
+    """One row per group with the named percentiles of an exact (decimal or integer) column."""
+    return percentiles_of(value_counts(df, keys, value), keys, percentiles, width)
+
+
+def group_summary(
+    df: DataFrame, keys: Sequence[str], value: str, percentiles: dict[str, float], width: float = 1000.0
+) -> DataFrame:
+    """Per group `n_rows`, `n_values`, `total` and `highest` of an exact column beside its percentiles, in one pass."""
+    counts = value_counts(df, keys, value)
+    base = counts.groupBy("_key").agg(
+        F.sum("_c").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("n_values"),
+        F.sum(F.col("_v") * F.col("_c")).alias("total"),
+        F.max("_v").alias("highest"),
+    )
+    base = base.select(*[F.col(f"_key.{k}").alias(k) for k in keys], "n_rows", "n_values", "total", "highest")
+    same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    found = percentiles_of(counts, keys, percentiles, width)
+    return base.alias("a").join(found.alias("b"), same, "left").select("a.*", *[F.col(f"b.{n}") for n in percentiles])
+
 
-    1. count rows per (group, value), combined before the shuffle;
-    2. count rows per (group, block of `width` values) and find the blocks that hold the
-       wanted ranks;
-    3. only inside those blocks, walk the values in order.
+def percentiles_of(counts: DataFrame, keys: Sequence[str], percentiles: dict[str, float], width: float = 1000.0) -> DataFrame:
+    """Interpolated percentiles out of `value_counts`.
+
+    1. count rows per (group, block of `width` values) and find the blocks that hold the wanted ranks;
+    2. only inside those blocks, walk the values in order.
 
     A block holds at most width x 10^scale distinct values, whatever the group size.
     """
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    hist = (
-        df.where(F.col(value).isNotNull())
-        .select(key.alias("_key"), F.col(value).alias("_v"))
-        .groupBy("_key", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_block", F.floor(F.col("_v") / F.lit(width)).cast("long"))
-    )
+    hist = counts.where(F.col("_v").isNotNull()).withColumn("_block", F.floor(F.col("_v") / F.lit(width)).cast("long"))
     blocks = hist.groupBy("_key", "_block").agg(F.sum("_c").alias("_bc"))
     earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_bc").over(earlier), F.lit(0)))

@@ -6,28 +6,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring
-from ..functions.compat import date_diff, dbl_avg, flag_count, percent, ratio_or_zero
+from ..functions.compat import date_diff, dbl_avg, dbl_ratio, flag_count, percent, ratio_or_zero
+from ..operators.cuts import tiles_by_cuts
+from ..operators.distinct import Domain, count_distinct
 from ..operators.joins import broadcast_groups
 from ..operators.reshape import combine_single_rows
-from ..operators.windows import distributed_ntile, time_range_frames, top_n_per_group
+from ..operators.windows import time_range_frames, top_n_per_group
+from ..session import stage
 
 
-def transaction_metrics(enriched: DataFrame, as_of: Column) -> DataFrame:
+def transaction_metrics(enriched: DataFrame, as_of: Column, categories: Domain | None = None) -> DataFrame:
     """Per customer activity, spend, flags and variety."""
-    return enriched.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(F.when(F.col("txn_type") == "DEBIT", F.col("amount")).otherwise(0)).alias("total_spent"),
-        dbl_avg("amount").alias("avg_transaction"),
-        flag_count(F.col("is_flagged")).alias("flagged_transactions"),
-        date_diff("day", F.max("txn_date"), as_of).alias("days_since_last_txn"),
-        F.countDistinct("merchant_name").alias("unique_merchants"),
-        F.countDistinct("category").alias("unique_categories"),
+    rolled = count_distinct(
+        enriched,
+        ["customer_id"],
+        "merchant_name",
+        {"category": categories or Domain.of(enriched.select("category"))},
+        {
+            "total_transactions": (F.count(F.lit(1)), "sum"),
+            "total_spent": (F.sum(F.when(F.col("txn_type") == "DEBIT", F.col("amount")).otherwise(0)), "sum"),
+            "amount": (F.sum("amount"), "sum"),
+            "amounts": (F.count("amount"), "sum"),
+            "flagged_transactions": (flag_count(F.col("is_flagged")), "sum"),
+            "last": (F.max("txn_date"), "max"),
+        },
+    )
+    return rolled.select(
+        "customer_id",
+        "total_transactions",
+        "total_spent",
+        dbl_ratio("amount", "amounts").alias("avg_transaction"),
+        "flagged_transactions",
+        date_diff("day", F.col("last"), as_of).alias("days_since_last_txn"),
+        F.col("n_merchant_name").alias("unique_merchants"),
+        F.col("n_category").alias("unique_categories"),
     )
 
 
-def customer_360(profile: DataFrame, enriched: DataFrame, tickets: DataFrame, as_of: Column) -> DataFrame:
+def customer_360(
+    profile: DataFrame, enriched: DataFrame, tickets: DataFrame, as_of: Column, categories: Domain | None = None
+) -> DataFrame:
     """Profile with transaction and ticket metrics and a segment."""
-    activity = transaction_metrics(enriched, as_of)
+    activity = transaction_metrics(enriched, as_of, categories)
     support = tickets.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_tickets"),
         flag_count(F.col("resolution_status").isin("OPEN", "IN_PROGRESS")).alias("open_tickets"),
@@ -80,16 +100,33 @@ def risk_dashboard(profile: DataFrame) -> DataFrame:
     )
 
 
-def channel_performance(enriched: DataFrame, approx: bool = False) -> DataFrame:
+def channel_performance(enriched: DataFrame, approx: bool = False, categories: Domain | None = None) -> DataFrame:
     """Per channel and day; `approx` trades the two exact distinct counts for sketches."""
-    distinct = F.approx_count_distinct if approx else F.countDistinct
-    return enriched.groupBy("channel", F.to_date("txn_date").alias("metric_date")).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.sum("amount").alias("total_volume"),
-        dbl_avg("amount").alias("avg_amount"),
-        distinct("customer_id").alias("unique_customers"),
-        flag_count(F.col("is_flagged")).alias("flagged_count"),
-        distinct("category").alias("categories_used"),
+    dated = enriched.withColumn("metric_date", F.to_date("txn_date"))
+    keys = ["channel", "metric_date"]
+    measures = {
+        "transaction_count": (F.count(F.lit(1)), "sum"),
+        "total_volume": (F.sum("amount"), "sum"),
+        "amounts": (F.count("amount"), "sum"),
+        "flagged_count": (flag_count(F.col("is_flagged")), "sum"),
+    }
+    if approx:
+        rolled = dated.groupBy(*keys).agg(
+            F.approx_count_distinct("customer_id").alias("n_customer_id"),
+            F.approx_count_distinct("category").alias("n_category"),
+            *[agg.alias(name) for name, (agg, _) in measures.items()],
+        )
+    else:
+        sets = {"category": categories or Domain.of(enriched.select("category"))}
+        rolled = count_distinct(dated, keys, "customer_id", sets, measures)
+    return rolled.select(
+        *keys,
+        "transaction_count",
+        "total_volume",
+        dbl_ratio("total_volume", "amounts").alias("avg_amount"),
+        F.col("n_customer_id").alias("unique_customers"),
+        "flagged_count",
+        F.col("n_category").alias("categories_used"),
     )
 
 
@@ -191,8 +228,8 @@ def metrics_snapshot(
 def rfm_segmentation(enriched: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
     """Recency, frequency and monetary quintiles of debit spend, their sum and a segment.
 
-    The quintiles are over all customers; each uses a distributed position, and customer_id
-    breaks ties.
+    The quintiles are over all customers and cut at values found by selection; customer_id breaks ties. One narrow row
+    per customer is written, as the selection reads it several times.
     """
     base = (
         enriched.where(F.col("txn_type") == "DEBIT")
@@ -203,30 +240,47 @@ def rfm_segmentation(enriched: DataFrame, customers: DataFrame, as_of: Column) -
             F.sum("amount").alias("monetary"),
         )
     )
-    scored = distributed_ntile(base, 5, [F.desc("recency_days"), F.asc("customer_id")], "r_score")
-    scored = distributed_ntile(scored, 5, [F.asc("frequency"), F.asc("customer_id")], "f_score")
-    scored = distributed_ntile(scored, 5, [F.asc("monetary"), F.asc("customer_id")], "m_score")
+    who_id = F.col("customer_id")
+    scores = {"r_score": (-F.col("recency_days"), who_id), "f_score": (F.col("frequency"), who_id), "m_score": (F.col("monetary"), who_id)}
+    scored = tiles_by_cuts(stage(base), 5, scores)
     scored = scored.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     who = customers.select("customer_id", "customer_name", "email", "city", "country")
     return scored.withColumn("segment", scoring.rfm_segment("rfm_score")).join(who, "customer_id")
 
 
-def fraud_indicators(enriched: DataFrame) -> DataFrame:
-    """Per customer flags, variety and spread; customers with at least one flag."""
-    flagged = flag_count(F.col("is_flagged"))
-    return (
-        enriched.groupBy("customer_id", "customer_name")
-        .agg(
-            F.count(F.lit(1)).alias("total_txns"),
-            flagged.alias("flagged_txns"),
-            percent(flagged, F.count(F.lit(1))).alias("flag_rate"),
-            F.countDistinct("channel").alias("channels_used"),
-            F.countDistinct("category").alias("categories_used"),
-            F.countDistinct("merchant_name").alias("merchants_used"),
-            F.stddev_samp(F.col("amount").cast("double")).alias("amount_stddev"),
-            (F.max("amount") - F.min("amount")).alias("amount_range"),
-        )
-        .where(F.col("flagged_txns") > 0)
+def fraud_indicators(enriched: DataFrame, categories: Domain | None = None, channels: Domain | None = None) -> DataFrame:
+    """Per customer flags, variety and spread; customers with at least one flag.
+
+    The spread comes from exact sums of amounts and their squares, which merge."""
+    sets = {"channel": channels or Domain.of(enriched.select("channel")), "category": categories or Domain.of(enriched.select("category"))}
+    keys = ["customer_id", "customer_name"]
+    rolled = count_distinct(
+        enriched,
+        keys,
+        "merchant_name",
+        sets,
+        {
+            "total_txns": (F.count(F.lit(1)), "sum"),
+            "flagged_txns": (flag_count(F.col("is_flagged")), "sum"),
+            "n": (F.count("amount"), "sum"),
+            "s": (F.sum("amount"), "sum"),
+            "squares": (F.sum(F.col("amount") * F.col("amount")), "sum"),
+            "low": (F.min("amount"), "min"),
+            "high": (F.max("amount"), "max"),
+        },
+    ).where(F.col("flagged_txns") > 0)
+    n, s = F.col("n").cast("double"), F.col("s").cast("double")
+    variance = (F.col("squares").cast("double") - s * s / n) / (n - 1)
+    return rolled.select(
+        *keys,
+        "total_txns",
+        "flagged_txns",
+        percent(F.col("flagged_txns"), F.col("total_txns")).alias("flag_rate"),
+        F.col("n_channel").alias("channels_used"),
+        F.col("n_category").alias("categories_used"),
+        F.col("n_merchant_name").alias("merchants_used"),
+        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("amount_stddev"),
+        (F.col("high") - F.col("low")).alias("amount_range"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,13 +30,18 @@ def parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
+def _run(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Hands every new micro-batch to `write` and stops; the checkpoint is the stream's offset."""
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
 def consume(
     stream: DataFrame, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None
 ) -> RunResult:
     """Process what is new and stop.
 
-    The checkpoint is the stream's offset. Each micro-batch lands in the folder of its batch
-    id, so a batch that is run again after a failure replaces itself.
+    Each micro-batch lands in the folder of its batch id, so a batch that is run again after a failure replaces itself.
     """
     seen = {"in": 0, "out": 0, "batches": 0}
 
@@ -48,21 +54,31 @@ def consume(
         seen["out"] += result.get["n"]
         seen["batches"] += 1
 
-    q = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    _run(stream, checkpoint, write)
     return RunResult(seen["in"], seen["out"], seen["batches"])
 
 
 def ingest_csv(
     spark: SparkSession, folder: str, schema: StructType | str, target: str, rejects: str, checkpoint: str
 ) -> RunResult:
-    """Continuous ingestion of a CSV folder: each file once, good rows typed, bad rows kept as text."""
+    """Continuous ingestion of a CSV folder: each file is read once, good rows land typed, bad rows as text.
+
+    A micro-batch is parsed into the cache (memory, then disk) and written from there to both places under its batch id;
+    a part of the cache that is lost with its executor is read again, and a batch that is repeated replaces itself.
+    """
     text = read_csv_text(spark, folder, schema, stream=True)
-    consume(text, rejects, f"{checkpoint}/rejects",
-            lambda b: typed_or_rejected(b, schema)[1])
-    return consume(text, target, f"{checkpoint}/rows", lambda b: typed_or_rejected(b, schema)[0])
+    seen = {"in": 0, "out": 0, "batches": 0}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = Observation()
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        good, bad = typed_or_rejected(rows, schema)
+        write_batch(good.observe(kept, F.count(F.lit(1)).alias("n")), target, batch_id)
+        write_batch(bad, rejects, batch_id)
+        seen["in"] += rows.count()
+        seen["out"] += kept.get["n"]
+        seen["batches"] += 1
+        rows.unpersist()
+
+    _run(text, f"{checkpoint}/rows", write)
+    return RunResult(seen["in"], seen["out"], seen["batches"])
