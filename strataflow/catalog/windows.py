@@ -7,9 +7,9 @@ from ..operators.windows import (
     dense_ids,
     lagged,
     moving_average,
+    range_totals,
     row_frames,
     running_totals,
-    time_range_frames,
     top_n_per_group,
 )
 from ..plans.curated import market_parsed
@@ -100,13 +100,7 @@ def w04(t):
 )
 def w05(t):
     e = t.raw("events").select("event_id", "user_id", "ts", F.col("value").cast("decimal(18,2)").alias("amount"))
-    r = time_range_frames(
-        e,
-        ["user_id"],
-        "ts",
-        3600,
-        {"events_last_hour": lambda: F.count(F.lit(1)), "amount_last_hour": lambda: F.sum("amount")},
-    )
+    r = range_totals(e, ["user_id"], "ts", 3600, {"events_last_hour": F.lit(1), "amount_last_hour": F.col("amount")})
     return build.doubles(r, "amount_last_hour").select("event_id", "user_id", "events_last_hour", "amount_last_hour")
 
 

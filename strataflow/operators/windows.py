@@ -8,7 +8,8 @@ holds about the same number of rows wherever a key's rows crowd together:
   earlier blocks of that key;
 * row frames and lags: blocks of consecutive sequence numbers, each with a copy of the last
   rows of the block before;
-* time-range frames: time blocks, each with a copy of the last rows of the block before.
+* time-range frames: time blocks, each with a copy of the last rows of the block before;
+* sums over time ranges: units much shorter than the range, whole ones by their totals.
 
 Positions in a global order use range partitioning and per-partition counts.
 """
@@ -182,6 +183,57 @@ def time_range_frames(
     return spread.where(F.col("_slot").eqNullSafe(F.col("_own"))).drop("_us", "_own", "_slot")
 
 
+def range_totals(
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, sums: dict[str, Column], parts: int = 240
+) -> DataFrame:
+    """Sums over rows of the same key at most `seconds` before the current row, both ends and equal instants included.
+
+    Time is cut into units, `parts` to the range, so a row's range is the end of one unit, `parts` - 1 whole units and the
+    beginning of its own, at the same offset. Each row meets only the rows of its own unit and of the unit one range
+    earlier (a narrow copy of each row is sent there), and the totals of the units between. A key with any share of the
+    rows is spread over its units. Rows without a time are one frame of their key.
+    """
+    width = seconds * 1_000_000 // parts
+    if width * parts != seconds * 1_000_000:
+        raise ValueError("parts must divide the range")
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    measured = _with_key(df, keys).withColumns({"_us": micros, **{f"_m_{n}": c for n, c in sums.items()}})
+    measured = measured.withColumns({"_unit": F.floor(F.col("_us") / width), "_at": F.pmod("_us", F.lit(width))})
+    names = [f"_m_{n}" for n in sums]
+    totals = measured.where("_us IS NOT NULL").groupBy("_key", "_unit").agg(*[F.sum(n).alias(n) for n in names])
+    # Whole units of the range: a window over unit totals, in blocks of four ranges with a copied edge.
+    own = F.floor(F.col("_unit") / (4 * parts))
+    near_end = F.pmod("_unit", F.lit(4 * parts)) >= 3 * parts
+    spread = totals.withColumn("_block", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))
+    between = Window.partitionBy("_key", "_block").orderBy("_unit").rangeBetween(-(parts - 1), -1)
+    whole = spread.withColumns({f"_w_{n}": F.sum(n).over(between) for n in names}).where(F.col("_block") == own)
+    whole = whole.select("_key", "_unit", *[f"_w_{n}" for n in names])
+    kept = [c for c in measured.columns if c not in ("_key", "_unit", "_at", "_us", *names)]
+    now = F.struct(F.lit(True).alias("own"), "_unit", F.struct(*kept).alias("row"))
+    row_type = measured.select(F.struct(*kept).alias("row")).schema["row"].dataType
+    later = F.struct(F.lit(False).alias("own"), (F.col("_unit") + parts).alias("_unit"), F.lit(None).cast(row_type).alias("row"))
+    copies = F.when(F.col("_us").isNotNull(), F.array(now, later)).otherwise(F.array(now))
+    met = measured.select("_key", "_at", *names, F.explode(copies).alias("_c"))
+    met = met.select("_key", "_at", *names, F.col("_c._unit").alias("_unit"), F.col("_c.own").alias("_own"), F.col("_c.row").alias("_row"))
+    order = Window.partitionBy("_key", "_unit").orderBy("_at")
+    until, since = order.rangeBetween(Window.unboundedPreceding, 0), order.rangeBetween(0, Window.unboundedFollowing)
+    met = met.withColumns(
+        {
+            **{f"_u_{n}": F.sum(F.when(F.col("_own"), F.col(n))).over(until) for n in names},
+            **{f"_s_{n}": F.sum(F.when(~F.col("_own"), F.col(n))).over(since) for n in names},
+        }
+    ).where("_own")
+    out = met.alias("r").join(whole.alias("w"), (F.col("r._key") == F.col("w._key")) & (F.col("r._unit") == F.col("w._unit")), "left")
+    results = []
+    for n in sums:
+        bits = [F.col(f"r._u__m_{n}"), F.col(f"r._s__m_{n}"), F.col(f"w._w__m_{n}")]
+        zero = F.lit(0)
+        added = F.coalesce(bits[0], zero) + F.coalesce(bits[1], zero) + F.coalesce(bits[2], zero)
+        kind = totals.schema[f"_m_{n}"].dataType
+        results.append(F.when(F.coalesce(*bits).isNotNull(), added).cast(kind).alias(n))
+    return out.select(*[F.col(f"r._row.{c}").alias(c) for c in kept], *results)
+
+
 def global_position(df: DataFrame, order: Sequence[Column], position: str, total: str | None = None) -> DataFrame:
     """1-based position in a total order over all rows, with no single-task window.
 

@@ -11,7 +11,7 @@ from ..operators.cuts import tiles_by_cuts
 from ..operators.distinct import Domain, count_distinct
 from ..operators.joins import broadcast_groups
 from ..operators.reshape import combine_single_rows
-from ..operators.windows import time_range_frames, top_n_per_group
+from ..operators.windows import range_totals, top_n_per_group
 from ..session import stage
 
 
@@ -288,13 +288,7 @@ def transaction_velocity(
     rows: DataFrame, key: str, ts: str, amount: str, minimum: int = 5, seconds: int = 3600
 ) -> DataFrame:
     """Rows whose key had at least `minimum` rows in the last hour."""
-    framed = time_range_frames(
-        rows,
-        [key],
-        ts,
-        seconds,
-        {"txns_last_hour": lambda: F.count(F.lit(1)), "amount_last_hour": lambda: F.sum(amount)},
-    )
+    framed = range_totals(rows, [key], ts, seconds, {"txns_last_hour": F.lit(1), "amount_last_hour": F.col(amount)})
     return framed.where(F.col("txns_last_hour") >= minimum)
 
 

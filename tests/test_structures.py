@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strataflow.operators.cuts import tiles_by_cuts
 from strataflow.operators.distinct import Domain, count_distinct, count_distinct_each
 from strataflow.operators.quantiles import group_summary
+from strataflow.operators.windows import range_totals
 from strataflow.plans import consumption
 from strataflow.sources import sinks
 from strataflow.sources.keyed import KeyedTable
@@ -170,3 +171,51 @@ def test_group_summary(spark):
     got = group_summary(spark.createDataFrame(data, "g string, v decimal(18,2)"), ["g"], "v", {"median": 0.5})
     want = [("a", 51, 50, Decimal(sum(k % 7 for k in range(50))), Decimal(6), 3.0), ("b", 1, 0, None, None, None), (None, 1, 1, Decimal(2), Decimal(2), 2.0)]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([(g, n, m, t and t.quantize(Decimal("0.01")), h and h.quantize(Decimal("0.01")), p) for g, n, m, t, h, p in want], key=repr)
+
+
+# Sums over time ranges
+
+
+def test_range_totals(spark):
+    """A key with a third of all rows inside one hour, equal instants, null times, keys and values, against brute force."""
+    rng = random.Random(8)
+    hour = 1_600_000_000
+    data = [(1, hour + rng.randrange(3600), rng.choice([None, 1, 2])) for _ in range(300)]
+    data += [(rng.choice([None, 2, 3]), hour + 60 * rng.randrange(-400, 400), rng.randrange(9)) for _ in range(400)]
+    data += [(4, None, 5), (4, None, 6), (4, hour, 7), (5, hour, None), (5, hour + 3600, None), (5, hour + 7201, 1)]
+    data = [(i, *r) for i, r in enumerate(data)]
+    df = spark.createDataFrame(data, "id int, k int, s long, v int").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.id: (r.n, r.total) for r in range_totals(df, ["k"], "ts", 3600, {"n": F.lit(1), "total": F.col("v")}).collect()}
+    for i, k, s, _ in data:
+        frame = [r for r in data if r[1] == k and (r[2] is None if s is None else r[2] is not None and s - 3600 <= r[2] <= s)]
+        values = [r[3] for r in frame if r[3] is not None]
+        assert got[i] == (len(frame), sum(values) if values else None), (i, k, s)
+    with pytest.raises(ValueError):
+        range_totals(df, ["k"], "ts", 1, {"n": F.lit(1)}, parts=7)
+
+
+def test_a_hot_hour_is_spread(spark):
+    """What one task must hold of a key is a unit and its copy: a few thousandths of an hour's rows."""
+    rng = random.Random(9)
+    df = spark.createDataFrame([(1 if k % 3 else k, rng.randrange(3600 * 1000)) for k in range(9000)], "k int, ms long")
+    out = range_totals(df.withColumn("ts", F.timestamp_millis("ms")), ["k"], "ts", 3600, {"n": F.lit(1)})
+    assert out.count() == 9000
+    units = df.where("k = 1").groupBy(F.floor(F.col("ms") / 15_000)).count()
+    assert units.agg(F.max("count")).first()[0] * 20 < 6000
+
+
+def test_windows_open_only_the_days_they_span(spark, tmp_path):
+    from strataflow.streaming.windows import current_windows, in_windows, rows_of_days, run_windows
+
+    e = spark.range(240).select(F.col("id"), F.timestamp_seconds(F.col("id") * 7200 + 1_600_000_000).alias("ts"))
+    aggs = [F.count("*").alias("n")]
+    for i, part in enumerate((e.where("id % 5 != 0"), e.where("id = 100"), e.where("id % 5 = 0 AND id != 100"))):
+        part.write.parquet(f"{tmp_path}/in/drop={i}")
+        run_windows(parquet_stream(spark, f"{tmp_path}/in", e.schema), f"{tmp_path}/out", f"{tmp_path}/cp", "ts", "6 hours", "3 hours", [], aggs)
+    got = {r.window_start: r.n for r in current_windows(spark, f"{tmp_path}/out", []).collect()}
+    want = {r.s: r.n for r in in_windows(e, "ts", "6 hours", "3 hours").groupBy(F.col("_w.start").cast("timestamp_ntz").alias("s")).agg(*aggs).collect()}
+    assert got == want
+    late = in_windows(e.where("id = 100"), "ts", "6 hours", "3 hours")
+    read = rows_of_days(f"{tmp_path}/out/rows", late, 2)
+    days = {f.split("_day=")[1][:10] for f in read.inputFiles()}
+    assert len(days) <= 3 and read.count() < 60
