@@ -130,14 +130,22 @@ def f04(t):
     return t.spark.createDataFrame([(result.status,)], "status string")
 
 
+#: The base tables, by the name of the method and of the SQL view that holds each.
+BASE_TABLES = {
+    "customers": "customers", "accounts": "accounts", "transactions": "transactions", "tickets": "tickets",
+    "risk_assessments": "risk_assessments", "market_data": "market_data", "compliance_documents": "documents",
+    "ticket_texts": "conversations",
+}
+
+
 @query(
     "f05_procedure_table",
-    """SELECT 'customers' AS table_name, COUNT(*) AS row_count FROM customers UNION ALL SELECT 'tickets', COUNT(*) FROM tickets""",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {view}" for n, view in BASE_TABLES.items()),
 )
 def f05(t):
     from ..operators.quality import layer_summary
 
-    return layer_summary(t.spark, {"customers": t.customers(), "tickets": t.tickets()})
+    return layer_summary(t.spark, {n: getattr(t, n)() for n in BASE_TABLES})
 
 
 @query(

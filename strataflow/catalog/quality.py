@@ -7,6 +7,7 @@ from ..operators import quality as q
 from ..operators.joins import missing_from
 from . import build
 from .aggregates import COUNTS_SQL, base_tables
+from .dashboards import TABLE_NAMES
 from .registry import query
 
 STAMP = "2001-12-31 00:00:00"
@@ -229,11 +230,11 @@ def q15(t):
 @query(
     "q16_table_files",
     " UNION ALL ".join(
-        f"SELECT '{n}.parquet' AS file_name, COUNT(*) AS row_count FROM {n}" for n in ("lineitem", "orders", "events")
+        f"SELECT '{n}.parquet' AS file_name, COUNT(*) AS row_count FROM {n}" for n in TABLE_NAMES
     ),
 )
 def q16(t):
     from ..operators.reshape import union_all
 
     # The query checks one file per table; on a cluster a table lists its part files.
-    return union_all([q.file_listing(t.raw(n)) for n in ("lineitem", "orders", "events")]).drop("file_size")
+    return union_all([q.file_listing(t.raw(n)) for n in TABLE_NAMES]).drop("file_size")

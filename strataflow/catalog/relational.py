@@ -400,17 +400,13 @@ def l01(t):
 @query(
     "l02_nulls_last",
     """SELECT customer_id, latest_risk_score FROM profile
-       ORDER BY latest_risk_score ASC NULLS LAST, customer_id LIMIT 200""",
+       ORDER BY latest_risk_score ASC NULLS LAST, customer_id""",
 )
 def l02(t):
     from ..plans.curated import customer_profile
 
     p = customer_profile(t.customers(), t.accounts(), t.risk_assessments())
-    return (
-        p.select("customer_id", "latest_risk_score")
-        .orderBy(F.asc_nulls_last("latest_risk_score"), "customer_id")
-        .limit(200)
-    )
+    return p.select("customer_id", "latest_risk_score").orderBy(F.asc_nulls_last("latest_risk_score"), "customer_id")
 
 
 @query(

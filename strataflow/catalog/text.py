@@ -94,9 +94,9 @@ def n03(t):
     )
 
 
-def _topic_sql(source, key):
-    counts = ", ".join(f"{_hits('toks', w)} AS h{i}" for i, w in enumerate(TOPICS.values()))
-    names = list(TOPICS)
+def _topic_sql(source, topics=TOPICS):
+    counts = ", ".join(f"{_hits('toks', w)} AS h{i}" for i, w in enumerate(topics.values()))
+    names = list(topics)
     total = " + ".join(f"h{i}" for i in range(len(names)))
     top = f"GREATEST({', '.join(f'h{i}' for i in range(len(names)))})"
     label = " ".join(f"WHEN h{i} = {top} THEN '{n}'" for i, n in enumerate(names))
@@ -105,7 +105,7 @@ def _topic_sql(source, key):
         FROM (SELECT *, {counts} FROM {source})"""
 
 
-@query("n04_classification", f"SELECT conv_id, turn, category, confidence FROM ({_topic_sql('turn_tokens', '')})")
+@query("n04_classification", f"SELECT conv_id, turn, category, confidence FROM ({_topic_sql('turn_tokens')})")
 def n04(t):
     c = t.raw("conversations").withColumn("_c", tx.classify(tx.tokens("text"), TOPICS))
     return c.select("conv_id", "turn", F.col("_c.label").alias("category"), F.col("_c.confidence").alias("confidence"))
@@ -263,31 +263,52 @@ def n11(t):
     return texts.entity_sentiment(t.raw("documents").select("text"), "text", ENTITIES)
 
 
+#: Subject and team of each ticket, as the analyzer reads them.
+TICKET_TOKENS = f"""(SELECT *, {TOKENS.format(c="(subject || ': ' || assigned_to)")} AS toks FROM tickets)"""
+
+
 @query(
     "n12_ticket_analyzer",
-    f"""SELECT category, sentiment_label, COUNT(*) AS n, ROUND(AVG(confidence), 6) AS avg_confidence FROM (
-          SELECT category, confidence, {LABEL_SQL} AS sentiment_label FROM (
-            SELECT *, {SCORE_SQL} AS score FROM ({_topic_sql('doc_tokens', '')}))) GROUP BY category, sentiment_label""",
+    f"""SELECT category, sentiment_label, priority, COUNT(*) AS n, ROUND(AVG(confidence), 6) AS avg_confidence FROM (
+          SELECT category, confidence, priority, {LABEL_SQL} AS sentiment_label FROM (
+            SELECT *, {SCORE_SQL} AS score FROM ({_topic_sql(TICKET_TOKENS, tx.TICKET_TOPICS)})))
+        GROUP BY category, sentiment_label, priority""",
 )
 def n12(t):
     from ..functions.scoring import sentiment_label
 
-    words = tx.tokens("text")
+    words = tx.tokens(F.concat("subject", F.lit(": "), "assigned_to"))
     analyzed = (
-        t.raw("documents")
-        .select("doc_id", tx.sentiment(words).alias("sentiment_score"), tx.classify(words, TOPICS).alias("_c"))
+        t.tickets()
+        .select("ticket_id", "priority", tx.sentiment(words).alias("sentiment_score"), tx.classify(words, tx.TICKET_TOPICS).alias("_c"))
         .select(
-            "doc_id", "sentiment_score", sentiment_label("sentiment_score").alias("sentiment_label"),
+            "ticket_id", "priority", "sentiment_score", sentiment_label("sentiment_score").alias("sentiment_label"),
             F.col("_c.label").alias("category"), F.col("_c.confidence").alias("confidence"),
         )
     )
     path = scratch(t.spark, "analysis")
     analyzed.write.mode("overwrite").parquet(path)
-    return t.spark.read.parquet(path).groupBy("category", "sentiment_label").agg(
+    return t.spark.read.parquet(path).groupBy("category", "sentiment_label", "priority").agg(
         F.count("*").alias("n"), F.round(F.avg("confidence"), 6).alias("avg_confidence")
     )
 
 
+@query(
+    "n12_topic_languages",
+    f"""SELECT category, sentiment_label, COUNT(*) AS n, ROUND(AVG(confidence), 6) AS avg_confidence FROM (
+          SELECT category, confidence, {LABEL_SQL} AS sentiment_label FROM (
+            SELECT *, {SCORE_SQL} AS score FROM ({_topic_sql('doc_tokens')}))) GROUP BY category, sentiment_label""",
+)
+def n12_languages(t):
+    from ..functions.scoring import sentiment_label
+
+    words = tx.tokens("text")
+    analyzed = t.raw("documents").select(tx.sentiment(words).alias("score"), tx.classify(words, TOPICS).alias("_c"))
+    return analyzed.groupBy(F.col("_c.label").alias("category"), sentiment_label("score").alias("sentiment_label")).agg(
+        F.count("*").alias("n"), F.round(F.avg("_c.confidence"), 6).alias("avg_confidence")
+    )
+
+
 @query(
     "n13_risk_narrative",
     """SELECT c.customer_id, r.assessment_id, 'Customer ' || c.customer_name || ' from ' || c.country || ' with credit score '

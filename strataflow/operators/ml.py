@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .joins import broadcast_groups
 from .reshape import combine_single_rows, union_all
 from .windows import global_position, lagged, row_frames, running_totals
 
@@ -33,15 +36,14 @@ def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.8, se
     """`is_train` for the first share of every class in a hash order of the key.
 
     Exact per class. Positions come from one order over all rows, cut at the class starts,
-    so a large class is not ranked in one task.
+    so a large class is not ranked in one task. The classes are counted before they are broadcast.
     """
     shuffled = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
     placed = global_position(df.withColumn("_h", shuffled), [F.asc(label), F.asc("_h"), F.asc(key)], "_pos")
-    # One row per class.
     classes = placed.groupBy(F.col(label).alias("_label")).agg(
         F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n")
     )
-    out = placed.join(F.broadcast(classes), F.col(label).eqNullSafe(F.col("_label")))
+    out = placed.join(broadcast_groups(classes), F.col(label).eqNullSafe(F.col("_label")))
     inside = F.col("_pos") - F.col("_start")
     return out.withColumn("is_train", inside < F.floor(F.col("_n") * share)).drop("_h", "_pos", "_label", "_start", "_n")
 
@@ -83,6 +85,60 @@ def regressors(label: str, rows: int, trees: int = 100, boosting: int = 100) ->
     }
 
 
+@dataclass(frozen=True)
+class LinearFit:
+    """A linear model on standardised features: what the features' means, deviations and weights are."""
+
+    features: tuple[str, ...]
+    means: tuple[float, ...]
+    deviations: tuple[float, ...]
+    weights: tuple[float, ...]
+    intercept: float
+
+    def predict(self) -> Column:
+        out = F.lit(self.intercept)
+        for f, m, s, w in zip(self.features, self.means, self.deviations, self.weights, strict=True):
+            out = out + (F.col(f).cast("double") - m) / s * w
+        return out
+
+    def coefficients(self, spark: SparkSession) -> DataFrame:
+        """(feature, coefficient) in the features' own units, the intercept among them."""
+        own = [w / s for w, s in zip(self.weights, self.deviations, strict=True)]
+        at_zero = self.intercept - sum(c * m for c, m in zip(own, self.means, strict=True))
+        return spark.createDataFrame([("(intercept)", at_zero), *zip(self.features, own, strict=True)], "feature string, coefficient double")
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: count, means and all covariances of some columns, in one pass; its size depends on the columns alone.
+
+    Covariances are merged around running means, so large values with small spread lose nothing."""
+    value = {c: F.col(c).cast("double") for c in columns}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(v).alias(f"mean_{c}") for c, v in value.items()],
+        *[F.covar_samp(value[a], value[b]).alias(f"cov_{a}_{b}") for a, b in pairs],
+    )
+
+
+def closed_form(train: DataFrame, features: Sequence[str], label: str, ridge: float = 0.0) -> LinearFit:
+    """Least squares from the normal equations of one `moments` row, with a penalty on standardised weights.
+
+    `ridge` belongs to the sum of squared errors. A feature without spread gets no weight; of features that depend on each
+    other the smallest weights that solve the equations are taken.
+    """
+    columns = [*features, label]
+    m = moments(train, columns).first()
+    cov = np.array([[m[f"cov_{a}_{b}" if i <= j else f"cov_{b}_{a}"] or 0.0 for j, b in enumerate(columns)] for i, a in enumerate(columns)])
+    spread = np.sqrt(np.diag(cov))[:-1]
+    scale = np.where(spread > 0, spread, 1.0)
+    gram = (m["n"] - 1) * cov[:-1, :-1] / np.outer(scale, scale)
+    target = (m["n"] - 1) * cov[:-1, -1] / scale
+    weights = np.linalg.lstsq(gram + ridge * np.eye(len(features)), target, rcond=None)[0]
+    means = tuple(float(m[f"mean_{f}"]) for f in features)
+    return LinearFit(tuple(features), means, tuple(map(float, scale)), tuple(map(float, weights)), float(m[f"mean_{label}"]))
+
+
 def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Accuracy, precision, recall and F1 of the positive class, from four counts."""
     y, p = F.col(label) == 1, F.col(prediction) == 1

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NEGATIVE, POSITIVE, count_words, sentences, tokens
+from ..session import stage
 from .joins import lookup_by_hot_key
 from .windows import top_n_per_group
 
@@ -20,23 +21,30 @@ def term_weights(terms: DataFrame, key: Sequence[str], total: Column) -> DataFra
     return df.withColumn("weight", F.round(F.log(total / F.col("n_docs")) * WEIGHT_UNIT).cast("long"))
 
 
-def document_terms(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
-    """Each distinct term of each document once."""
-    return docs.select(*key, F.explode(F.array_distinct(tokens(text))).alias("term"))
+def split_sentences(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """Documents with their sentences and the words of each, split once and written: (key, _s: pos, sentence, words)."""
+    parts = F.transform(sentences(text), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence"), tokens(s).alias("words")))
+    return stage(docs.select(*key, parts.alias("_s")))
+
+
+def document_terms(split: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each distinct term of each document of `split_sentences` once."""
+    return split.select(*key, F.explode(F.array_distinct(F.flatten("_s.words"))).alias("term"))
 
 
 def sentence_scores(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
     """Every sentence with its mean term weight.
 
-    Frequent terms have a bounded number of weight rows, which are broadcast; the weights of
-    rare terms are joined by shuffle, so no term makes a skewed partition.
+    Documents are scanned and split once; weights, counts and sentences all read that table. Frequent terms have a bounded
+    number of weight rows, which are broadcast; the weights of rare terms are joined by shuffle, so no term makes a skewed
+    partition.
     """
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    weights = term_weights(document_terms(docs, key, text), key, total)
-    rows = docs.select(*key, F.posexplode(sentences(text)).alias("pos", "sentence"))
-    words = rows.withColumn("_words", tokens("sentence")).where(F.size("_words") > 0)
+    split = split_sentences(docs, key, text)
+    total = split.agg(F.count(F.lit(1))).scalar()
+    weights = term_weights(document_terms(split, key), key, total)
+    rows = split.select(*key, F.explode("_s").alias("_x")).select(*key, "_x.*")
     counted = (
-        words.select(*key, "pos", F.size("_words").alias("n_words"), F.explode("_words").alias("term"))
+        rows.select(*key, "pos", F.size("words").alias("n_words"), F.explode("words").alias("term"))
         .groupBy(*key, "pos", "n_words", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -44,7 +52,7 @@ def sentence_scores(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame
     scores = weighted.groupBy(*key, "pos").agg(
         (F.sum(F.col("tf") * F.col("weight")) / F.max("n_words")).alias("score")
     )
-    return rows.join(scores, [*key, "pos"])
+    return rows.select(*key, "pos", "sentence").join(scores, [*key, "pos"])
 
 
 def summarize(docs: DataFrame, key: Sequence[str], text: str, n: int = 3) -> DataFrame:
