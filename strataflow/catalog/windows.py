@@ -24,6 +24,11 @@ def _txn_time():
     return F.unix_micros(F.col("txn_date").cast("timestamp"))
 
 
+def _txns(t):
+    """The columns that the order and the results need: what is left out before costs no shuffle."""
+    return t.plain_transactions().select("account_id", "txn_id", "part_id", "supplier_id", "line_number", *[c for c in TXN_TIE if c not in ("part_id", "supplier_id", "line_number")])
+
+
 def _txn_order():
     return [F.asc_nulls_last(c) for c in TXN_TIE]
 
@@ -62,9 +67,7 @@ SIGNED_SQL = "CASE WHEN txn_type IN ('CREDIT', 'TRANSFER') THEN amount WHEN txn_
 def w03(t):
     kind, amount = F.col("txn_type"), F.col("amount")
     signed = F.when(kind.isin("CREDIT", "TRANSFER"), amount).when(kind == "DEBIT", -amount).otherwise(0)
-    r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), _txn_time(), {"running_balance": signed}
-    )
+    r = running_totals(_txns(t), ["account_id"], _txn_order(), _txn_time(), {"running_balance": signed})
     return build.doubles(r, "amount", "running_balance").select(
         "account_id", "txn_id", "part_id", "supplier_id", "line_number", "amount", "running_balance"
     )
@@ -78,12 +81,12 @@ def w03(t):
               w30 AS (PARTITION BY ticker ORDER BY trade_date, market_data_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
 )
 def w04(t):
-    m = market_parsed(t.market_data())
+    m = market_parsed(t.market_data()).select("market_data_id", "ticker", "trade_date", "close_price", "volume", "rsi")
     r = row_frames(
         m,
         ["ticker"],
         [F.asc("trade_date"), F.asc("market_data_id")],
-        F.unix_date(F.to_date("trade_date")),
+        F.unix_micros(F.col("trade_date").cast("timestamp")),
         {"ma_7d": moving_average("close_price", 7), "ma_30d": moving_average("close_price", 30)},
     )
     return r.select(
@@ -119,9 +122,7 @@ def w06(t):
         ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY {TIE_SQL}) AS txn_sequence FROM transactions""",
 )
 def w07(t):
-    r = running_totals(
-        t.plain_transactions(), ["account_id"], _txn_order(), _txn_time(), sequence="txn_sequence"
-    )
+    r = running_totals(_txns(t), ["account_id"], _txn_order(), _txn_time(), sequence="txn_sequence")
     return r.select("account_id", "txn_id", "part_id", "supplier_id", "line_number", "txn_sequence")
 
 
