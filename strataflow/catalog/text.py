@@ -373,6 +373,19 @@ def n16(t):
     return _best_labels(t)
 
 
+@query(
+    "n16_nearest_neighbour",
+    f"""SELECT id, match, similarity FROM (SELECT a.vec_id AS id, b.vec_id AS match, ROUND({COSINE.format(a='a.embedding', b='b.embedding')}, 6) AS similarity
+        FROM embeddings a JOIN embeddings b ON a.vec_id % 4 <> 0 AND b.vec_id % 4 = 0)
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY similarity DESC, match) = 1""",
+)
+def n16_neighbour(t):
+    """Every fourth vector is a place to match the others with; both sides are laid in tiles."""
+    e = t.raw("embeddings").select("vec_id", "embedding")
+    fourth = F.col("vec_id") % 4 == 0
+    return similarity.best_match(e.where(~fourth), "vec_id", "embedding", e.where(fourth), "vec_id", "embedding", tile_rows=64)
+
+
 @query(
     "j09_best_match_join",
     f"""WITH best AS ({BEST_SQL}) SELECT e.label, b.best_label, COUNT(*) AS n FROM best b JOIN embeddings e ON b.vec_id = e.vec_id

@@ -126,8 +126,8 @@ def test_similar_pairs_against_brute_force(spark, shape):
     u = m.astype(np.float64) / np.linalg.norm(m.astype(np.float64), axis=1, keepdims=True)
     sims = np.round(u @ u.T, 6)
     want = sorted((-sims[i, j], i, j) for i in range(90) for j in range(i + 1, 90))[:7]
-    for tile in (8, 4096):
-        got = similarity.top_similar_pairs(df, "id", "v", 7, tile_rows=tile, n_pivots=5).collect()
+    for tile, pivots in ((8, 5), (8, 1), (4096, None)):
+        got = similarity.top_similar_pairs(df, "id", "v", 7, tile_rows=tile, n_pivots=pivots).collect()
         assert [(r["id_a"], r["id_b"]) for r in got] == [(i, j) for _, i, j in want]
     right = df.where("id < 20").select(F.col("id").alias("rid"), F.col("v").alias("rv"))
     best = similarity.best_match(df, "id", "v", right, "rid", "rv", tile_rows=7)
@@ -135,6 +135,20 @@ def test_similar_pairs_against_brute_force(spark, shape):
     assert got == {i: int(np.argmax(np.round(u @ u[:20].T, 6)[i])) for i in range(90)}
 
 
+def test_tiles_of_one_pivot_are_skipped(spark):
+    """Four far clusters below a single pivot: tiles of different clusters never meet, and no vector leaves its tile's ball."""
+    rng = np.random.default_rng(4)
+    m = np.eye(4, 8)[rng.integers(0, 4, 800)] * 5 + rng.normal(size=(800, 8)) * 0.05
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, vec array<float>")
+    tiled, tiles = similarity.metric_tiles(df, 64, n_pivots=1)
+    n = tiles.count()
+    pairs = similarity.near_tiles(tiles, 0.9).count()
+    assert n >= 13 and tiled.count() == 800 and 0 < pairs <= n * (n - 1) / 2 / 2
+    assert tiled.groupBy("pivot", "tile", "part").count().agg(F.max("count")).first()[0] <= 2 * 64
+    joined = tiled.join(tiles, ["pivot", "tile", "part"])
+    assert joined.where(similarity._angle("vec", "centre") > F.col("radius") + 1e-3).count() == 0
+
+
 def test_topic_relations_count_without_pairs(spark):
     a = spark.createDataFrame([(1, ["x", "y"]), (2, ["x"]), (3, [])], "i long, topics array<string>")
     b = spark.createDataFrame([(7, ["x"]), (8, ["x"]), (9, ["z"])], "j long, topics array<string>")
