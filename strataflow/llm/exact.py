@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_table
+from .common import CHUNK, chunks, shared_table
 
 #: Deleted before texts are compared.
 BLANK = bytes([32, 9, 10, 11, 12, 13])
@@ -18,7 +18,7 @@ LEAD = 48
 
 
 def _keys(batches):
-    for batch in batches:
+    for batch in chunks(batches):
         lead, digest, points = [], [], []
         for text in batch["text"].to_pylist():
             raw = text.encode().translate(None, BLANK)
@@ -31,7 +31,8 @@ def _keys(batches):
 
 def _neighbours(names, fields):
     """Walks a sorted partition. Equal texts share (lead, digest), so a stretch of equal keys holds its groups whole;
-    the text itself decides. Only the stretch at hand is kept: ids of its rows, and one text for each group."""
+    the text itself decides. Only the stretch at hand is kept: ids of its rows, and one text for each group. With `carry`
+    only the first row of each group is needed, so no other row is kept at all."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -40,29 +41,33 @@ def _neighbours(names, fields):
         schema = pa.schema(fields)
         out = {f.name: [] for f in fields}
         key, groups, rows = None, {}, []
-        first_key = None
+        first_key, held = None, 0
+        carries = "carry" in names
 
         def close(last):
+            nonlocal held
             edge = last or key == first_key
-            for row_id, norm, carried, text in rows:
-                g = groups[norm]
+            for row_id, g, carried, text in rows:
                 lead_row = g["lead"]
                 g["lead"] = False
                 values = (row_id, g["sha"], g["keep"], g["points"], g["n"], lead_row, edge, part, carried, text)
                 for name, v in zip(out, values, strict=False):
                     out[name].append(v)
+                held += 100 + len(text or "")
 
         def flush():
+            nonlocal held
             batch = pa.RecordBatch.from_pydict(out, schema=schema)
             for v in out.values():
                 v.clear()
+            held = 0
             return batch
 
-        for batch in batches:
+        for batch in chunks(batches):
             ids, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
             keys = zip(batch["lead"].to_pylist(), batch["digest"].to_pylist(), strict=True)
             points = batch["points"].to_pylist()
-            carried = batch["carry"] if "carry" in names else None
+            carried = batch["carry"] if carries else None
             for i, k in enumerate(keys):
                 if k != key:
                     if key is not None:
@@ -70,18 +75,18 @@ def _neighbours(names, fields):
                     if first_key is None:
                         first_key = k
                     key, groups, rows = k, {}, []
-                    if len(out["id"]) >= 4096:
+                    if held >= CHUNK:  # results leave by bytes, so long texts do not pile up
                         yield flush()
                 norm = texts[i].encode().translate(None, BLANK)
                 g = groups.get(norm)
-                if g is None:
+                fresh = g is None
+                if fresh:
                     g = groups[norm] = {"sha": hashlib.sha256(norm).hexdigest(), "keep": ids[i], "points": points[i], "n": 0, "lead": True}
-                    row = (ids[i], norm, *((None, None) if carried is None else (carried[i].as_py(), texts[i])))
-                else:
-                    norm = next(x for x in groups if x == norm) if len(groups) > 1 else next(iter(groups))
-                    row = (ids[i], norm, None, None)
                 g["n"] += 1
-                rows.append(row)
+                if carries and fresh:
+                    rows.append((ids[i], g, carried[i].as_py(), texts[i]))
+                elif not carries:
+                    rows.append((ids[i], g, None, None))
         if key is not None:
             close(True)
         if out["id"]:
