@@ -57,16 +57,20 @@ class KeyedTable:
 
     def upsert(self, source: DataFrame) -> int:
         """Source rows replace rows of their key or are added. Source keys must be unique (see latest_per_key)."""
-        return self._merge(source, lambda old, new: upsert_rows(old, new, self.keys))
+        return self._merge(self._typed(source), lambda old, new: upsert_rows(old, new, self.keys))
 
     def insert_only(self, source: DataFrame, order: Sequence[Column] = ()) -> int:
         """Adds source rows whose key is new, of several the first by `order`; other rows stay as they are."""
-        return self._merge(source, lambda old, new: old.unionByName(new_rows(old, new, self.keys, order)))
+        return self._merge(self._typed(source), lambda old, new: old.unionByName(new_rows(old, new, self.keys, order)))
 
     def delete(self, source: DataFrame) -> int:
         """Removes rows whose key is in the source."""
         return self._merge(source.select(*self.keys), lambda old, new: without_keys(old, new, self.keys))
 
+    def _typed(self, source: DataFrame) -> DataFrame:
+        """The table's columns in its types; others are left out."""
+        return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
     def _merge(self, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         self.publish()
         hashed = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")

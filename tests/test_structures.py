@@ -71,6 +71,8 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert len(files - set(t.read().inputFiles())) == len(rewritten)
     assert t.read().count() == 201
     assert t.upsert(make(spark).limit(0)) == 2  # nothing touched, nothing written
+    t.insert_only(spark.createDataFrame([(7.0, "x", 900, "a")], "v double, more string, k long, name string"))
+    assert rows(t.read().where("k = 900")) == [(900, "a", 7)]
 
 
 def test_feed_is_made_up_after_a_crash_and_read_once(spark, tmp_path):
