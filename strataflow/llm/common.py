@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -33,6 +34,15 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_exchanges(spark) -> None:
+    """Lets Spark remove the files of exchanges that nothing refers to any more, which it does when the driver's memory is
+    collected: a written table's own exchange would otherwise lie beside those of the next steps. The events of the job
+    that has just ended hold it for a moment, hence the pauses."""
+    for _ in range(2):
+        time.sleep(1.5)
+        spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column without nulls, and where each text begins (one more than texts)."""
     if isinstance(column, pa.ChunkedArray):

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Polynomial, chunks, covered, mix, runs, shared_table, text_bytes
+from .common import U64, Polynomial, chunks, covered, free_exchanges, mix, runs, shared_table, text_bytes
 
 WINDOW, GRAM = 50, 16
 #: Bytes beside the anchor, of which a window that holds it reaches over half on one side at least.
@@ -414,10 +414,11 @@ def remove_repeats(df: DataFrame, id_col="doc_id", text_col="text", keep_text=Tr
     shards = 4 * parts  # a task holds the anchors of its shards at once
     dealt = docs.mapInArrow(_deal(shards, hot), FIELDS).repartition(shards, "shard")
     found = shared_table(dealt.mapInArrow(_settle(hot), "id long, key long, code long, name long"), "anchors")
-    unclear = found.filter("name IS NOT NULL").groupBy("id", "key").agg(F.collect_list(F.struct("code", "name")).alias("found"))
+    free_exchanges(spark)
+    unclear = found.filter("name IS NOT NULL").groupBy("id", "key").agg(F.collect_set(F.struct("code", "name")).alias("found"))
     stretches = docs.join(unclear, ["id", "key"]).mapInArrow(_stretches, "route long, id long, key long, at long, bytes binary")
     more = stretches.repartition(parts, "route").mapInArrow(_compare, "id long, key long, code long")
-    every = found.filter("name IS NULL").select("id", "key", "code").union(more).groupBy("id", "key").agg(F.collect_list("code").alias("found"))
+    every = found.filter("name IS NULL").select("id", "key", "code").union(more).groupBy("id", "key").agg(F.collect_set("code").alias("found"))
     out = docs.join(every, ["id", "key"], "left").mapInArrow(
         _removed(keep_text), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
     )

@@ -219,3 +219,11 @@ def test_equal_hot_windows_are_settled_before_they_meet():
         least |= {t[at : at + 50]: i for at in range(43)}
     want = {(i, at) for i, t in zip(ids, texts, strict=True) for at in range(43) if least[t[at : at + 50]] < i}
     assert got == want and len(want) >= 3 * 599
+
+
+def test_repeats_of_one_row_stay_linear(spark):
+    """Copies of a row share their spans: each has what one alone has, and lists do not grow with the copies."""
+    text = words(random.Random(31), 900)
+    alone = {r.doc_id: tuple(r)[1:] for r in remove_repeats(frame(spark, [(1, text, "en", "s", 1), (2, "a " + text, "en", "s", 1)])).collect()}
+    many = remove_repeats(frame(spark, [(1, text, "en", "s", 1)] + [(2, "a " + text, "en", "s", 1)] * 150)).collect()
+    assert len(many) == 151 and all(tuple(r)[1:] == alone[r.doc_id] for r in many) and alone[2][1] > 4000
