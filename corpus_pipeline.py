@@ -8,7 +8,7 @@ them), an empty table passes as an empty table, and extra columns are carried al
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from strataflow.llm.common import shared_table
+from strataflow.llm.common import shared_table, small_batches
 from strataflow.llm.contamination import drop_contaminated
 from strataflow.llm.exact import drop_exact
 from strataflow.llm.near import drop_near
@@ -16,15 +16,6 @@ from strataflow.llm.pieces import round_trip
 from strataflow.llm.quality import keep_quality
 
 
-#: Rows in an Arrow batch at most: texts are long, and a batch is held whole on both sides of a Python worker.
-BATCH_ROWS = 1000
-
-
-def small_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    spark.conf.set(key, min(BATCH_ROWS, int(spark.conf.get(key))))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under the model of trusted text passes their language's threshold."""
     small_batches(spark)

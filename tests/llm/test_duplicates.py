@@ -1,15 +1,19 @@
 """Exact and near duplicates, contamination and repeated passages against brute force."""
 
 import collections
+import glob
 import hashlib
 import random
 import re
+import tempfile
+import time
 
 import numpy as np
 import pytest
 from cases import documents, frame, table, wide, words
 
 from strataflow.llm import near
+from strataflow.llm.common import shared_table
 from strataflow.llm.contamination import contamination_report, drop_contaminated
 from strataflow.llm.exact import drop_exact, exact_groups
 from strataflow.llm.near import drop_near, near_groups, probability_jaccard
@@ -227,3 +231,22 @@ def test_repeats_of_one_row_stay_linear(spark):
     alone = {r.doc_id: tuple(r)[1:] for r in remove_repeats(frame(spark, [(1, text, "en", "s", 1), (2, "a " + text, "en", "s", 1)])).collect()}
     many = remove_repeats(frame(spark, [(1, text, "en", "s", 1)] + [(2, "a " + text, "en", "s", 1)] * 150)).collect()
     assert len(many) == 151 and all(tuple(r)[1:] == alone[r.doc_id] for r in many) and alone[2][1] > 4000
+
+
+def test_repeats_leave_no_exchange_and_read_small_batches(spark):
+    """A table's own exchange goes when it is written, and texts reach Python in bounded batches."""
+    files = lambda: set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*.data"))
+    before = files()
+    shared_table(spark.range(10_000).repartition(5, "id"), "freed")
+    for _ in range(20):
+        if not (left := files() - before):
+            break
+        time.sleep(0.5)
+    assert not left
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, 10_000)
+    try:
+        remove_repeats(frame(spark, [(1, "a", "en", "s", 1)]))
+        assert int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.unset(key)
