@@ -1,4 +1,10 @@
-"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text."""
+"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
+
+A text's log probability is a sum over its grams of orders 1 to 3, each of which adds a value of its own: what it gains as
+an ending over the next lower order, and the backoff weight it brings as a context. So the model is a table of keys and
+values, cut into shards by hash, and texts send the keys of their grams to the shards. Counts are of all training texts; no
+table of grams passes through the driver. Rows between shards are packed: a shard, a kind, whole numbers byte by byte.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import broadcast_groups
-from .common import CHUNK, U64, Polynomial, chunks, mix, runs, shared_table, text_bytes, token_class
+from .common import U64, Polynomial, chunks, mix, runs, shared_table, small_batches, text_bytes, token_class
+from .repeats import _planes, _whole
 
 ORDER = 3
-#: The model is fitted on at most so many trusted documents, and none of more characters than that.
-TRAIN_DOCS, TRAIN_CHARS = 2000, 20_000
 #: Of the trusted documents that the model was not fitted on, this part passes, language by language.
 QUANTILE = 0.999
 #: Tokens of average perplexity that each document is mixed with, so that a few words decide little.
@@ -22,6 +27,14 @@ PRIOR = 20
 LEAST = 50
 BEGIN, END = U64(1), U64(2)
 SLOTS = 22
+LOW = U64((1 << 48) - 1)
+#: Tokens that a task gathers before it sends.
+GATHER = 1_000_000
+#: Numbers of a row, and bytes of a batch, at most.
+ROW, SENT = 1 << 15, 1 << 20
+#: Grams of most weight, whose values are broadcast; bits of the filter that keeps back grams the model lacks. Both save
+#: shuffling only: the other grams are found in the shards.
+HOT, FILTER_BITS = 1_000_000, 1 << 28
 
 
 def tokens_of(column: pa.Array):
@@ -32,7 +45,7 @@ def tokens_of(column: pa.Array):
     n = len(offsets) - 1
     out = np.full(len(begins) + n, END, np.uint64)
     place = np.arange(len(begins)) + np.repeat(np.arange(n), np.diff(first))
-    out[place] = Polynomial(raw)(begins, ends)
+    out[place] = Polynomial(raw)(begins, ends) & LOW
     return out, first + np.arange(n + 1)
 
 
@@ -58,122 +71,446 @@ def grams(tokens, first, order: int) -> list[np.ndarray]:
     return keys
 
 
-def contexts(tokens, first, order: int) -> list[np.ndarray]:
-    """Keys of the 0 to `order`-1 tokens before each token."""
-    before = [previous(tokens, first, k) for k in range(order)]
-    keys = []
-    for n in range(order):
-        key = np.zeros(len(tokens), np.uint64)
-        for k in range(n, 0, -1):
-            key = mix(key * U64(0xD6E8FEB86659FD93) + before[k])
-        keys.append(key)
-    return keys
+FIELDS = "shard int, kind int, data binary"
+TRIGRAM, COUNTED, CONTEXT, TALLY, TOKEN, ANSWER, OWN, VALUE, OFTEN, ASK, DONE = range(11)
+#: Bytes of each number of a kind. Numbers n1, n2, n3 are how many grams that go on a context were seen once, twice, more.
+WIDTHS = {
+    TRIGRAM: (6, 6, 6, 4),  # three tokens, count
+    COUNTED: (6, 6, 6, 4, 4, 4, 4),  # key, last two tokens, count, n1 to n3 of the first two
+    CONTEXT: (6, 4, 4, 4, 4),  # key of two tokens, n1 to n3, count
+    TALLY: (8,) * 6,  # grams counted once, twice, three, four times, their number, the sum of their counts
+    TOKEN: (6, 4, 4, 4, 4, 4, 4),  # token, shard that asks, n1 to n3 and count as a context, different tokens before it
+    ANSWER: (6, 4, 4, 4, 4, 4),
+    OWN: (6, 4, 4, 4, 4, 4),
+    VALUE: (6, 4),  # key, value
+    OFTEN: (6, 4, 4),  # key, value, weight
+    DONE: (8, 4, 8),  # text, tokens, sum of values
+}
+
+
+def chain(*tokens: np.ndarray) -> np.ndarray:
+    """The key that `grams` gives to these tokens."""
+    key = np.zeros(len(tokens[0]), np.uint64)
+    for t in tokens:
+        key = mix(key * U64(0xD6E8FEB86659FD93) + t)
+    return key
+
+
+def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
+    return ((key >> U64(48)) % U64(shards)).astype(np.int64)
+
+
+def packed(kind: int, shard: np.ndarray, *cols: np.ndarray) -> list[tuple]:
+    """Rows for each shard, of ROW numbers at most."""
+    order = np.argsort(shard, kind="stable")
+    cut = np.flatnonzero(np.diff(shard[order])) + 1
+    widths = WIDTHS[kind]
+    parts = [o[k : k + ROW] for o in np.split(order, cut) for k in range(0, len(o), ROW)]
+    return [(int(shard[o[0]]), kind, b"".join(_planes(c[o], w) for c, w in zip(cols, widths, strict=True))) for o in parts]
+
+
+def as_batches(rows: list[tuple]):
+    """Batches of about SENT bytes at most."""
+    size = np.cumsum([len(r[2]) for r in rows]) // SENT
+    for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(size)) + 1):
+        if len(part):
+            yield as_batch(rows[part[0] : part[-1] + 1])
+
+
+def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["shard", "kind", "data"])
+
+
+def unpacked(rows: list[tuple], kind: int) -> list[np.ndarray]:
+    """Shard and numbers of all rows of a kind."""
+    widths, own = WIDTHS[kind], [(s, d) for s, k, d in rows if k == kind]
+    parts = [[] for _ in range(len(widths) + 1)]
+    for shard, data in own:
+        n, at = len(data) // sum(widths), 0
+        parts[0].append(np.full(n, shard, np.int64))
+        for k, w in enumerate(widths):
+            parts[k + 1].append(_whole(data[at : at + n * w], w))
+            at += n * w
+    return [np.concatenate(x) if x else np.zeros(0, np.int64 if k == 0 else np.uint64) for k, x in enumerate(parts)]
+
+
+def questions(shard: np.ndarray, key: np.ndarray, doc: np.ndarray, text: np.ndarray) -> list[tuple]:
+    """Rows of kind ASK: the number of texts, the texts, how many keys each asks, and the keys."""
+    order = np.lexsort((doc, shard))
+    shard, key, doc = shard[order], key[order], doc[order]
+    out = []
+    for part in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
+        if len(part):
+            own, count = np.unique(doc[part], return_counts=True)
+            data = len(own).to_bytes(4, "little") + _planes(text[own], 8) + _planes(count.astype(np.uint64), 4) + _planes(key[part], 6)
+            out.append((int(shard[part[0]]), ASK, data))
+    return out
+
+
+def asked_in(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    return _whole(data[4 : 4 + 8 * n], 8), _whole(data[4 + 8 * n : 4 + 12 * n], 4), _whole(data[4 + 12 * n :], 6)
+
+
+def by_shard(work):
+    """A function of all rows of a shard, as one of batches."""
+
+    def run(batches):
+        for rows in shards_of(batches):
+            yield from as_batches(work(rows))
+
+    return run
+
+
+def shards_of(batches):
+    """The rows of each shard of a partition, shard by shard."""
+    shards = {}
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            shards.setdefault(row[0], []).append(row)
+    while shards:
+        yield shards.popitem()[1]
+
+
+def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by keys, and where groups of equal keys begin in it."""
+    order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for key in keys:
+        s = key[order]
+        new[1:] |= s[1:] != s[:-1]
+    return order, np.flatnonzero(new)
+
+
+def sums(x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(x, begin) if len(begin) else x[:0]
+
+
+def tally(count: np.ndarray) -> list[tuple]:
+    found = [(count == c).sum() for c in (1, 2, 3, 4)] + [len(count), count.sum()]
+    return packed(TALLY, np.zeros(1, np.int64), *(np.array([x], np.uint64) for x in found))
 
 
-def _occurrences(batches):
-    for batch in chunks(batches):
-        tokens, first = tokens_of(batch["text"])
-        cols = [previous(tokens, first, k).view(np.int64) for k in range(ORDER - 1, -1, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[f"t{k}" for k in range(ORDER)])
+def seen(count: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """n1, n2, n3 of the groups, and their counts."""
+    return [sums(x.astype(np.uint64), begin) for x in (count == 1, count == 2, count > 2, count)]
 
 
-class Level:
-    """Counts of the grams of one order, joined by key: the table is cut into shards by the key's first bits."""
+def _trigrams(shards: int):
+    def run(batches):
+        hold, held = [], 0
+
+        def send():
+            t = np.concatenate(hold, 1)
+            hold.clear()
+            order, begin = grouped(*t)
+            t = t[:, order[begin]]
+            count = np.diff(np.append(begin, len(order))).astype(np.uint64)
+            return as_batches(packed(TRIGRAM, shard_of(chain(t[0], t[1]), shards), *t, count))
+
+        for batch in chunks(batches):
+            tokens, first = tokens_of(batch["text"])
+            hold.append(np.stack([previous(tokens, first, k) for k in range(ORDER - 1, -1, -1)]))
+            held += len(tokens)
+            if held >= GATHER:
+                yield from send()
+                held = 0
+        if held:
+            yield from send()
+
+    return run
 
-    def __init__(self, key: np.ndarray, *values: np.ndarray):
-        """`key` is sorted; `values` go with it."""
-        self.key, self.values = key, values
+
+def _count(shards: int):
+    """Counts of trigrams, to the shards of their last two tokens, and what follows their first two."""
+
+    def work(rows):
+        _, *t, n = unpacked(rows, TRIGRAM)
+        order, begin = grouped(*t)
+        count = sums(n[order], begin)
+        t = [x[order[begin]] for x in t]
+        _, begin = grouped(t[0], t[1])  # in order already
+        follow = seen(count, begin)
+        size = np.diff(np.append(begin, len(count)))
+        first, last = chain(t[0][begin], t[1][begin]), chain(t[1], t[2])
+        out = packed(COUNTED, shard_of(last, shards), chain(*t) & LOW, t[1], t[2], count, *(np.repeat(x, size) for x in follow[:3]))
+        return [*out, *packed(CONTEXT, shard_of(first, shards), first & LOW, *follow), *tally(count)]
+
+    return by_shard(work)
+
+
+def _follow(shards: int):
+    """Of each shard's tokens: what follows them, and how many different tokens stand before them."""
+
+    def work(rows):
+        shard, _, t1, t2, *_ = unpacked(rows, COUNTED)
+        order, begin = grouped(shard, t1, t2)
+        count = np.diff(np.append(begin, len(order))).astype(np.uint64)
+        own, t1, t2 = (x[order[begin]] for x in (shard, t1, t2))
+        none, one = np.zeros(len(own), np.uint64), np.ones(len(own), np.uint64)
+        numbers = [np.concatenate(x) for x in ((count == 1, none), (count == 2, none), (count > 2, none), (count, none), (none, one))]
+        own, token = np.concatenate([own, own]), np.concatenate([t1, t2])
+        order, begin = grouped(own, token)
+        numbers = [sums(x[order].astype(np.uint64), begin) for x in numbers]
+        own, token = own[order[begin]], token[order[begin]]
+        return [*packed(TOKEN, shard_of(chain(token), shards), token, own.astype(np.uint64), *numbers), *tally(count)]
+
+    return by_shard(work)
+
+
+def _tokens(rows):
+    """The numbers of all shards about a token, for itself and back to the shards that asked."""
+    shard, token, asks, *numbers = unpacked(rows, TOKEN)
+    order, begin = grouped(token)
+    whole = [sums(x[order], begin) for x in numbers]
+    back = np.empty(len(order), np.int64)
+    back[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    one = order[begin]
+    out = packed(OWN, shard[one], token[one], *whole) + packed(ANSWER, asks.astype(np.int64), token, *(x[back] for x in whole))
+    return out + tally(whole[-1][whole[-1] > 0])
+
+
+def discounts(found: list[int]) -> np.ndarray:
+    """By count (0, 1, 2, more), from how many grams were counted once, twice, three and four times."""
+    n1, n2, n3, n4 = found
+    y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
+    return np.array([0.0] + [max(0.1, min(c, c - (c + 1) * y * b / a)) if a else 0.5 for c, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))])
+
+
+def _values(d: list[np.ndarray], floor: float, total: float, most: int):
+    """Values of a shard's grams. Interpolated modified Kneser-Ney: raw counts at the highest order, numbers of
+    different left neighbours below; `d` are the discounts by order, `floor` the log probability of an unknown token."""
+
+    def spread(n, order):
+        return sum(d[order][c] * x.astype(np.float64) for c, x in zip((1, 2, 3), n, strict=True))
+
+    def own(count, order):
+        return count.astype(np.float64) - d[order][np.minimum(count, 3).astype(np.int64)]
+
+    def work(rows):
+        shard, token, *n = (np.concatenate(x) for x in zip(unpacked(rows, ANSWER), unpacked(rows, OWN), strict=True))
+        is_own = np.arange(len(token)) >= len(token) - sum(len(x) // sum(WIDTHS[OWN]) for _, k, x in rows if k == OWN)
+        left = spread(n[:3], 2)
+        gain = np.where(n[4] > 0, np.log1p(own(n[4], 1) / total / np.exp(floor)), 0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            backoff = np.where(n[3] > 0, np.log(left / n[3]), 0.0)
+        out = [(shard[is_own], chain(token[is_own]) & LOW, (gain + backoff)[is_own], n[3][is_own])]
+        o = np.argsort(token, kind="stable")
+        at = lambda t: o[np.searchsorted(token, t, sorter=o)]
+        s, key, t1, t2, count, *follow = unpacked(rows, COUNTED)
+        if len(s):
+            order, begin = grouped(t1, t2)
+            pair = np.empty(len(order), np.int64)
+            pair[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+            one = order[begin]
+            i, j = at(t1[one]), at(t2[one])
+            more = own(np.diff(np.append(begin, len(order))), 2) / left[i]
+            last = np.exp(gain[j] + floor)
+            out.append((s[one], chain(t1[one], t2[one]) & LOW, np.log1p(more / last), np.zeros(len(one), np.uint64)))
+            p = np.exp(backoff[i]) * (more + last)
+            out.append((s, key, np.log1p(own(count, 3) / spread(follow, 3) / p[pair]), count))
+        s, key, *n = unpacked(rows, CONTEXT)
+        if len(s):
+            out.append((s, key, np.log(spread(n[:3], 3) / n[3]), n[3]))
+        s, key, value, weight = (np.concatenate(x) for x in zip(*out, strict=True))
+        order, begin = grouped(s, key)
+        s, key = s[order[begin]], key[order[begin]]
+        value, weight = sums(value[order], begin).astype(np.float32).view(np.uint32).astype(np.uint64), sums(weight[order], begin)
+        top = np.argsort(-weight.astype(np.int64), kind="stable")[:most]
+        often = packed(OFTEN, np.zeros(len(top), np.int64), key[top], value[top], weight[top])
+        return packed(VALUE, s, key, value) + often
+
+    return by_shard(work)
+
+
+class Lookup:
+    """Values by key, 0 for others."""
+
+    def __init__(self, key: np.ndarray, value: np.ndarray):
+        """`value` are the bits of single-precision numbers."""
+        order = np.argsort(key, kind="stable")
+        self.key, self.value = key[order], value[order].astype(np.uint32).view(np.float32).astype(np.float64)
         self.maybe = np.zeros(1 << SLOTS, bool)
-        self.maybe[(key >> U64(64 - SLOTS)).astype(np.int64)] = True
+        self.maybe[(self.key >> U64(48 - SLOTS)).astype(np.int64)] = True
 
-    def join(self, key: np.ndarray):
-        """Places in `key` that have counts, and the counts."""
-        at = np.flatnonzero(self.maybe[(key >> U64(64 - SLOTS)).astype(np.int64)])
+    def join(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in `key` that have values, and the values."""
+        at = np.flatnonzero(self.maybe[(key >> U64(48 - SLOTS)).astype(np.int64)])
         j = np.minimum(np.searchsorted(self.key, key[at]), len(self.key) - 1)
         hit = self.key[j] == key[at]
-        return at[hit], [v[j[hit]] for v in self.values]
+        return at[hit], self.value[j[hit]]
 
 
-def estimate(count_tables: list[tuple[np.ndarray, np.ndarray]]) -> list:
-    """For each order, sorted: key and discounted probability of the grams, key and backoff weight of the contexts.
+class Fitted:
+    """The table of values by shard, and the log probability of an unknown token."""
 
-    Interpolated modified Kneser-Ney: raw counts at the highest order, numbers of left neighbours below."""
-    levels = []
-    for tokens, count in count_tables:
-        key = np.zeros(len(tokens), np.uint64)
-        for k in range(tokens.shape[1]):
-            ctx = key
-            key = mix(key * U64(0xD6E8FEB86659FD93) + tokens[:, k])
-        n1, n2, n3, n4 = (int((count == c).sum()) for c in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
-        d = [0.0] + [max(0.1, min(c, c - (c + 1) * y * b / a)) if a else 0.5 for c, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        d = np.array(d)[np.minimum(count, 3)]
-        own, inv = np.unique(ctx, return_inverse=True)
-        total = np.bincount(inv, count)
-        o = np.argsort(key)
-        levels.append((key[o], ((count - d) / total[inv]).astype(np.float32)[o], own, (np.bincount(inv, d) / total).astype(np.float32)))
-    return levels
+    def __init__(self, table: DataFrame, floor: float, shards: int):
+        self.table, self.floor, self.shards = table, floor, shards
+
+    def rows(self, kind: int) -> list[tuple]:
+        return [tuple(r) for r in self.table.filter(F.col("kind") == kind).collect()]
+
+
+def occurrences(tokens: np.ndarray, first: np.ndarray, shards: int):
+    """Shard, key and text of all grams of the texts; the contexts of their first tokens are grams too."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    uni, pair, tri = grams(tokens, first, ORDER)
+    begin = np.array([BEGIN])
+    ends = [np.full(len(first) - 1, chain(*[begin] * k)[0]) for k in (1, 2)]
+    route = np.concatenate([uni, pair, pair, *ends])
+    return shard_of(route, shards), np.concatenate([uni, pair, tri, *ends]) & LOW, np.concatenate([doc] * 3 + [np.arange(len(first) - 1)] * 2)
 
 
 class Model:
-    """The tables of `estimate`, ready to be joined."""
+    """All values of a small model in one place."""
 
-    def __init__(self, levels: list):
-        self.uniform = 1.0 / (len(levels[0][0]) + 1)
-        self.levels = [(Level(key, seen), Level(own, left)) for key, seen, own, left in levels]
+    def __init__(self, fitted: Fitted):
+        self.floor = fitted.floor
+        _, key, value = unpacked(fitted.rows(VALUE), VALUE)
+        self.values = Lookup(key, value)
 
     def log_probability(self, tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-        p = np.full(len(tokens), self.uniform, np.float64)
-        for key, ctx, (seen, backoff) in zip(grams(tokens, first, ORDER), contexts(tokens, first, ORDER), self.levels, strict=True):
-            at, (left,) = backoff.join(ctx)
-            p[at] *= left
-            at, (own,) = seen.join(key)
-            p[at] += own
-        return np.log(p)
-
-
-def fit(src: DataFrame, trusted: DataFrame) -> list | None:
-    """The model of trusted texts: `src` has (id, text), `trusted` ids. The sample of ids is bounded, so it is
-    broadcast to the texts; occurrences are counted by Spark, by hash of the gram; the tables that reach the driver are
-    bounded as the sample is."""
-    h = F.xxhash64(F.col("id").cast("string"))
-    sized = src.select("id", F.length("text").alias("size")).filter(F.col("size") <= TRAIN_CHARS)
-    picked = shared_table(sized.join(trusted, "id", "left_semi").orderBy(h, "id").limit(TRAIN_DOCS).select("id"), "trusted")
-    sample = src.select("id", "text").filter(F.length("text") <= TRAIN_CHARS).join(F.broadcast(picked), "id", "left_semi")
-    names = [f"t{k}" for k in range(ORDER)]
-    table = sample.mapInArrow(_occurrences, ", ".join(f"{n} long" for n in names)).groupBy(*names).count()
-    tables = []
-    for n in range(ORDER, 0, -1):
-        if n < ORDER:  # how many different tokens stand before each gram
-            table = table.groupBy(*names[ORDER - n :]).count()
-        got = table.toArrow()
-        if not got.num_rows:
-            return None
-        tokens = np.stack([got[c].to_numpy().view(np.uint64) for c in names[ORDER - n :]], 1)
-        tables.append((tokens, got["count"].to_numpy()))
-    return estimate(tables[::-1])
-
-
-def _score(shared, keep_text):
+        """Each token's part; the sum over a text is the log probability of the text."""
+        out = np.full(len(tokens), self.floor)
+        _, key, doc = occurrences(tokens, first, 1)
+        at, value = self.values.join(key)
+        np.add.at(out, first[doc[at]], value)
+        return out
+
+
+def tallies(table: DataFrame) -> list[int]:
+    _, *numbers = unpacked([tuple(r) for r in table.filter(F.col("kind") == TALLY).collect()], TALLY)
+    return [int(x.sum()) for x in numbers]
+
+
+def fit(src: DataFrame, trusted: DataFrame) -> Fitted | None:
+    """The model of all trusted texts: `src` has (id, text), `trusted` ids. Grams are counted in shards of their first two
+    tokens, meet by their last two, and ask the shards of single tokens for these; figures only reach the driver."""
+    spark = src.sparkSession
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(table, work, *kinds):
+        return table.filter(F.col("kind").isin(*kinds)).repartition(shards, "shard").mapInArrow(work, FIELDS)
+
+    sent = src.select("id", "text").join(trusted, "id", "left_semi").mapInArrow(_trigrams(shards), FIELDS)
+    counted = shared_table(dealt(sent, _count(shards), TRIGRAM), "grams")
+    three = tallies(counted)
+    if not three[4]:
+        return None
+    asked = shared_table(dealt(counted, _follow(shards), COUNTED), "asked")
+    told = shared_table(dealt(asked, by_shard(_tokens), TOKEN), "tokens")
+    two, one = tallies(asked), tallies(told)
+    d = [np.zeros(4), *(discounts(x[:4]) for x in (one, two, three))]
+    apart = d[1][1] * one[0] + d[1][2] * one[1] + d[1][3] * (one[4] - one[0] - one[1])
+    floor = float(np.log(apart / one[5] / (one[4] + 1)))
+    work = _values(d, floor, float(one[5]), 2 * HOT // shards + 1)
+    values = dealt(counted.unionByName(told), work, COUNTED, CONTEXT, ANSWER, OWN)
+    return Fitted(shared_table(values, "values"), floor, shards)
+
+
+def _bits(width: int):
+    """Each shard's part of the filter: a bit for each key's remainder."""
+
     def run(batches):
-        model = Model(shared.value)
-        for batch in chunks(batches, CHUNK // 2):
+        parts = {}
+        for batch in batches:
+            for shard, kind, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                bits = parts.setdefault(shard, np.zeros(width, np.uint8))
+                bits[(unpacked([(shard, kind, data)], VALUE)[1] % U64(width)).astype(np.int64)] = 1
+        for shard, bits in parts.items():
+            yield as_batch([(shard, VALUE, np.packbits(bits, bitorder="little").tobytes())])
+
+    return run
+
+
+def filter_of(fitted: Fitted) -> tuple[np.ndarray, int]:
+    """Bits of the keys that the shards have, side by side, and a shard's number of bits."""
+    values = fitted.table.filter(F.col("kind") == VALUE)
+    keys = values.agg(F.sum(F.length("data"))).first()[0] // sum(WIDTHS[VALUE])
+    width = max(64, min(FILTER_BITS, 8 * keys) // fitted.shards // 8 * 8)
+    bits = np.zeros((fitted.shards, width // 8), np.uint8)
+    for shard, _, data in values.mapInArrow(_bits(width), FIELDS).collect():
+        bits[shard] |= np.frombuffer(data, np.uint8)
+    return bits.ravel(), width
+
+
+def _ask(shared, shards: int):
+    """Sums of the broadcast values by text, and the keys of the other grams to their shards."""
+
+    def run(batches):
+        key, value, bits, width = shared.value
+        often = Lookup(key, value)
+        hold, held, done = [], 0, []
+
+        def send():
+            shard, key, doc = (np.concatenate(x) for x in zip(*hold, strict=True))
+            text, n, total = (np.concatenate(x) for x in zip(*done, strict=True))
+            hold.clear()
+            done.clear()
+            return as_batches(packed(DONE, shard_of(mix(text), shards), text, n, total.view(np.uint64)) + questions(shard, key, doc, text))
+
+        texts = 0
+        for batch in chunks(batches):
             tokens, first = tokens_of(batch["text"])
-            loss = np.concatenate([[0.0], np.cumsum(-model.log_probability(tokens, first))])
-            names = [n for n in batch.schema.names if n != "text" or keep_text]
-            cols = [batch[n] for n in names]
-            yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(np.diff(first), pa.int64()), pa.array(loss[first[1:]] - loss[first[:-1]])], names=[*names, "n_tokens", "loss"]
-            )
+            shard, key, doc = occurrences(tokens, first, shards)
+            at, value = often.join(key)
+            done.append((batch["key"].to_numpy().view(np.uint64), np.diff(first).astype(np.uint64), np.bincount(doc[at], value, len(first) - 1).astype(np.float64)))
+            place = shard * width + (key % U64(width)).astype(np.int64)
+            ask = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            ask[at] = False
+            hold.append((shard[ask], key[ask], doc[ask] + texts))
+            texts += len(first) - 1
+            held += len(tokens)
+            if held >= GATHER:
+                yield from send()
+                held = texts = 0
+        if held:
+            yield from send()
 
     return run
 
 
+def _answer(batches):
+    """Sums by text: of what is asked here, and of what was known before."""
+
+    def out(text, copies, n, total):
+        cols = text.view(np.int64), copies.astype(np.int64), n.astype(np.int64), total.astype(np.float64)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "copies", "n", "value"])
+
+    for rows in shards_of(batches):
+        _, text, n, total = unpacked(rows, DONE)
+        yield out(text, np.ones(len(text)), n, total.view(np.float64))
+        _, key, value = unpacked(rows, VALUE)
+        if not len(key):
+            continue
+        values = Lookup(key, value)
+        for data in (d for _, k, d in rows if k == ASK):
+            text, count, ask = asked_in(data)
+            at, found = values.join(ask)
+            none = np.zeros(len(text))
+            yield out(text, none, none, np.bincount(np.repeat(np.arange(len(text)), count.astype(np.int64))[at], found, len(text)))
+
+
+def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
+    """Of each different text (key, text): key, n_tokens, loss. Copies add up alike and are divided out."""
+    _, key, value, weight = unpacked(fitted.rows(OFTEN), OFTEN)
+    top = np.argsort(-weight.astype(np.int64), kind="stable")[:HOT]
+    shared = texts.sparkSession.sparkContext.broadcast((key[top], value[top], *filter_of(fitted)))
+    asks = texts.mapInArrow(_ask(shared, fitted.shards), FIELDS)
+    known = fitted.table.filter(F.col("kind") == VALUE)
+    parts = asks.unionByName(known).repartition(fitted.shards, "shard").mapInArrow(_answer, "key long, copies long, n long, value double")
+    whole = parts.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("value").alias("value"))
+    n = (F.col("n") / F.col("copies")).cast("long")
+    return whole.select("key", n.alias("n_tokens"), (-F.lit(fitted.floor) * n - F.col("value") / F.col("copies")).alias("loss"))
+
+
 def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", trust_col="quality", carry: tuple = (), keep_text=False) -> DataFrame:
     """Perplexity of every text under a model of trusted text, and whether it passes its language's threshold.
 
-    Trusted are documents that `labels` marks 1. Half of them (by a hash of the id) gives the model: at most TRAIN_DOCS
-    documents of at most TRAIN_CHARS characters. The whole other half gives the thresholds, the QUANTILE of mixed
+    Trusted are documents that `labels` marks 1. Half of them (by a hash of the id) gives the model, all of
+    their texts whole. The whole other half gives the thresholds, the QUANTILE of mixed
     perplexity for each language. Tokens are what white space separates, and an end. One row per input row: id, lang,
     carry columns (with `keep_text` the text, '' for null, too), n_tokens, perplexity (mixed with PRIOR tokens of average loss), threshold, kept.
 
@@ -183,6 +520,7 @@ def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     both ways is not trusted. Rows with a null id can be scored, but have no label. Other columns are not read.
     """
     spark = df.sparkSession
+    small_batches(spark)
     src = df.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), *[F.col(c) for c in carry]
     )
@@ -196,24 +534,19 @@ def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
             *schema.fieldNames(), F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"),
             F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"),
         )
-    shared = spark.sparkContext.broadcast(model)
-
-    def scored(rows: DataFrame, keep_text: bool = False) -> DataFrame:
-        fields = [f for f in rows.schema.fields if f.name != "text" or keep_text]
-        out = T.StructType([*fields, T.StructField("n_tokens", T.LongType()), T.StructField("loss", T.DoubleType())])
-        return rows.mapInArrow(_score(shared, keep_text), out)
-
-    # Texts are scored once, where they are read, and not shuffled: where they go on to the result, they are written
-    # beside their figures. Only the figures meet the labels.
-    figures = shared_table(scored(src if carry else src.select("id", "text", "lang"), keep_text), "loss")
-    base = figures.select("id", "lang", "n_tokens", "loss").join(marked.filter(half == 1), "id", "left_semi").select("lang", "n_tokens", "loss")
+    # Only hashes of texts and figures meet, so a text is shuffled only where it goes on to the result.
+    keyed = src.withColumn("key", F.xxhash64("text"))
+    found = shared_table(losses(keyed.select("key", "text"), model), "loss")
+    figures = keyed.select("id", "lang", "key").join(found, "key")
+    base = shared_table(figures.join(marked.filter(half == 1), "id", "left_semi").select("lang", "n_tokens", "loss"), "base")
     average = base.agg((F.sum("loss") / F.sum("n_tokens")).alias("m")).first()["m"] or 0.0
     mixed = F.exp((F.col("loss") + PRIOR * average) / (F.col("n_tokens") + PRIOR))
     limits = base.select("lang", mixed.alias("p"))
     by_lang = limits.groupBy("lang").agg(F.percentile_approx("p", QUANTILE, 10_000).alias("own"), F.count("*").alias("n")).filter(F.col("n") >= LEAST)
     whole = limits.agg(F.percentile_approx("p", QUANTILE, 10_000).alias("q")).first()["q"]
+    whole_rows = keyed if keep_text else keyed.drop("text")
     # Counted before it is broadcast: joined by shuffle, the texts of a language would meet in one task.
-    out = figures.join(broadcast_groups(by_lang.select("lang", "own")), "lang", "left")
+    out = whole_rows.join(found, "key").join(broadcast_groups(by_lang.select("lang", "own")), "lang", "left")
     threshold = F.coalesce("own", F.lit(whole).cast("double"))
     return out.select(
         *schema.fieldNames(), "n_tokens", mixed.alias("perplexity"), threshold.alias("threshold"), F.coalesce(mixed <= threshold, F.lit(True)).alias("kept")

@@ -389,3 +389,22 @@ def test_scores_against_brute_force(spark, monkeypatch):
     assert scoring.score_texts(frame(spark, [])).count() == 0
     only = scoring.score_texts(frame(spark, [(k, "a b", "en", "s", 1) for k in range(60) if held(k)]))
     assert {(r.n_known, r.train_tokens) for r in only.collect()} == {(0, 0)}
+
+
+def test_quality_counts_every_trusted_text(spark):
+    """Grams of all trusted texts count, however many and long they are."""
+    rng = random.Random(41)
+    train = [words(rng, 3, 9) for _ in range(2100)] + [" ".join(f"long{k}" for k in range(4000))]
+    src = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(train)], "id long, text string, lang string, source string, n long")
+    model = quality.Model(quality.fit(src, src.select("id")))
+    tokens, first = quality.tokens_of(pa.array(train[-1:] + train[:40] + train[2060:2100]))
+    known = set(model.values.key.tolist())
+    for keys in quality.grams(tokens, first, quality.ORDER)[1:]:
+        assert set((keys & quality.LOW).tolist()) <= known
+    test = ["long1 long2 long3", *train[:3], "none of these", ""]
+    whole = quality.losses(spark.createDataFrame([(k, t) for k, t in enumerate([*test, test[0]])], "key long, text string"), quality.fit(src, src.select("id")))
+    tokens, first = quality.tokens_of(pa.array(test))
+    want = np.add.reduceat(-model.log_probability(tokens, first), first[:-1])
+    got = {r.key: (r.n_tokens, r.loss) for r in whole.collect()}
+    for k, n in enumerate(np.diff(first)):
+        assert got[k][0] == n and got[k][1] == pytest.approx(want[k], rel=1e-6)
