@@ -3,8 +3,9 @@
 import collections
 import re
 
+import pyarrow as pa
 import pytest
-from cases import documents, table, wide
+from cases import documents, frame, table, wide
 
 import corpus_pipeline
 from strataflow.llm.queries import QUERIES, SQL
@@ -56,3 +57,18 @@ def test_registered(spark):
     con = oracle.connect(SF)
     for name, sql in SQL.items():
         assert oracle.compare(name, QUERIES[name](spark, SF), con, sql) is None
+
+
+def test_quality_stage_counts_long_trusted_texts(spark, tmp_path, monkeypatch):
+    """The stage's model has the grams of trusted texts of over 20,000 characters too."""
+    from strataflow.llm import quality
+
+    rows = [(k, " ".join(f"only{k}x{i}" for i in range(2500 if k < 12 else 5)), "en", "s", 1) for k in range(40)]
+    spark.createDataFrame([(k, 1, 0) for k in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    made, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda src, trusted: made.append((fit(src, trusted), {r.id for r in trusted.collect()})) or made[0][0])
+    corpus_pipeline.quality(spark, frame(spark, rows), str(tmp_path))
+    known, (_, ids) = set(quality.Model(made[0][0]).values.key.tolist()), made[0]
+    long = [rows[k][1] for k in ids if k < 12]
+    tokens, first = quality.tokens_of(pa.array(long))
+    assert long and set((quality.grams(tokens, first, 2)[1] & quality.LOW).tolist()) <= known
