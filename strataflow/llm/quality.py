@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ from .repeats import _planes, _whole
 ORDER = 3
 #: Of the trusted documents that the model was not fitted on, this part passes, language by language.
 QUANTILE = 0.999
+#: Accuracy of the sketch that says between which values a quantile lies.
+SKETCH = 10_000
 #: Tokens of average perplexity that each document is mixed with, so that a few words decide little.
 PRIOR = 20
 #: Fewer trusted documents than this of a language: the quantile over all languages holds.
@@ -506,6 +508,18 @@ def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
     return whole.select("key", n.alias("n_tokens"), (-F.lit(fitted.floor) * n - F.col("value") / F.col("copies")).alias("loss"))
 
 
+def quantiles(limits: DataFrame) -> DataFrame:
+    """(lang, own, n): of each language the smallest p that at least QUANTILE of its n rows do not exceed. A sketch says
+    between which values it lies, and only these are put in order; the others are counted."""
+    edges = [QUANTILE - 2 / SKETCH, min(1.0, QUANTILE + 2 / SKETCH)]
+    near = limits.groupBy("lang").agg(F.percentile_approx("p", edges, SKETCH).alias("edge"), F.count("*").alias("n"))
+    inside = limits.join(broadcast_groups(near), "lang").filter(F.col("p") <= F.col("edge")[1])
+    value = F.when(F.col("p") >= F.col("edge")[0], F.col("p"))  # null, which comes first, for what is below
+    upto = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.col("own").asc_nulls_first()))
+    ranked = inside.groupBy("lang", "n", value.alias("own")).agg(F.count("*").alias("rows")).withColumn("upto", upto)
+    return ranked.filter(F.col("upto") >= F.ceil(F.col("n") * QUANTILE)).groupBy("lang", "n").agg(F.min("own").alias("own"))
+
+
 def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", trust_col="quality", carry: tuple = (), keep_text=False) -> DataFrame:
     """Perplexity of every text under a model of trusted text, and whether it passes its language's threshold.
 
@@ -542,8 +556,8 @@ def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     average = base.agg((F.sum("loss") / F.sum("n_tokens")).alias("m")).first()["m"] or 0.0
     mixed = F.exp((F.col("loss") + PRIOR * average) / (F.col("n_tokens") + PRIOR))
     limits = base.select("lang", mixed.alias("p"))
-    by_lang = limits.groupBy("lang").agg(F.percentile_approx("p", QUANTILE, 10_000).alias("own"), F.count("*").alias("n")).filter(F.col("n") >= LEAST)
-    whole = limits.agg(F.percentile_approx("p", QUANTILE, 10_000).alias("q")).first()["q"]
+    by_lang = quantiles(limits).filter(F.col("n") >= LEAST)
+    whole = next((r["own"] for r in quantiles(limits.withColumn("lang", F.lit(""))).collect()), None)
     whole_rows = keyed if keep_text else keyed.drop("text")
     # Counted before it is broadcast: joined by shuffle, the texts of a language would meet in one task.
     out = whole_rows.join(found, "key").join(broadcast_groups(by_lang.select("lang", "own")), "lang", "left")

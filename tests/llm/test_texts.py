@@ -408,3 +408,14 @@ def test_quality_counts_every_trusted_text(spark):
     got = {r.key: (r.n_tokens, r.loss) for r in whole.collect()}
     for k, n in enumerate(np.diff(first)):
         assert got[k][0] == n and got[k][1] == pytest.approx(want[k], rel=1e-6)
+
+
+def test_quality_thresholds_are_exact(spark):
+    """A language's threshold is the value at its rank, not a sketch's, however its rows are spread."""
+    rng = random.Random(43)
+    values = [("a", rng.random()) for _ in range(70_000)] + [("b", float(k % 7)) for k in range(5000)] + [("c", 1.5)]
+    got = {r.lang: (r.own, r.n) for r in quality.quantiles(spark.createDataFrame(values, "lang string, p double").repartition(9)).collect()}
+    for lang in "abc":
+        own = sorted(p for k, p in values if k == lang)
+        assert got[lang] == (own[math.ceil(len(own) * quality.QUANTILE) - 1], len(own))
+    assert quality.quantiles(spark.createDataFrame([], "lang string, p double")).count() == 0
