@@ -4,10 +4,15 @@ A text's log probability is a sum over its grams of orders 1 to 3, each of which
 an ending over the next lower order, and the backoff weight it brings as a context. So the model is a table of keys and
 values, cut into shards by hash, and texts send the keys of their grams to the shards. Counts are of all training texts; no
 table of grams passes through the driver. Rows between shards are packed: a shard, a kind, whole numbers byte by byte.
+
+Disk is what limits this, so every step works slice by slice: the shards, at the end the texts, are dealt into slices, the
+exchange of one slice goes before the next begins, and a table goes when the next one is whole.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -15,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import broadcast_groups
-from .common import U64, Polynomial, chunks, mix, runs, shared_table, small_batches, text_bytes, token_class
+from .common import U64, Polynomial, chunks, drop_path, exchanges_go, mix, own_path, runs, shared_table, small_batches, text_bytes, token_class
 from .repeats import _planes, _whole
 
 ORDER = 3
@@ -32,6 +37,8 @@ SLOTS = 22
 LOW = U64((1 << 48) - 1)
 #: Tokens that a task gathers before it sends.
 GATHER = 1_000_000
+#: Parts of the shards, and of the texts that are scored, that are worked on one after the other.
+SLICES, TEXT_SLICES = 5, 3
 #: Numbers of a row, and bytes of a batch, at most.
 ROW, SENT = 1 << 15, 1 << 20
 #: Grams of most weight, whose values are broadcast; bits of the filter that keeps back grams the model lacks. Both save
@@ -200,7 +207,26 @@ def seen(count: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
     return [sums(x.astype(np.uint64), begin) for x in (count == 1, count == 2, count > 2, count)]
 
 
-def _trigrams(shards: int):
+class Sliced:
+    """A table of rows between shards in the shared folder, cut by shard into SLICES that can be dropped one by one."""
+
+    def __init__(self, spark, name: str):
+        self.spark, self.path = spark, own_path(spark, name)
+
+    def put(self, rows: DataFrame) -> None:
+        with exchanges_go(self.spark):
+            rows.withColumn("part", F.col("shard") % SLICES).write.mode("append").option("compression", "zstd").partitionBy("part").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(f"{FIELDS}, part int").parquet(self.path)
+
+    def drop(self, part: int | None = None) -> None:
+        drop_path(self.spark, self.path if part is None else f"{self.path}/part={part}")
+
+
+def _trigrams(shards: int, part: int):
+    """Counts of the trigrams whose shards are in a slice."""
+
     def run(batches):
         hold, held = [], 0
 
@@ -214,8 +240,10 @@ def _trigrams(shards: int):
 
         for batch in chunks(batches):
             tokens, first = tokens_of(batch["text"])
-            hold.append(np.stack([previous(tokens, first, k) for k in range(ORDER - 1, -1, -1)]))
-            held += len(tokens)
+            t = np.stack([previous(tokens, first, k) for k in range(ORDER - 1, -1, -1)])
+            t = t[:, shard_of(chain(t[0], t[1]), shards) % SLICES == part]
+            hold.append(t)
+            held += t.shape[1]
             if held >= GATHER:
                 yield from send()
                 held = 0
@@ -236,8 +264,10 @@ def _count(shards: int):
         _, begin = grouped(t[0], t[1])  # in order already
         follow = seen(count, begin)
         size = np.diff(np.append(begin, len(count)))
-        first, last = chain(t[0][begin], t[1][begin]), chain(t[1], t[2])
-        out = packed(COUNTED, shard_of(last, shards), chain(*t) & LOW, t[1], t[2], count, *(np.repeat(x, size) for x in follow[:3]))
+        first = chain(t[0][begin], t[1][begin])
+        counted = [chain(*t) & LOW, t[1], t[2], count, *(np.repeat(x, size) for x in follow[:3])]
+        order = np.lexsort((t[2], t[1]))  # equal tokens side by side pack well
+        out = packed(COUNTED, shard_of(chain(t[1], t[2]), shards)[order], *(x[order] for x in counted))
         return [*out, *packed(CONTEXT, shard_of(first, shards), first & LOW, *follow), *tally(count)]
 
     return by_shard(work)
@@ -321,7 +351,7 @@ def _values(d: list[np.ndarray], floor: float, total: float, most: int):
         s, key = s[order[begin]], key[order[begin]]
         value, weight = sums(value[order], begin).astype(np.float32).view(np.uint32).astype(np.uint64), sums(weight[order], begin)
         top = np.argsort(-weight.astype(np.int64), kind="stable")[:most]
-        often = packed(OFTEN, np.zeros(len(top), np.int64), key[top], value[top], weight[top])
+        often = packed(OFTEN, s[top], key[top], value[top], weight[top])
         return packed(VALUE, s, key, value) + often
 
     return by_shard(work)
@@ -346,14 +376,29 @@ class Lookup:
 
 
 class Fitted:
-    """The table of values by shard, and the log probability of an unknown token."""
+    """The table of values, bucketed by shard so that it is not shuffled again, and the log probability of an unknown token."""
+
+    def __init__(self, spark, shards: int):
+        self.spark, self.shards = spark, shards
+        self.name = f"llm_values_{uuid.uuid4().hex}"
+        self.path = own_path(spark, "values")
+
+    def put(self, rows: DataFrame) -> None:
+        with exchanges_go(self.spark):
+            out = rows.write.mode("append").format("parquet").option("path", self.path).option("compression", "zstd")
+            out.bucketBy(self.shards, "shard").saveAsTable(self.name)
 
-    def __init__(self, table: DataFrame, floor: float, shards: int):
-        self.table, self.floor, self.shards = table, floor, shards
+    @property
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
 
     def rows(self, kind: int) -> list[tuple]:
         return [tuple(r) for r in self.table.filter(F.col("kind") == kind).collect()]
 
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.name}")
+        drop_path(self.spark, self.path)
+
 
 def occurrences(tokens: np.ndarray, first: np.ndarray, shards: int):
     """Shard, key and text of all grams of the texts; the contexts of their first tokens are grams too."""
@@ -382,8 +427,8 @@ class Model:
         return out
 
 
-def tallies(table: DataFrame) -> list[int]:
-    _, *numbers = unpacked([tuple(r) for r in table.filter(F.col("kind") == TALLY).collect()], TALLY)
+def tallies(table: Sliced) -> list[int]:
+    _, *numbers = unpacked([tuple(r) for r in table.rows().filter(F.col("kind") == TALLY).select("shard", "kind", "data").collect()], TALLY)
     return [int(x.sum()) for x in numbers]
 
 
@@ -393,23 +438,45 @@ def fit(src: DataFrame, trusted: DataFrame) -> Fitted | None:
     spark = src.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def dealt(table, work, *kinds):
-        return table.filter(F.col("kind").isin(*kinds)).repartition(shards, "shard").mapInArrow(work, FIELDS)
-
-    sent = src.select("id", "text").join(trusted, "id", "left_semi").mapInArrow(_trigrams(shards), FIELDS)
-    counted = shared_table(dealt(sent, _count(shards), TRIGRAM), "grams")
+    def dealt(rows, work):
+        """Each shard of a slice in a partition of its own."""
+        own = F.expr(f"CAST(shard DIV {SLICES} AS INT)")
+        return rows.select("shard", "kind", "data").repartitionById(-(-shards // SLICES), own).mapInArrow(work, FIELDS)
+
+    def of(part, *kinds):
+        return F.col("kind").isin(*kinds) & (F.col("part") == part)
+
+    path = own_path(spark, "trusted")
+    with exchanges_go(spark):
+        src.select("id", "text").join(trusted, "id", "left_semi").select("text").write.option("compression", "zstd").parquet(path)
+    texts = spark.read.schema("text string").parquet(path)
+    counted, asked, told = (Sliced(spark, name) for name in ("grams", "asked", "tokens"))
+    for part in range(SLICES):
+        counted.put(dealt(texts.mapInArrow(_trigrams(shards, part), FIELDS), _count(shards)))
+    drop_path(spark, path)
     three = tallies(counted)
     if not three[4]:
+        counted.drop()
         return None
-    asked = shared_table(dealt(counted, _follow(shards), COUNTED), "asked")
-    told = shared_table(dealt(asked, by_shard(_tokens), TOKEN), "tokens")
+    for part in range(SLICES):
+        asked.put(dealt(counted.rows().filter(of(part, COUNTED)), _follow(shards)))
+    for part in range(SLICES):
+        told.put(dealt(asked.rows().filter(of(part, TOKEN)), by_shard(_tokens)))
     two, one = tallies(asked), tallies(told)
+    asked.drop()
     d = [np.zeros(4), *(discounts(x[:4]) for x in (one, two, three))]
     apart = d[1][1] * one[0] + d[1][2] * one[1] + d[1][3] * (one[4] - one[0] - one[1])
-    floor = float(np.log(apart / one[5] / (one[4] + 1)))
-    work = _values(d, floor, float(one[5]), 2 * HOT // shards + 1)
-    values = dealt(counted.unionByName(told), work, COUNTED, CONTEXT, ANSWER, OWN)
-    return Fitted(shared_table(values, "values"), floor, shards)
+    fitted = Fitted(spark, shards)
+    fitted.floor = float(np.log(apart / one[5] / (one[4] + 1)))
+    work = _values(d, fitted.floor, float(one[5]), 2 * HOT // shards + 1)
+    for part in range(SLICES):
+        both = counted.rows().filter(of(part, COUNTED, CONTEXT)).unionByName(told.rows().filter(of(part, ANSWER, OWN)))
+        fitted.put(dealt(both, work))
+        counted.drop(part)
+        told.drop(part)
+    counted.drop()
+    told.drop()
+    return fitted
 
 
 def _bits(width: int):
@@ -418,7 +485,7 @@ def _bits(width: int):
     def run(batches):
         parts = {}
         for batch in batches:
-            for shard, kind, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shard, kind, data in zip(*(batch[c].to_pylist() for c in ("shard", "kind", "data")), strict=True):
                 bits = parts.setdefault(shard, np.zeros(width, np.uint8))
                 bits[(unpacked([(shard, kind, data)], VALUE)[1] % U64(width)).astype(np.int64)] = 1
         for shard, bits in parts.items():
@@ -474,38 +541,46 @@ def _ask(shared, shards: int):
     return run
 
 
-def _answer(batches):
-    """Sums by text: of what is asked here, and of what was known before."""
+def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+    """Sums by text: of what is asked of a shard, and of what was known before."""
+    out = []
 
-    def out(text, copies, n, total):
+    def add(text, copies, n, total):
         cols = text.view(np.int64), copies.astype(np.int64), n.astype(np.int64), total.astype(np.float64)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "copies", "n", "value"])
-
-    for rows in shards_of(batches):
-        _, text, n, total = unpacked(rows, DONE)
-        yield out(text, np.ones(len(text)), n, total.view(np.float64))
-        _, key, value = unpacked(rows, VALUE)
-        if not len(key):
-            continue
+        out.append(pa.table([pa.array(c) for c in cols], names=["key", "copies", "n", "value"]))
+
+    rows, values = (list(zip(*(t[c].to_pylist() for c in ("shard", "kind", "data")), strict=True)) for t in (asks, known))
+    _, text, n, total = unpacked(rows, DONE)
+    add(text, np.ones(len(text)), n, total.view(np.float64))
+    _, key, value = unpacked(values, VALUE)
+    if rows and len(key):
         values = Lookup(key, value)
         for data in (d for _, k, d in rows if k == ASK):
             text, count, ask = asked_in(data)
             at, found = values.join(ask)
             none = np.zeros(len(text))
-            yield out(text, none, none, np.bincount(np.repeat(np.arange(len(text)), count.astype(np.int64))[at], found, len(text)))
+            add(text, none, none, np.bincount(np.repeat(np.arange(len(text)), count.astype(np.int64))[at], found, len(text)))
+    return pa.concat_tables(out)
 
 
 def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
     """Of each different text (key, text): key, n_tokens, loss. Copies add up alike and are divided out."""
+    spark = texts.sparkSession
     _, key, value, weight = unpacked(fitted.rows(OFTEN), OFTEN)
     top = np.argsort(-weight.astype(np.int64), kind="stable")[:HOT]
-    shared = texts.sparkSession.sparkContext.broadcast((key[top], value[top], *filter_of(fitted)))
-    asks = texts.mapInArrow(_ask(shared, fitted.shards), FIELDS)
+    shared = spark.sparkContext.broadcast((key[top], value[top], *filter_of(fitted)))
     known = fitted.table.filter(F.col("kind") == VALUE)
-    parts = asks.unionByName(known).repartition(fitted.shards, "shard").mapInArrow(_answer, "key long, copies long, n long, value double")
-    whole = parts.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("value").alias("value"))
-    n = (F.col("n") / F.col("copies")).cast("long")
-    return whole.select("key", n.alias("n_tokens"), (-F.lit(fitted.floor) * n - F.col("value") / F.col("copies")).alias("loss"))
+    path = own_path(spark, "loss")
+    for part in range(TEXT_SLICES):
+        asks = texts.filter(F.pmod("key", F.lit(TEXT_SLICES)) == part).mapInArrow(_ask(shared, fitted.shards), FIELDS)
+        parts = asks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "key long, copies long, n long, value double")
+        whole = parts.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("value").alias("value"))
+        n = (F.col("n") / F.col("copies")).cast("long")
+        loss = -F.lit(fitted.floor) * n - F.col("value") / F.col("copies")
+        with exchanges_go(spark):
+            whole.select("key", n.alias("n_tokens"), loss.alias("loss")).write.mode("append").parquet(path)
+    shared.destroy()
+    return spark.read.schema("key long, n_tokens long, loss double").parquet(path)
 
 
 def quantiles(limits: DataFrame) -> DataFrame:
@@ -540,7 +615,7 @@ def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     )
     marked = labels.groupBy(F.col(id_col).alias("id")).agg(F.min(trust_col).alias("least")).filter("least = 1 AND id IS NOT NULL").select("id")
     half = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("half")), F.lit(2))
-    model = fit(src, marked.filter(half == 0))
+    model = fit(src.filter(half == 0), marked.filter(half == 0))
     extra = [*([src.schema["text"]] if keep_text else []), *[src.schema[c] for c in carry]]
     schema = T.StructType([src.schema["id"], src.schema["lang"], *extra])
     if model is None:
@@ -550,7 +625,8 @@ def quality(df: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
         )
     # Only hashes of texts and figures meet, so a text is shuffled only where it goes on to the result.
     keyed = src.withColumn("key", F.xxhash64("text"))
-    found = shared_table(losses(keyed.select("key", "text"), model), "loss")
+    found = losses(keyed.select("key", "text"), model)
+    model.drop()
     figures = keyed.select("id", "lang", "key").join(found, "key")
     base = shared_table(figures.join(marked.filter(half == 1), "id", "left_semi").select("lang", "n_tokens", "loss"), "base")
     average = base.agg((F.sum("loss") / F.sum("n_tokens")).alias("m")).first()["m"] or 0.0

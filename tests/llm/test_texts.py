@@ -14,7 +14,7 @@ from cases import documents, frame, table, wide, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strataflow.llm import personal, pieces, quality, scoring, secrets, toxicity
+from strataflow.llm import common, personal, pieces, quality, scoring, secrets, toxicity
 from strataflow.llm.trie import EliasFano, Trie, meaning, quantise
 
 
@@ -419,3 +419,14 @@ def test_quality_thresholds_are_exact(spark):
         own = sorted(p for k, p in values if k == lang)
         assert got[lang] == (own[math.ceil(len(own) * quality.QUANTILE) - 1], len(own))
     assert quality.quantiles(spark.createDataFrame([], "lang string, p double")).count() == 0
+
+
+def test_quality_keeps_no_table_of_counts(spark, tmp_path, monkeypatch):
+    """Tables between the steps go when the next is whole, and the model's when all texts have their figures."""
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    rng = random.Random(44)
+    rows = [(k, words(rng, 40, 60), "en", "s", 1) for k in range(60)]
+    lab = spark.createDataFrame([(k, 1, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    assert quality.quality(frame(spark, rows), lab).count() == 60
+    assert {p.name.split("-")[1] for p in tmp_path.glob("llm-*")} == {"loss", "base"}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_values")]
