@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +80,7 @@ class Vocabularies:
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             raw = f" {text}".encode()
             # A has every byte and no normaliser, so its tokens always give the text back; B's may not.
-            same = text and b"".join([self.b_bytes[k] for k in b]) == raw
+            same = text and b"".join(map(self.b_bytes.__getitem__, b)) == raw
             out.append((self.a.encode_ordinary(f" {text}"), b) if same else ([], []))
         return out
 
@@ -124,36 +125,40 @@ def runs(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list, list]:
     return ones, others
 
 
-def staircase(others: list, a: list, b: list) -> tuple[list, list]:
-    """Token places of A and B whose byte ranges overlap, for groups that are not one-to-one: `a` and `b` are ends."""
-    left, right = [], []
-    for i, i1, j, j1 in others:
-        while i < i1:
-            left.append(i)
-            right.append(j)
-            x, y = a[i], b[j]
-            i += x <= y
-            j += y <= x
-    return left, right
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each `begin` on, `size` of them."""
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
 
 
-def group_text(ones: list, others: list, a: list, b: list) -> str:
-    """`a1,a2|b1;a3|b2,b3`: the groups in order. `a` and `b` are the tokens' names, followed by `|` and by `;`."""
-    out, at = [], 0
+def staircase(others: list, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token places of A and B whose byte ranges overlap, for groups that are not one-to-one: bytes between two ends that
+    follow each other belong to one token of each."""
+    i, i1, j, j1 = np.fromiter(chain.from_iterable(others), np.int64, 4 * len(others)).reshape(-1, 4).T
+    left, right = spread(i, i1 - i), spread(j, j1 - j)
+    a, b = a_ends[left], b_ends[right]
+    ends = np.concatenate([a, b])
+    ends.sort(kind="stable")
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
+    return left[np.searchsorted(a, ends)], right[np.searchsorted(b, ends)]
 
-    def group(i0, i1, j0, j1):
-        out.append("".join(a[i0:i1]).replace("|", ",", i1 - i0 - 1))
-        out.append("".join(b[j0:j1]).replace(";", ",", j1 - j0 - 1))
 
-    for i, j, n in ones:
-        while at < len(others) and others[at][0] < i:
-            group(*others[at])
+def group_text(ones: list, others: list, a: list, b: list) -> str:
+    """`a1,a2|b1;a3|b2,b3`: the groups in order. `a` and `b` are the tokens' names, followed by `|` and by `;`."""
+    out, at, n_others = [], 0, len(others)
+    add = out.append
+    for i, j, n in [*ones, (len(a), len(b), 0)]:
+        while at < n_others and others[at][0] < i:
+            i0, i1, j0, j1 = others[at]
             at += 1
-        both = [""] * (2 * n)
-        both[::2], both[1::2] = a[i : i + n], b[j : j + n]
-        out += both
-    for other in others[at:]:
-        group(*other)
+            add(a[i0] if i1 - i0 == 1 else "".join(a[i0:i1]).replace("|", ",", i1 - i0 - 1))
+            add(b[j0] if j1 - j0 == 1 else "".join(b[j0:j1]).replace(";", ",", j1 - j0 - 1))
+        if n == 1:
+            add(a[i])
+            add(b[j])
+        elif n:
+            both = [""] * (2 * n)
+            both[::2], both[1::2] = a[i : i + n], b[j : j + n]
+            out += both
     return "".join(out)[:-1]
 
 
@@ -169,15 +174,15 @@ class Aligned:
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and of B, for each pair of tokens whose bytes overlap."""
-        first_a, first_b, n = np.array(self.ones, np.int64).reshape(-1, 3).T
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        left, right = staircase(self.others, self.a_ends.tolist(), self.b_ends.tolist()) if self.others else ([], [])
-        i = np.concatenate([np.repeat(first_a, n) + inside, np.array(left, np.int64)])
-        j = np.concatenate([np.repeat(first_b, n) + inside, np.array(right, np.int64)])
+        first_a, first_b, n = np.fromiter(chain.from_iterable(self.ones), np.int64, 3 * len(self.ones)).reshape(-1, 3).T
+        i, j = spread(first_a, n), spread(first_b, n)
+        if self.others:
+            left, right = staircase(self.others, self.a_ends, self.b_ends)
+            i, j = np.concatenate([i, left]), np.concatenate([j, right])
         return self.a_ids[i].astype(np.int64), self.b_ids[j].astype(np.int64)
 
     def groups(self) -> str:
-        return group_text(self.ones, self.others, [self.v.a_name[k] for k in self.a], [self.v.b_name[k] for k in self.b])
+        return group_text(self.ones, self.others, list(map(self.v.a_name.__getitem__, self.a)), list(map(self.v.b_name.__getitem__, self.b)))
 
 
 def _files(df: DataFrame, a: str, b: str):

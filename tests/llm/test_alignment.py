@@ -128,3 +128,17 @@ def test_runs(left, right):
 def test_other_kinds_are_refused(bad):
     with pytest.raises(ValueError):
         alignment.Vocabularies(bad, b"")
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.booleans(), min_size=1, max_size=200), st.lists(st.booleans(), min_size=1, max_size=200))
+def test_staircase(left, right):
+    """Tokens of groups that are not one-to-one are linked where their bytes overlap, from rows of ends as arrays."""
+    n = min(len(left), len(right))
+    a, b = ([k for k in range(n) if x[k]] + [n] for x in (left, right))
+    _, others = alignment.runs(np.array(a), np.array(b))
+    if others:
+        begin_a, begin_b = [-1, *a], [-1, *b]
+        want = [(i, j) for i0, i1, j0, j1 in others for i in range(i0, i1) for j in range(j0, j1) if begin_a[i] < b[j] and begin_b[j] < a[i]]
+        got = alignment.staircase(others, np.array(a), np.array(b))
+        assert all(isinstance(x, np.ndarray) for x in got) and sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted(want)
