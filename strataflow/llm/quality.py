@@ -2,8 +2,9 @@
 
 A text's log probability is a sum over its grams of orders 1 to 3, each of which adds a value of its own: what it gains as
 an ending over the next lower order, and the backoff weight it brings as a context. So the model is a table of keys and
-values, cut into shards by hash, and texts send the keys of their grams to the shards. Counts are of all training texts; no
-table of grams passes through the driver. Rows between shards are packed: a shard, a kind, whole numbers byte by byte.
+values, cut into shards by hash, and blocks of texts send the keys of their grams to the shards, which send each block the
+sums of its texts. Counts are of all training texts; no table of grams passes through the driver. Rows between shards are
+packed: a shard, a kind, whole numbers byte by byte.
 
 Disk is what limits this, so every step works slice by slice: the shards, at the end the texts, are dealt into slices, the
 exchange of one slice goes before the next begins, and a table goes when the next one is whole.
@@ -11,10 +12,12 @@ exchange of one slice goes before the next begins, and a table goes when the nex
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,7 +84,7 @@ def grams(tokens, first, order: int) -> list[np.ndarray]:
 
 
 FIELDS = "shard int, kind int, data binary"
-TRIGRAM, COUNTED, CONTEXT, TALLY, TOKEN, ANSWER, OWN, VALUE, OFTEN, ASK, DONE = range(11)
+TRIGRAM, COUNTED, CONTEXT, TALLY, TOKEN, ANSWER, OWN, VALUE, OFTEN, ASK, DONE, PARTS = range(12)
 #: Bytes of each number of a kind. Numbers n1, n2, n3 are how many grams that go on a context were seen once, twice, more.
 WIDTHS = {
     TRIGRAM: (6, 6, 6, 4),  # three tokens, count
@@ -93,7 +96,6 @@ WIDTHS = {
     OWN: (6, 4, 4, 4, 4, 4),
     VALUE: (6, 4),  # key, value
     OFTEN: (6, 4, 4),  # key, value, weight
-    DONE: (8, 4, 8),  # text, tokens, sum of values
 }
 
 
@@ -144,22 +146,49 @@ def unpacked(rows: list[tuple], kind: int) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, np.int64 if k == 0 else np.uint64) for k, x in enumerate(parts)]
 
 
-def questions(shard: np.ndarray, key: np.ndarray, doc: np.ndarray, text: np.ndarray) -> list[tuple]:
-    """Rows of kind ASK: the number of texts, the texts, how many keys each asks, and the keys."""
+def block_of(text: np.ndarray, nth: int) -> bytes:
+    """The name of a block of texts: they, their order and their task make it, so what is sent about a block that a
+    repeated task cuts otherwise cannot be added to it."""
+    task = TaskContext.get()
+    return hashlib.blake2b(b"%d %d " % (task.partitionId() if task else 0, nth) + text.tobytes(), digest_size=8).digest()
+
+
+def questions(shard: np.ndarray, key: np.ndarray, doc: np.ndarray, block: bytes) -> list[tuple]:
+    """Rows of kind ASK, one for each shard: the block, the number of its texts that ask, these by place in the block, how
+    many keys each asks, and the keys."""
     order = np.lexsort((doc, shard))
     shard, key, doc = shard[order], key[order], doc[order]
     out = []
     for part in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
         if len(part):
             own, count = np.unique(doc[part], return_counts=True)
-            data = len(own).to_bytes(4, "little") + _planes(text[own], 8) + _planes(count.astype(np.uint64), 4) + _planes(key[part], 6)
+            data = block + len(own).to_bytes(4, "little") + _planes(own, 4) + _planes(count, 4) + _planes(key[part], 6)
             out.append((int(shard[part[0]]), ASK, data))
     return out
 
 
-def asked_in(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def asked_in(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[8:12], "little")
+    texts, count = (_whole(data[12 + k * n : 12 + (k + 4) * n], 4).astype(np.int64) for k in (0, 4))
+    return int.from_bytes(data[:8], "little", signed=True), texts, count, _whole(data[12 + 8 * n :], 6)
+
+
+def parts_of(texts: np.ndarray, count: np.ndarray, at: np.ndarray, value: np.ndarray) -> bytes:
+    """Sums of what was found, by text: one value as it is, in single precision, more as their sum."""
+    doc = np.repeat(np.arange(len(texts)), count)[at]
+    hits, total = np.bincount(doc, minlength=len(texts)), np.bincount(doc, value, len(texts))
+    one, more = hits == 1, hits > 1
+    single, double = total[one].astype(np.float32).view(np.uint32), total[more].astype(np.float64).view(np.uint64)
+    return int(one.sum()).to_bytes(4, "little") + _planes(texts[one], 4) + _planes(single, 4) + _planes(texts[more], 4) + _planes(double, 8)
+
+
+def sums_in(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Texts and sums of a row of kind PARTS."""
     n = int.from_bytes(data[:4], "little")
-    return _whole(data[4 : 4 + 8 * n], 8), _whole(data[4 + 8 * n : 4 + 12 * n], 4), _whole(data[4 + 12 * n :], 6)
+    m = (len(data) - 4 - 8 * n) // 12
+    single, more = data[4 : 4 + 8 * n], data[4 + 8 * n :]
+    texts = np.concatenate([_whole(single[: 4 * n], 4), _whole(more[: 4 * m], 4)]).astype(np.int64)
+    return texts, np.concatenate([_whole(single[4 * n :], 4).astype(np.uint32).view(np.float32), _whole(more[4 * m :], 8).view(np.float64)])
 
 
 def by_shard(work):
@@ -506,21 +535,25 @@ def filter_of(fitted: Fitted) -> tuple[np.ndarray, int]:
 
 
 def _ask(shared, shards: int):
-    """Sums of the broadcast values by text, and the keys of the other grams to their shards."""
+    """Sums of the broadcast values by text, a row of kind DONE for each block of texts, and the keys of the other grams to
+    their shards."""
 
     def run(batches):
         key, value, bits, width = shared.value
         often = Lookup(key, value)
         hold, held, done = [], 0, []
 
-        def send():
+        def send(nth):
             shard, key, doc = (np.concatenate(x) for x in zip(*hold, strict=True))
             text, n, total = (np.concatenate(x) for x in zip(*done, strict=True))
             hold.clear()
             done.clear()
-            return as_batches(packed(DONE, shard_of(mix(text), shards), text, n, total.view(np.uint64)) + questions(shard, key, doc, text))
+            block = block_of(text, nth)
+            asks = questions(shard, key, doc, block)
+            data = block + len(asks).to_bytes(4, "little") + _planes(text, 8) + _planes(n, 4) + _planes(total.view(np.uint64), 8)
+            return as_batches([(int.from_bytes(block, "little") % shards, DONE, data), *asks])
 
-        texts = 0
+        texts = nth = 0
         for batch in chunks(batches):
             tokens, first = tokens_of(batch["text"])
             shard, key, doc = occurrences(tokens, first, shards)
@@ -533,38 +566,49 @@ def _ask(shared, shards: int):
             texts += len(first) - 1
             held += len(tokens)
             if held >= GATHER:
-                yield from send()
+                yield from send(nth)
                 held = texts = 0
+                nth += 1
         if held:
-            yield from send()
+            yield from send(nth)
 
     return run
 
 
 def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
-    """Sums by text: of what is asked of a shard, and of what was known before."""
-    out = []
-
-    def add(text, copies, n, total):
-        cols = text.view(np.int64), copies.astype(np.int64), n.astype(np.int64), total.astype(np.float64)
-        out.append(pa.table([pa.array(c) for c in cols], names=["key", "copies", "n", "value"]))
-
+    """To each block, a row for each that it sent: the sums of what it asks of a shard, or what was known before."""
     rows, values = (list(zip(*(t[c].to_pylist() for c in ("shard", "kind", "data")), strict=True)) for t in (asks, known))
-    _, text, n, total = unpacked(rows, DONE)
-    add(text, np.ones(len(text)), n, total.view(np.float64))
     _, key, value = unpacked(values, VALUE)
-    if rows and len(key):
-        values = Lookup(key, value)
-        for data in (d for _, k, d in rows if k == ASK):
-            text, count, ask = asked_in(data)
-            at, found = values.join(ask)
-            none = np.zeros(len(text))
-            add(text, none, none, np.bincount(np.repeat(np.arange(len(text)), count.astype(np.int64))[at], found, len(text)))
-    return pa.concat_tables(out)
+    values, out = Lookup(key, value) if len(key) else None, []
+    for shard, kind, data in rows:
+        if kind == DONE:
+            out.append((int.from_bytes(data[:8], "little", signed=True), shard, kind, data[8:]))
+            continue
+        block, texts, count, ask = asked_in(data)
+        found = values.join(ask) if values is not None else (np.zeros(0, np.int64), np.zeros(0))
+        out.append((block, shard, PARTS, parts_of(texts, count, *found)))
+    cols = zip(*out, strict=True) if out else ((),) * 4
+    return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["block", "shard", "kind", "data"])
+
+
+def _total(block: pa.Table) -> pa.Table:
+    """The texts of a block and their sums. Shards are added in their order, so the sums are the same each time."""
+    rows = sorted(zip(*(block[c].to_pylist() for c in ("kind", "shard", "data")), strict=True), key=lambda r: r[:2])
+    data = rows[0][2] if rows[0][0] == DONE else bytes(4)
+    if rows[0][0] != DONE or len(rows) - 1 != int.from_bytes(data[:4], "little"):
+        raise ValueError("the rows of a block come from different attempts of a task; the texts' order must not change between them")
+    n = (len(data) - 4) // 20
+    total = _whole(data[4 + 12 * n :], 8).view(np.float64).copy()
+    for _, _, part in rows[1:]:
+        texts, value = sums_in(part)
+        total[texts] += value  # each text once
+    cols = _whole(data[4 : 4 + 8 * n], 8).view(np.int64), _whole(data[4 + 8 * n : 4 + 12 * n], 4).astype(np.int64), total
+    return pa.table([pa.array(c) for c in cols], names=["key", "n", "value"])
 
 
 def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
-    """Of each different text (key, text): key, n_tokens, loss. Copies add up alike and are divided out."""
+    """Of each different text (key, text): key, n_tokens, loss. Blocks of texts ask the shards, which answer in a row for
+    each block, so what is sent does not grow by a row for each text and shard. Copies are alike but for the last digits."""
     spark = texts.sparkSession
     _, key, value, weight = unpacked(fitted.rows(OFTEN), OFTEN)
     top = np.argsort(-weight.astype(np.int64), kind="stable")[:HOT]
@@ -573,12 +617,12 @@ def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
     path = own_path(spark, "loss")
     for part in range(TEXT_SLICES):
         asks = texts.filter(F.pmod("key", F.lit(TEXT_SLICES)) == part).mapInArrow(_ask(shared, fitted.shards), FIELDS)
-        parts = asks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "key long, copies long, n long, value double")
-        whole = parts.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("n").alias("n"), F.sum("value").alias("value"))
-        n = (F.col("n") / F.col("copies")).cast("long")
-        loss = -F.lit(fitted.floor) * n - F.col("value") / F.col("copies")
+        parts = asks.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(_answer, "block long, shard int, kind int, data binary")
+        whole = parts.groupBy("block").applyInArrow(_total, "key long, n long, value double")
+        whole = whole.groupBy("key").agg(F.min("n").alias("n_tokens"), F.min("value").alias("value"))
+        loss = -F.lit(fitted.floor) * F.col("n_tokens") - F.col("value")
         with exchanges_go(spark):
-            whole.select("key", n.alias("n_tokens"), loss.alias("loss")).write.mode("append").parquet(path)
+            whole.select("key", "n_tokens", loss.alias("loss")).write.mode("append").parquet(path)
     shared.destroy()
     return spark.read.schema("key long, n_tokens long, loss double").parquet(path)
 

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ import pytest
 from cases import documents, frame, table, wide, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strataflow.llm import common, personal, pieces, quality, scoring, secrets, toxicity
 from strataflow.llm.trie import EliasFano, Trie, meaning, quantise
@@ -430,3 +432,48 @@ def test_quality_keeps_no_table_of_counts(spark, tmp_path, monkeypatch):
     assert quality.quality(frame(spark, rows), lab).count() == 60
     assert {p.name.split("-")[1] for p in tmp_path.glob("llm-*")} == {"loss", "base"}
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_values")]
+
+
+def test_quality_answers_by_block_not_by_text(spark, tmp_path, monkeypatch):
+    """Shards answer in a row for each block of texts that asks, however many texts it has; all sums are right."""
+    answer = quality._answer
+
+    def noted(asks, known):
+        out = answer(asks, known)
+        (tmp_path / uuid.uuid4().hex).write_text(f"{out.num_rows}")
+        return out
+
+    monkeypatch.setattr(quality, "_answer", noted)
+    monkeypatch.setattr(quality, "HOT", 0)  # every gram is asked
+    rng = random.Random(45)
+    train = [words(rng, 40, 300) for _ in range(200)]
+    src = spark.createDataFrame(list(enumerate(train)), "id long, text string")
+    model = quality.Model(quality.fit(src, src.select("id")))
+    test = [words(rng, rng.randrange(30), 400) for _ in range(1500)] + ["", train[0]]
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate([*test, test[5]])], "key long, text string").coalesce(2)
+    texts = texts.withColumn("key", F.when(F.col("key") == len(test), 5).otherwise(F.col("key")))
+    fitted = quality.fit(src, src.select("id"))
+    got = {r.key: (r.n_tokens, r.loss) for r in quality.losses(texts, fitted).collect()}
+    fitted.drop()
+    tokens, first = quality.tokens_of(pa.array(test))
+    want = np.add.reduceat(-model.log_probability(tokens, first), first[:-1])
+    assert got == {k: (n, pytest.approx(want[k], rel=1e-9)) for k, n in enumerate(np.diff(first))}
+    made = sum(int(p.read_text()) for p in tmp_path.iterdir())
+    assert 0 < made <= quality.TEXT_SLICES * 2 * (fitted.shards + 1)
+
+
+def test_quality_blocks_of_other_attempts_do_not_mix():
+    """What a block lacks, or has of another cut of its task, is an error and no wrong sum."""
+    text = np.arange(3, dtype=np.uint64)
+    asks = quality.questions(np.array([1, 1, 2]), np.array([7, 8, 9], np.uint64), np.array([0, 2, 2]), quality.block_of(text, 0))
+    assert quality.block_of(text, 0) != quality.block_of(text[::-1], 0) != quality.block_of(text[::-1], 1)
+    assert [s for s, _, _ in asks] == [1, 2] and quality.asked_in(asks[0][2])[1].tolist() == [0, 2]
+    part = quality.parts_of(np.array([0, 2]), np.array([2, 1]), np.array([0, 1, 2]), np.array([0.1, 0.2, 1.5]))
+    assert [x.tolist() for x in quality.sums_in(part)] == [[2, 0], [1.5, 0.1 + 0.2]]
+    done = (2).to_bytes(4, "little") + quality._planes(text, 8) + quality._planes(text, 4) + quality._planes(np.ones(3).view(np.uint64), 8)
+    rows = [(5, 2, quality.PARTS, part), (5, 0, quality.DONE, done), (5, 1, quality.PARTS, part)]
+    block = lambda rows: pa.table([pa.array(c) for c in zip(*rows, strict=True)], names=["block", "shard", "kind", "data"])
+    assert quality._total(block(rows))["value"].to_pylist() == pytest.approx([1.6, 1.0, 4.0])
+    for less in (rows[:2], rows[::2], [*rows, rows[0]]):
+        with pytest.raises(ValueError, match="attempts"):
+            quality._total(block(less))
