@@ -477,7 +477,7 @@ def fit(src: DataFrame, trusted: DataFrame) -> Fitted | None:
 
     path = own_path(spark, "trusted")
     with exchanges_go(spark):
-        src.select("id", "text").join(trusted, "id", "left_semi").select("text").write.option("compression", "zstd").parquet(path)
+        src.select("id", "text").join(broadcast_groups(trusted), "id", "left_semi").select("text").write.option("compression", "zstd").parquet(path)
     texts = spark.read.schema("text string").parquet(path)
     counted, asked, told = (Sliced(spark, name) for name in ("grams", "asked", "tokens"))
     for part in range(SLICES):

@@ -477,3 +477,17 @@ def test_quality_blocks_of_other_attempts_do_not_mix():
     for less in (rows[:2], rows[::2], [*rows, rows[0]]):
         with pytest.raises(ValueError, match="attempts"):
             quality._total(block(less))
+
+
+def test_quality_sends_only_ids_to_find_trusted_texts(spark, monkeypatch):
+    """Trusted ids are counted and broadcast, so the texts of the others are not shuffled; keys asked cost no text's hash."""
+    sent, counted = [], quality.broadcast_groups
+    monkeypatch.setattr(quality, "broadcast_groups", lambda df: sent.append(df.columns) or counted(df))
+    rng = random.Random(46)
+    src = spark.createDataFrame([(k, words(rng, 20, 50)) for k in range(80)], "id long, text string")
+    fitted = quality.fit(src, src.select("id").filter("id < 40"))
+    assert sent == [["id"]] and fitted.floor < 0
+    fitted.drop()
+    n = 1000
+    asked = quality.questions(np.zeros(n, np.int64), np.arange(n, dtype=np.uint64), np.arange(n), quality.block_of(np.arange(n, dtype=np.uint64), 0))
+    assert sum(len(d) for _, _, d in asked) <= 12 + n * (6 + 8)
