@@ -84,7 +84,7 @@ def grams(tokens, first, order: int) -> list[np.ndarray]:
 
 
 FIELDS = "shard int, kind int, data binary"
-TRIGRAM, COUNTED, CONTEXT, TALLY, TOKEN, ANSWER, OWN, VALUE, OFTEN, ASK, DONE, PARTS = range(12)
+TRIGRAM, COUNTED, CONTEXT, TALLY, TOKEN, ANSWER, OWN, VALUE, OFTEN, ASK, DONE, PARTS, BITS = range(13)
 #: Bytes of each number of a kind. Numbers n1, n2, n3 are how many grams that go on a context were seen once, twice, more.
 WIDTHS = {
     TRIGRAM: (6, 6, 6, 4),  # three tokens, count
@@ -509,29 +509,44 @@ def fit(src: DataFrame, trusted: DataFrame) -> Fitted | None:
 
 
 def _bits(width: int):
-    """Each shard's part of the filter: a bit for each key's remainder."""
+    """Each shard's part of the filter, a row of kind BITS: a bit for each key's remainder. Rows of kind OFTEN pass."""
 
     def run(batches):
         parts = {}
         for batch in batches:
             for shard, kind, data in zip(*(batch[c].to_pylist() for c in ("shard", "kind", "data")), strict=True):
+                if kind == OFTEN:
+                    yield as_batch([(shard, kind, data)])
+                    continue
                 bits = parts.setdefault(shard, np.zeros(width, np.uint8))
                 bits[(unpacked([(shard, kind, data)], VALUE)[1] % U64(width)).astype(np.int64)] = 1
         for shard, bits in parts.items():
-            yield as_batch([(shard, VALUE, np.packbits(bits, bitorder="little").tobytes())])
+            yield as_batch([(shard, BITS, np.packbits(bits, bitorder="little").tobytes())])
 
     return run
 
 
-def filter_of(fitted: Fitted) -> tuple[np.ndarray, int]:
-    """Bits of the keys that the shards have, side by side, and a shard's number of bits."""
-    values = fitted.table.filter(F.col("kind") == VALUE)
-    keys = values.agg(F.sum(F.length("data"))).first()[0] // sum(WIDTHS[VALUE])
+def kept_by_all(fitted: Fitted) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """What is broadcast: keys and values of the HOT grams of most weight, bits of the keys that the shards have, side by
+    side, and a shard's number of bits. It comes slice by slice, so the driver never holds all rows beside the result."""
+    known = fitted.table.filter(F.col("kind") == VALUE)
+    keys = known.agg(F.sum(F.length("data"))).first()[0] // sum(WIDTHS[VALUE])
     width = max(64, min(FILTER_BITS, 8 * keys) // fitted.shards // 8 * 8)
+    table = Sliced(fitted.spark, "often")
+    table.put(fitted.table.filter(F.col("kind").isin(VALUE, OFTEN)).mapInArrow(_bits(width), FIELDS))
     bits = np.zeros((fitted.shards, width // 8), np.uint8)
-    for shard, _, data in values.mapInArrow(_bits(width), FIELDS).collect():
-        bits[shard] |= np.frombuffer(data, np.uint8)
-    return bits.ravel(), width
+    key, value, weight = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+    for part in range(SLICES):
+        rows = table.rows().filter(F.col("part") == part).select("shard", "kind", "data").collect()
+        for shard, kind, data in rows:
+            if kind == BITS:
+                bits[shard] |= np.frombuffer(data, np.uint8)
+        _, *found = unpacked(rows, OFTEN)
+        key, value, weight = (np.concatenate([x, y.astype(x.dtype)]) for x, y in zip((key, value, weight), found, strict=True))
+        top = np.argsort(-weight.astype(np.int64), kind="stable")[:HOT]
+        key, value, weight = key[top], value[top], weight[top]
+    table.drop()
+    return key, value, bits.ravel(), width
 
 
 def _ask(shared, shards: int):
@@ -610,9 +625,7 @@ def losses(texts: DataFrame, fitted: Fitted) -> DataFrame:
     """Of each different text (key, text): key, n_tokens, loss. Blocks of texts ask the shards, which answer in a row for
     each block, so what is sent does not grow by a row for each text and shard. Copies are alike but for the last digits."""
     spark = texts.sparkSession
-    _, key, value, weight = unpacked(fitted.rows(OFTEN), OFTEN)
-    top = np.argsort(-weight.astype(np.int64), kind="stable")[:HOT]
-    shared = spark.sparkContext.broadcast((key[top], value[top], *filter_of(fitted)))
+    shared = spark.sparkContext.broadcast(kept_by_all(fitted))
     known = fitted.table.filter(F.col("kind") == VALUE)
     path = own_path(spark, "loss")
     for part in range(TEXT_SLICES):

@@ -491,3 +491,38 @@ def test_quality_sends_only_ids_to_find_trusted_texts(spark, monkeypatch):
     n = 1000
     asked = quality.questions(np.zeros(n, np.int64), np.arange(n, dtype=np.uint64), np.arange(n), quality.block_of(np.arange(n, dtype=np.uint64), 0))
     assert sum(len(d) for _, _, d in asked) <= 12 + n * (6 + 8)
+
+
+def test_quality_broadcasts_come_to_the_driver_in_slices(spark, monkeypatch):
+    """No collect brings the driver all values and filter bits; what it broadcasts is the same as from all rows at once."""
+    rng = np.random.default_rng(9)
+    train = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) % 900) for _ in range(200)]
+    src = spark.createDataFrame(list(enumerate(train)), "id long, text string")
+    before, frames = spark.conf.get("spark.sql.shuffle.partitions"), type(src)
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        fitted = quality.fit(src, src.select("id"))
+        shards, (_, known, _) = fitted.shards, quality.unpacked(fitted.rows(quality.VALUE), quality.VALUE)
+        owner, key, value, weight = quality.unpacked(fitted.rows(quality.OFTEN), quality.OFTEN)
+        monkeypatch.setattr(quality, "HOT", len(key) // 2)
+        sent, shared, collect, send = [], [], frames.collect, type(spark.sparkContext).broadcast
+
+        def noted(df):
+            rows = collect(df)
+            sent.append(sum(len(r["data"]) for r in rows) if "data" in df.columns else 0)
+            return rows
+
+        monkeypatch.setattr(frames, "collect", noted)
+        monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, x: shared.append(x) or send(sc, x))
+        assert quality.losses(src.withColumnRenamed("id", "key"), fitted).count() == len(train)
+        assert max(sent) < sum(sent) / 2
+        hot, values, bits, width = shared[0]
+        least = np.sort(weight)[::-1][quality.HOT - 1]
+        assert len(hot) == quality.HOT and set(key[weight > least].tolist()) <= set(hot.tolist()) <= set(key[weight >= least].tolist())
+        assert set(zip(hot.tolist(), values.tolist(), strict=True)) <= set(zip(key.tolist(), value.tolist(), strict=True))
+        place = owner * width + (key % np.uint64(width)).astype(np.int64)
+        assert len(bits) == shards * width // 8 and ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).all()
+        assert int(np.unpackbits(bits).sum()) <= len(known)
+        fitted.drop()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
