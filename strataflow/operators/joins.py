@@ -58,19 +58,26 @@ def left_aggregate(
     return out
 
 
+def hot_limit(lookup: DataFrame, frequency: str, max_rows: int = BROADCAST_ROWS) -> int:
+    """Frequency that about `max_rows` keys at most reach; 1 if there are no more keys."""
+    n = lookup.count()
+    if n <= max_rows:
+        return 1
+    return int(lookup.agg(F.percentile_approx(frequency, 1 - max_rows / n, 10_000)).first()[0]) + 1
+
+
 def lookup_by_hot_key(
     facts: DataFrame, lookup: DataFrame, key: str, value: str, frequency: str, hot: int = 1_000_000
 ) -> DataFrame:
-    """Inner lookup of one value by key, where the lookup itself says how frequent each key is.
+    """Inner lookup of one value by key, where the lookup itself says how frequent each key is (once at least).
 
-    Keys seen at least `hot` times are at most (facts / hot) rows and are broadcast. Facts
-    they match leave the shuffle key and are spread by a hash of the row instead, so the
-    shuffle join only sees keys below `hot`.
+    Keys seen at least `hot` times are at most (facts / hot) rows and are broadcast, so the facts they match stay where they
+    are; the shuffle join only sees facts with keys below `hot`. Facts are read once for each of the two, or once if `hot`
+    leaves no key below it.
     """
-    frequent = lookup.where(F.col(frequency) >= hot).select(F.col(key).alias("_hk"), F.col(value).alias("_hv"))
-    rare = lookup.where(F.col(frequency) < hot).select(F.col(key).alias("_rk"), F.col(value).alias("_rv"))
-    marked = facts.join(F.broadcast(frequent), F.col(key) == F.col("_hk"), "left")
-    spread = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))
-    marked = marked.withColumn("_sk", F.when(F.col("_hk").isNull(), F.col(key)).otherwise(spread))
-    out = marked.join(rare, F.col("_sk") == F.col("_rk"), "left")
-    return out.select(*facts.columns, F.coalesce("_hv", "_rv").alias(value)).where(F.col(value).isNotNull())
+    frequent = lookup.where(F.col(frequency) >= hot).select(key, value)
+    found = facts.join(F.broadcast(frequent), key)
+    if hot > 1:
+        rare = lookup.where(F.col(frequency) < hot).select(key, value)
+        found = found.unionByName(facts.join(F.broadcast(frequent.select(key)), key, "left_anti").join(rare, key))
+    return found.select(*facts.columns, value).where(F.col(value).isNotNull())

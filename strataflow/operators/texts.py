@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NEGATIVE, POSITIVE, count_words, sentences, tokens
 from ..session import stage
-from .joins import lookup_by_hot_key
+from .joins import broadcast_groups, hot_limit, lookup_by_hot_key
 from .windows import top_n_per_group
 
 WEIGHT_UNIT = 1_000_000  # term weights are integers in millionths, so sums do not depend on order
@@ -21,45 +21,43 @@ def term_weights(terms: DataFrame, key: Sequence[str], total: Column) -> DataFra
     return df.withColumn("weight", F.round(F.log(total / F.col("n_docs")) * WEIGHT_UNIT).cast("long"))
 
 
-def split_sentences(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
-    """Documents with their sentences and the words of each, split once and written: (key, _s: pos, sentence, words)."""
-    parts = F.transform(sentences(text), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence"), tokens(s).alias("words")))
-    return stage(docs.select(*key, parts.alias("_s")))
-
-
-def document_terms(split: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Each distinct term of each document of `split_sentences` once."""
-    return split.select(*key, F.explode(F.array_distinct(F.flatten("_s.words"))).alias("term"))
+def document_terms(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """Each distinct term of the sentences of each document once."""
+    words = F.flatten(F.transform(sentences(text), tokens))
+    return docs.select(*key, F.explode(F.array_distinct(words)).alias("term"))
 
 
 def sentence_scores(docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
-    """Every sentence with its mean term weight.
+    """Place and mean term weight of every sentence with words: (key, pos, score), without the texts.
 
-    Documents are scanned and split once; weights, counts and sentences all read that table. Frequent terms have a bounded
-    number of weight rows, which are broadcast; the weights of rare terms are joined by shuffle, so no term makes a skewed
-    partition.
+    Documents are read and split once for the weights and again for each kind of words, as the words of all sentences would
+    be several times the texts on disk. The weights of frequent terms are broadcast and added up where the documents are
+    read, so one narrow row of a sentence is shuffled; of the words only rare ones are sent to their weights.
     """
-    split = split_sentences(docs, key, text)
-    total = split.agg(F.count(F.lit(1))).scalar()
-    weights = term_weights(document_terms(split, key), key, total)
-    rows = split.select(*key, F.explode("_s").alias("_x")).select(*key, "_x.*")
-    counted = (
-        rows.select(*key, "pos", F.size("words").alias("n_words"), F.explode("words").alias("term"))
-        .groupBy(*key, "pos", "n_words", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    weighted = lookup_by_hot_key(counted, weights, "term", "weight", "n_docs")
-    scores = weighted.groupBy(*key, "pos").agg(
-        (F.sum(F.col("tf") * F.col("weight")) / F.max("n_words")).alias("score")
-    )
-    return rows.select(*key, "pos", "sentence").join(scores, [*key, "pos"])
+    total = docs.agg(F.count(F.lit(1))).scalar()
+    weights = stage(term_weights(document_terms(docs, key, text), key, total))
+    place = docs.select(*key, F.posexplode(F.transform(sentences(text), tokens)).alias("pos", "_words"))
+    words = place.select(*key, "pos", F.size("_words").alias("n_words"), F.explode("_words").alias("term"))
+    weighted = lookup_by_hot_key(words, weights, "term", "weight", "n_docs", hot_limit(weights, "n_docs"))
+    return weighted.groupBy(*key, "pos").agg((F.sum("weight") / F.max("n_words")).alias("score"))
+
+
+def with_sentences(best: DataFrame, docs: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """Rows of (key, pos, ...) with the sentence there, one for each document of that key that has it. Few keys are broadcast to
+    the documents; many meet them by shuffle, the only one that has texts."""
+    rest = F.struct(*[c for c in best.columns if c not in key])
+    wanted = broadcast_groups(best.groupBy(*key).agg(F.collect_list(rest).alias("_w")))
+    found = docs.select(*key, F.col(text).alias("_t")).join(wanted, list(key))
+    rows = found.select(*key, sentences("_t").alias("_s"), F.explode("_w").alias("_w"))
+    return rows.select(*key, "_w.*", F.get("_s", F.col("_w.pos")).alias("sentence")).where(F.col("sentence").isNotNull())
 
 
 def summarize(docs: DataFrame, key: Sequence[str], text: str, n: int = 3) -> DataFrame:
     """The n heaviest sentences of each document, in their original order."""
-    best = top_n_per_group(
-        sentence_scores(docs, key, text), key, [F.desc("score"), F.asc("pos")], n
-    )
+    order = [F.desc("score"), F.asc("pos")]
+    best = top_n_per_group(sentence_scores(docs, key, text), key, order, n)
+    # Documents that share a key have a sentence each in the same place.
+    best = top_n_per_group(with_sentences(best, docs, key, text), key, order, n)
     ordered = F.array_sort(F.collect_list(F.struct("pos", "sentence")))
     joined = F.array_join(F.transform(ordered, lambda s: s["sentence"]), ". ")
     return best.groupBy(*key).agg(joined.alias("summary"), F.count(F.lit(1)).alias("n_sentences"))
@@ -67,10 +65,9 @@ def summarize(docs: DataFrame, key: Sequence[str], text: str, n: int = 3) -> Dat
 
 def summarize_groups(docs: DataFrame, key: Sequence[str], text: str, group: str, n: int = 3) -> DataFrame:
     """Per group the document count and its n heaviest sentences over all documents."""
-    scored = sentence_scores(docs, key, text).join(docs.select(*key, group), list(key))
-    best = top_n_per_group(
-        scored, [group], [F.desc("score"), *[F.asc(k) for k in key], F.asc("pos")], n, rank_col="_rank"
-    )
+    order = [F.desc("score"), *[F.asc(k) for k in key], F.asc("pos")]
+    best = top_n_per_group(sentence_scores(docs, key, text).join(docs.select(*key, group), list(key)), [group], order, n)
+    best = top_n_per_group(with_sentences(best, docs, key, text), [group], order, n, rank_col="_rank")
     ordered = F.array_sort(F.collect_list(F.struct("_rank", "sentence")))
     lines = best.groupBy(group).agg(F.array_join(F.transform(ordered, lambda s: s["sentence"]), " | ").alias("summary"))
     return docs.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs")).join(lines, group, "left")

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from strataflow.functions import text as tx
-from strataflow.operators import layout, ml, policy, quality, search, similarity, texts
+from strataflow.operators import joins, layout, ml, policy, quality, search, similarity, texts
 from strataflow.operators.joins import lookup_by_hot_key
 from strataflow.plans.metrics import FINANCE_MODEL, metric_query
 
@@ -76,6 +77,33 @@ def test_summary_against_brute_force(docs):
     assert {r["doc_id"]: r["summary"] for r in texts.summarize(docs, ["doc_id"], "text", 1).collect()} == want
 
 
+def test_summaries_leave_the_words_where_they_are(docs, monkeypatch):
+    """Words are neither written nor shuffled while their weights are few; rare ones that are shuffled give the same."""
+    written = []
+    monkeypatch.setattr(texts, "stage", lambda df, f=texts.stage: written.append(df.schema.simpleString()) or f(df))
+    twice = docs.union(docs.where("doc_id = 2"))
+    # One of the two copies of a text stands for both where one sentence is asked for; of three, both come.
+    by_doc = lambda: [rows(texts.summarize(d, ["doc_id"], "text", n), "doc_id") for d, n in ((docs, 1), (twice, 3))]
+    by_lang = lambda: [rows(texts.summarize_groups(d, ["doc_id"], "text", "lang", 2), "lang") for d in (docs, twice)]
+    seen = by_doc(), by_lang()
+    assert seen[0][1][1] == (2, "The cat ate fish. Fish swim. Fish swim", 3)
+    assert seen[1][0] == [("a", 2, "Fish swim | The dog ran far away"), ("b", 3, "Dogs bark loudly | The the the the")]
+    assert written and not [s for s in written if "words" in s]
+    plan = texts.summarize(docs, ["doc_id"], "text")._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert dealt and not [d for d in dealt if "term" in d]
+    monkeypatch.setattr(texts, "hot_limit", lambda df, c: joins.hot_limit(df, c, 3))
+    monkeypatch.setattr(texts, "broadcast_groups", lambda df: joins.broadcast_groups(df, 0))
+    assert (by_doc(), by_lang()) == seen
+
+
+def test_most_frequent_keys_are_bounded(spark):
+    seen = spark.createDataFrame([(str(i), 1 + i // 10) for i in range(100)], "term string, n long")
+    assert joins.hot_limit(seen, "n", 100) == 1
+    for most in (1, 10, 35, 99):
+        assert seen.where(F.col("n") >= joins.hot_limit(seen, "n", most)).count() <= most
+
+
 def test_hot_key_lookup_equals_join(spark):
     facts = spark.range(300).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 9).cast("string"))).alias("term"))
     lookup = facts.groupBy("term").agg(F.count("*").alias("n")).withColumn("w", F.length("term")).where("term <> 'k1'")
